@@ -71,10 +71,12 @@ def split_quoted_cells(line: Column) -> Column:
 
 
 def csv_record(line: Column, headers: Column) -> Column:
-    """Map of header to non-blank cell, null when the cell count differs."""
+    """Map of header to non-blank cell, null when the cell count differs.
+
+    A line without any non-blank cell gives an empty map.
+    """
     cells = split_cells(line)
     record = F.map_filter(
         F.map_from_arrays(headers, cells), lambda _, cell: F.length(cell) > 0
     )
-    usable = (F.length(strip(line)) > 0) & (F.size(cells) == F.size(headers))
-    return F.when(usable, F.nullif(record, F.create_map().cast("map<string,string>")))
+    return F.when(F.size(cells) == F.size(headers), record)

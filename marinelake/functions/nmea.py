@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marinelake.functions.lines import is_sentence
-from marinelake.functions.values import integer, number, signed_degrees, strip, utc_time
+from marinelake.functions.values import (
+    computed_once,
+    integer,
+    number,
+    signed_degrees,
+    strip,
+    utc_time,
+)
 
 # Fixed values.
 SENTENCE_TYPES = ["GGA", "RMC", "VTG", "ZDA"]
@@ -51,12 +60,8 @@ def _clock_seconds(position: int) -> Column:
     return F.substring(_field(position), 5, 20).try_cast("decimal(8,6)")
 
 
-def with_envelope(df: DataFrame, line: str, received: str) -> DataFrame:
-    """Split a line into time prefix, sentence type, fields and checksum state.
-
-    A bare sentence takes its time from the ``received`` column, so that a rerun
-    gives the same result.
-    """
+def with_envelope(df: DataFrame, line: str) -> DataFrame:
+    """Split a line into time prefix, body, fields and the checksum sent."""
     text = strip(F.col(line))
     sentence_at = F.instr(text, "$")
     sentence = F.when(is_sentence(F.col(line)), F.substr(text, sentence_at))
@@ -70,70 +75,73 @@ def with_envelope(df: DataFrame, line: str, received: str) -> DataFrame:
             }
         )
         .withColumns({"_body": body, "_sent": sent_checksum})
-        .withColumns(
-            {
-                "_fields": F.split("_body", ","),
-                "time": F.when(
-                    F.col("_sentence").isNotNull(),
-                    F.when(F.col("_prefix").isNull(), F.col(received).cast("timestamp"))
-                    .otherwise(utc_time(F.col("_prefix"))),
-                ),
-                "checksum_ok": F.when(
-                    F.col("_sentence").isNotNull(),
-                    F.when(F.col("_sent") == "", True)
-                    .otherwise(checksum(F.col("_body")) == F.lpad(F.upper("_sent"), 2, "0")),
-                ),
-            }
-        )
-        .withColumn("sentence_type", F.substring(F.get("_fields", F.lit(0)), 3, 3))
+        .withColumn("_fields", F.split("_body", ","))
+        .withColumn("_kind", F.substring(F.get("_fields", F.lit(0)), 3, 3))
     )
 
 
+def _sentence_time(received: str) -> Column:
+    """Time of the prefix; a bare sentence takes it from the ``received`` column."""
+    bare = F.col("_prefix").isNull()
+    time = F.when(bare, F.col(received).cast("timestamp")).otherwise(utc_time(F.col("_prefix")))
+    return F.when(F.col("_sentence").isNotNull(), time)
+
+
+def _checksum_ok() -> Column:
+    """An absent checksum is accepted; null when the line is no sentence."""
+    same = checksum(F.col("_body")) == F.lpad(F.upper("_sent"), 2, "0")
+    return F.when(F.col("_sentence").isNotNull(), (F.col("_sent") == "") | same)
+
+
 def parse_sentences(df: DataFrame, line: str = "value", received: str = "ingest_ts") -> DataFrame:
     """Add the GNSS columns, ``sentence_type`` and ``reject_reason`` to each line.
 
-    ``reject_reason`` is null on the rows the record path keeps.
+    A bare sentence takes its time from ``received``, so that a rerun gives the
+    same result. ``reject_reason`` is null on the rows the record path keeps.
     """
-    kind = F.col("sentence_type")
+    kind = F.col("_kind")
     gga, rmc, vtg, zda = (kind == name for name in SENTENCE_TYPES)
     active = rmc & (F.upper(_field(2)) == "A")
-    parsed = with_envelope(df, line, received).withColumns(
-        {
-            "latitude": F.when(gga, _angle(2)).when(active, _angle(3)),
-            "longitude": F.when(gga, _angle(4)).when(active, _angle(5)),
-            "gps_quality": F.when(gga, integer(_field(6))),
-            "num_satellites": F.when(gga, integer(_field(7))),
-            "horizontal_dilution": F.when(gga, number(_field(8))),
-            "gps_antenna_height": F.when(gga, number(_field(9))),
-            "speed_over_ground": F.when(active, number(_field(7)))
-            .when(vtg, number(_field(5))) * KNOT_IN_METRES_PER_SECOND,
-            "course_over_ground": F.when(active, number(_field(8))).when(vtg, number(_field(1))),
-            "gps_utc_time": F.when(
-                zda,
-                F.try_make_timestamp(
-                    integer(_field(4)),
-                    integer(_field(3)),
-                    integer(_field(2)),
-                    F.substring(_field(1), 1, 2).try_cast("int"),
-                    F.substring(_field(1), 3, 2).try_cast("int"),
-                    _clock_seconds(1),
-                ),
+    columns = {
+        "time": _sentence_time(received),
+        "checksum_ok": _checksum_ok(),
+        "sentence_type": kind,
+        "latitude": F.when(gga, _angle(2)).when(active, _angle(3)),
+        "longitude": F.when(gga, _angle(4)).when(active, _angle(5)),
+        "gps_quality": F.when(gga, integer(_field(6))),
+        "num_satellites": F.when(gga, integer(_field(7))),
+        "horizontal_dilution": F.when(gga, number(_field(8))),
+        "gps_antenna_height": F.when(gga, number(_field(9))),
+        "speed_over_ground": F.when(active, number(_field(7))).when(vtg, number(_field(5)))
+        * KNOT_IN_METRES_PER_SECOND,
+        "course_over_ground": F.when(active, number(_field(8))).when(vtg, number(_field(1))),
+        "gps_utc_time": F.when(
+            zda,
+            F.try_make_timestamp(
+                integer(_field(4)),
+                integer(_field(3)),
+                integer(_field(2)),
+                F.substring(_field(1), 1, 2).try_cast("int"),
+                F.substring(_field(1), 3, 2).try_cast("int"),
+                _clock_seconds(1),
             ),
-        }
+        ),
+    }
+    parsed = computed_once(with_envelope(df, line), columns)
+    empty = reduce(
+        lambda a, b: a & b, [F.col(name).isNull() for name in _OUTPUTS if name != "time"]
     )
-    measured = F.coalesce(
-        *[F.col(name).cast("string") for name in _OUTPUTS if name != "time"]
-    ).isNotNull()
     reason = (
         F.when(F.length(strip(F.col(line))) == 0, "blank")
-        .when(F.col("_sentence").isNull(), "not_a_sentence")
+        .when(F.col("checksum_ok").isNull(), "not_a_sentence")
         .when(~F.col("checksum_ok"), "bad_checksum")
-        .when(~kind.isin(SENTENCE_TYPES) | kind.isNull(), "unsupported_sentence")
+        .when(F.col("sentence_type").isNull(), "unsupported_sentence")
+        .when(~F.col("sentence_type").isin(SENTENCE_TYPES), "unsupported_sentence")
         .when(F.col("time").isNull(), "bad_time")
-        .when(~measured, "no_fields")
+        .when(empty, "no_fields")
     )
     return parsed.withColumn("reject_reason", reason).drop(
-        "_prefix", "_sentence", "_body", "_sent", "_fields"
+        "_prefix", "_sentence", "_body", "_sent", "_fields", "_kind"
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _WHITESPACE = " \t\r\n\x0b\x0c"
@@ -60,3 +60,15 @@ def signed_degrees(degrees: Column, minutes: Column, hemisphere: Column) -> Colu
         F.when(F.upper(hemisphere).isin("S", "W"), -value)
         .when(F.upper(hemisphere).isin("N", "E"), value)
     )
+
+
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are evaluated once per row.
+
+    The optimizer copies the expression of a projected column into every filter
+    and projection that uses it. Generated columns are not copied, which keeps
+    the plans of long parsing chains linear.
+    """
+    packed = F.struct(*[column.alias(name) for name, column in columns.items()])
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(packed)))

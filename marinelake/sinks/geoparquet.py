@@ -15,11 +15,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.types import BinaryType
 
 from marinelake.operators.quality import has_position, valid_positions
 
@@ -31,7 +33,7 @@ WKB_POINT = np.dtype([("order", "u1"), ("kind", "<u4"), ("x", "<f8"), ("y", "<f8
 CRS_NAME, CRS_AUTHORITY, CRS_CODE = "WGS 84", "EPSG", 4326
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def point_wkb(longitude: pd.Series, latitude: pd.Series) -> pd.Series:
     """Little-endian WKB of each point, null without both coordinates."""
     points = np.empty(len(longitude), dtype=WKB_POINT)
@@ -136,8 +138,6 @@ class _Writer(DataSourceArrowWriter):
 
 def _bounds(batch: pa.RecordBatch) -> list[float] | None:
     """``west, south, east, north`` of a batch."""
-    import pyarrow.compute as pc
-
     x, y = batch.column("longitude"), batch.column("latitude")
     sides = [pc.min(x), pc.min(y), pc.max(x), pc.max(y)]
     values = [side.as_py() for side in sides]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marinelake.functions.lines import split_quoted_cells
-from marinelake.functions.values import number, utc_time
+from marinelake.functions.values import computed_once, number, utc_time
 from marinelake.schemas import FILE_EVENT
 
 # Fixed values.
@@ -23,7 +23,7 @@ def file_events(messages: DataFrame, value: str = "value", known: DataFrame | No
     path that is not listed is an error.
     """
     event = F.from_json(value, FILE_EVENT)
-    parsed = messages.withColumn("_event", event).select(
+    parsed = computed_once(messages, {"_event": event}).select(
         *messages.columns,
         F.col("_event.event").alias("event"),
         F.nullif(
@@ -80,11 +80,12 @@ def typed_reading(readings: DataFrame) -> DataFrame:
     record = F.col("record")
     stamp = F.coalesce(record["timestamp"], record["time"])
     rest = F.map_filter(record, lambda k, _: ~k.isin(["timestamp", "time", *READING_MEASURES]))
-    return readings.select(
+    timed = computed_once(readings, {"time": utc_time(stamp)})
+    return timed.where(F.col("time").isNotNull()).select(
         *[c for c in readings.columns if c != "record"],
-        utc_time(stamp).alias("time"),
+        "time",
         *[number(record[c]).alias(c) for c in READING_MEASURES],
         rest.alias("extra"),
         F.lit(READING_SOURCE).alias("source"),
         F.lit(READING_TYPE).alias("file_type"),
-    ).where(F.col("time").isNotNull())
+    )

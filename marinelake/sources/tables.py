@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marinelake.functions.lines import split_cells, split_quoted_cells
-from marinelake.functions.values import number, strip, utc_time
+from marinelake.functions.lines import csv_record, split_quoted_cells
+from marinelake.functions.values import computed_once, number, strip, utc_time
 from marinelake.schemas import CSV_MEASURES
 
 
@@ -42,12 +42,15 @@ def csv_records(lines: DataFrame) -> DataFrame:
         F.map_from_arrays(F.slice("headers", 1, F.size(cells)), cells),
         lambda _, cell: F.length(cell) > 0,
     )
-    return (
-        data.withColumn("_cells", split_quoted_cells(F.col("value")))
-        .withColumn("reject_reason", F.when(F.size(cells) > n, "too_many_cells"))
-        .withColumn("record", F.when(F.col("reject_reason").isNull(), record))
-        .drop("_cells", "header_ord")
+    long = F.size(cells) > n
+    parsed = computed_once(
+        data.withColumn("_cells", split_quoted_cells(F.col("value"))),
+        {
+            "reject_reason": F.when(long, "too_many_cells"),
+            "record": F.when(~long, record),
+        },
     )
+    return parsed.drop("_cells", "header_ord")
 
 
 def csv_points(records: DataFrame) -> DataFrame:
@@ -59,18 +62,18 @@ def csv_points(records: DataFrame) -> DataFrame:
     record = F.col("record")
     core = ["time"] + CSV_MEASURES
     extra = F.map_filter(record, lambda key, _: ~key.isin(core))
+    good = records.where(F.col("reject_reason").isNull())
+    timed = F.array_contains("headers", "time")
     return (
-        records.where(F.col("reject_reason").isNull())
+        computed_once(good, {"time": utc_time(record["time"])})
+        .where(F.col("time").isNotNull() | ~timed)
         .select(
             "source_file",
             "line_ord",
-            F.array_contains("headers", "time").alias("_timed"),
-            utc_time(record["time"]).alias("time"),
+            "time",
             *[number(record[name]).alias(name) for name in CSV_MEASURES],
             extra.alias("extra"),
         )
-        .where(F.col("time").isNotNull() | ~F.col("_timed"))
-        .drop("_timed")
     )
 
 
@@ -101,13 +104,9 @@ def cnv_records(lines: DataFrame) -> DataFrame:
     data = lines.where(~text.rlike("^[*#]") & (F.length(text) > 0))
     cells = F.split(text, r"\s+")
     n = F.least(F.size(cells), F.size("columns"))
-    return data.join(cnv_headers(lines), "source_file").select(
-        "source_file",
-        "line_ord",
-        F.map_from_arrays(F.slice("columns", F.lit(1), n), F.slice(cells, F.lit(1), n)).alias(
-            "record"
-        ),
-    )
+    record = F.map_from_arrays(F.slice("columns", F.lit(1), n), F.slice(cells, F.lit(1), n))
+    joined = data.join(cnv_headers(lines), "source_file")
+    return computed_once(joined, {"record": record}).select("source_file", "line_ord", "record")
 
 
 def measures(record: Column, names: list[str]) -> list[Column]:
@@ -117,27 +116,12 @@ def measures(record: Column, names: list[str]) -> list[Column]:
 
 def csv_line_records(lines: DataFrame, headers: list[str]) -> DataFrame:
     """Stream lines against one known header; a line that does not fit is dropped."""
-    from marinelake.functions.lines import csv_record
-
     names = F.array(*[F.lit(h) for h in headers])
-    return lines.withColumn("record", csv_record(F.col("value"), names)).where(
-        F.col("record").isNotNull()
-    )
+    parsed = computed_once(lines, {"record": csv_record(F.col("value"), names)})
+    return parsed.where(F.size("record") > 0)
 
 
 def header_cells(line: str) -> list[str]:
     """Header names of one known header line."""
     return [cell.strip() for cell in line.split(",")]
 
-
-__all__ = [
-    "cnv_headers",
-    "cnv_records",
-    "csv_headers",
-    "csv_line_records",
-    "csv_points",
-    "csv_records",
-    "header_cells",
-    "measures",
-    "split_cells",
-]
