@@ -119,7 +119,7 @@ def echo_or_velocity(
     echoes: DataFrame, velocities: DataFrame, source: str = "source_file"
 ) -> DataFrame:
     """Echo sounder rows of the files that have some, velocity rows of the others."""
-    sounding = echoes.groupBy(source).agg()
+    sounding = echoes.select(source).distinct()
     return echoes.unionByName(
         velocities.join(sounding, source, "left_anti"), allowMissingColumns=True
     )

@@ -52,7 +52,7 @@ def valid_positions(df: DataFrame, source: str = "source_file") -> DataFrame:
     against the files that have a position.
     """
     located = df.where(has_position())
-    sources = located.groupBy(source).agg()
+    sources = located.select(source).distinct()
     unlocated = df.where(~has_position()).join(sources, source, "left_anti")
     return located.unionByName(unlocated.select(*df.columns))
 
