@@ -1,6 +1,11 @@
 """All registered queries."""
 
-from marinelake.plans import instrument_queries, line_queries, record_queries  # noqa: F401
+from marinelake.plans import (
+    instrument_queries,
+    line_queries,
+    output_queries,
+    record_queries,
+)
 from marinelake.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -27,7 +27,10 @@ def _open(path: str) -> pa.NativeFile:
 
 
 def _member_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines of the regular-file members of each listed archive, batch by batch."""
+    """Lines of the regular-file members of each listed archive, batch by batch.
+
+    ``line_ord`` runs through the archive, so it also orders the members.
+    """
     names = ["archive", "member", "line_ord", "value"]
     types = [pa.string(), pa.string(), pa.int64(), pa.string()]
 
@@ -39,13 +42,15 @@ def _member_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for path in batch.column("path").to_pylist():
             rows: list[tuple] = []
+            number = 0
             with _open(path) as raw, tarfile.open(fileobj=raw, mode="r|gz") as tar:
                 for member in tar:
                     if not member.isfile():
                         continue
-                    for number, line in enumerate(tar.extractfile(member)):
+                    for line in tar.extractfile(member):
                         text = line.decode("utf-8", errors="replace").rstrip("\r\n")
                         rows.append((path, member.name, number, text))
+                        number += 1
                         if len(rows) >= LINES_PER_BATCH:
                             yield batch_of(rows)
                             rows = []
@@ -78,6 +83,11 @@ def read_archives(spark: SparkSession, path: str, tasks: int | None = None) -> D
     )
 
 
+def archive_of(path: Column) -> Column:
+    """The archive a member path belongs to; any other path is returned as it is."""
+    return F.regexp_replace(path, r"(?i)(\.tar\.gz|\.tgz)/.*$", "$1")
+
+
 def member_source(lines: DataFrame) -> DataFrame:
     """Archive lines in the shape of a text scan."""
     return lines.select(

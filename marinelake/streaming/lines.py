@@ -12,10 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marinelake.functions.lines import split_quoted_cells
 from marinelake.functions.nmea import gnss_columns, parse_sentences
-from marinelake.functions.values import is_blank
+from marinelake.functions.values import computed_once, is_blank
+from marinelake.operators.metadata import batch_results
 from marinelake.operators.quality import dedupe_first
 from marinelake.options import BATCH_SECONDS, JobOptions
+from marinelake.sources.events import reading_record, typed_reading
 from marinelake.sources.lines import glob_of_patterns
 
 WATERMARK = "10 minutes"
@@ -42,6 +45,27 @@ def stream_lines(
     )
 
 
+def stream_readings(
+    spark: SparkSession, path: str, patterns: str = "*.csv", max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """Latest readings of small one-row files as they are renamed into place."""
+    reader = (
+        spark.readStream.format("text")
+        .option("wholetext", "true")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", glob_of_patterns(patterns))
+    )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    lines = F.filter(F.split("value", r"\r?\n"), lambda line: F.length(F.trim(line)) > 0)
+    first, second = F.get("_lines", F.lit(0)), F.get("_lines", F.lit(1))
+    files = reader.load(path).select(
+        F.col("_metadata.file_path").alias("source_file"), lines.alias("_lines")
+    )
+    records = computed_once(files, {"record": reading_record(split_quoted_cells(first), second)})
+    return typed_reading(records.drop("_lines"))
+
+
 def broker_lines(messages: DataFrame) -> DataFrame:
     """Broker rows (``key``, ``value``, ``timestamp``) in the shape of a line stream."""
     return messages.select(
@@ -62,11 +86,9 @@ def stream_batch_results(
     records: DataFrame, keys: list[str], seconds: int = BATCH_SECONDS, watermark: str = WATERMARK
 ) -> DataFrame:
     """Counts and ranges per key and batch window, final once the watermark has passed."""
-    from marinelake.operators.metadata import batch_results
-
     timed = records.withWatermark("time", watermark)
-    bucket = F.window("time", f"{seconds} seconds")
-    return batch_results(timed.withColumn("window", bucket), [*keys, "window"]).select(
+    bucketed = timed.withColumn("window", F.window("time", f"{seconds} seconds"))
+    return batch_results(bucketed, [*keys, "window"]).select(
         *keys, F.col("window.start").alias("batch_start"), "record_count",
         "time_min", "time_max", "lat_min", "lat_max", "lon_min", "lon_max",
     )
