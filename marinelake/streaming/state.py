@@ -22,6 +22,9 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
 
+# Helper columns. Names with a leading underscore do not reach the state operator.
+_US, _ORDER, _FORCE = "state_time_us", "state_order", "state_force"
+
 
 class _LastValue(StatefulProcessor):
     """Base: one BIGINT per key."""
@@ -43,31 +46,31 @@ class MinGap(_LastValue):
         self.gap_us = gap_us
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["_us", "_order"])
+        batch = pd.concat(list(rows), ignore_index=True).sort_values([_US, _ORDER])
         last = self._read()
         keep = []
-        for us, force in zip(batch["_us"], batch["_force"]):
+        for us, force in zip(batch[_US], batch[_FORCE]):
             kept = bool(force) or last is None or us - last >= self.gap_us
             keep.append(kept)
             if kept:
                 last = int(us)
         if any(keep):
             self.last.update((last,))
-            yield batch.loc[keep].drop(columns=["_us", "_order", "_force"])
+            yield batch.loc[keep].drop(columns=[_US, _ORDER, _FORCE])
 
 
 class Changed(_LastValue):
     """Keeps a row when its time differs from that of the row before."""
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("_order")
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(_ORDER)
         last = self._read()
-        before = batch["_us"].shift(1)
-        keep = batch["_us"] != before
-        keep.iloc[0] = last is None or last != int(batch["_us"].iloc[0])
-        self.last.update((int(batch["_us"].iloc[-1]),))
+        before = batch[_US].shift(1)
+        keep = batch[_US] != before
+        keep.iloc[0] = last is None or last != int(batch[_US].iloc[0])
+        self.last.update((int(batch[_US].iloc[-1]),))
         if keep.any():
-            yield batch.loc[keep].drop(columns=["_us", "_order", "_force"])
+            yield batch.loc[keep].drop(columns=[_US, _ORDER, _FORCE])
 
 
 def _run(
@@ -81,9 +84,9 @@ def _run(
     use_rocksdb(stream.sparkSession)
     prepared = stream.where(F.col(time).isNotNull()).withColumns(
         {
-            "_us": F.unix_micros(F.col(time).cast("timestamp")),
-            "_order": F.col(order).cast("bigint"),
-            "_force": F.coalesce(F.col(force), F.lit(False)) if force else F.lit(False),
+            _US: F.unix_micros(F.col(time).cast("timestamp")),
+            _ORDER: F.col(order).cast("bigint"),
+            _FORCE: F.coalesce(F.col(force), F.lit(False)) if force else F.lit(False),
         }
     )
     return prepared.groupBy(*keys).transformWithStateInPandas(
