@@ -13,7 +13,8 @@ TALKER_PREFIXES = ["$GP", "$GN", "$GL", "$GA", "$GB", "$GI"]
 MIN_SCAN_CHARS = 40
 
 _TALKERS = "|".join(prefix[1:] for prefix in TALKER_PREFIXES)
-_SENTENCE = rf"^\s*(?:\S+\s+)?\$(?:{_TALKERS})"
+# Possessive, so that a long line without a blank is read once.
+_SENTENCE = rf"^\s*+(?:\S++\s++)?\$(?:{_TALKERS})"
 _SCAN = rf"^\s*[0-9A-Fa-f]{{{MIN_SCAN_CHARS},}}\s*$"
 _COMMENT = r"^\s*[*#]"
 
@@ -53,7 +54,7 @@ def classify_cast_line(line: Column) -> Column:
 
 def split_cells(line: Column) -> Column:
     """Comma-separated cells, trimmed, without quoting."""
-    return F.split(strip(line), r"\s*,\s*")
+    return F.transform(F.split(line, ","), strip)
 
 
 def split_quoted_cells(line: Column) -> Column:

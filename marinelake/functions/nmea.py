@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from marinelake.functions.lines import is_sentence
 from marinelake.functions.values import (
+    castable,
     computed_once,
-    integer,
-    number,
+    finite,
     signed_degrees,
     strip,
     utc_time,
@@ -21,6 +21,19 @@ from marinelake.functions.values import (
 SENTENCE_TYPES = ["GGA", "RMC", "VTG", "ZDA"]
 KNOT_IN_METRES_PER_SECOND = 0.514444
 
+# The positions that hold numbers, by sentence type.
+_NUMERIC_FIELDS = {
+    1: ["VTG"],
+    2: ["GGA", "ZDA"],
+    3: ["RMC", "ZDA"],
+    4: ["GGA", "ZDA"],
+    5: ["RMC", "VTG"],
+    6: ["GGA"],
+    7: ["GGA", "RMC"],
+    8: ["GGA", "RMC"],
+    9: ["GGA"],
+}
+
 _OUTPUTS = [
     "time",
     "latitude",
@@ -49,11 +62,20 @@ def _field(position: int) -> Column:
     return F.when(F.length(text) > 0, text)
 
 
+def _number(position: int) -> Column:
+    """Finite number of a field, from the casts made by :func:`with_envelope`."""
+    return finite(F.col(f"_n{position}"))
+
+
 def _angle(position: int) -> Column:
     """A ``dddmm.mmmm`` field and the hemisphere letter after it."""
-    packed = number(_field(position))
+    packed = F.col(f"_n{position}")
     degrees = F.floor(packed / 100)
-    return signed_degrees(degrees, packed - degrees * 100, _field(position + 1))
+    return finite(signed_degrees(degrees, packed - degrees * 100, _field(position + 1)))
+
+
+def _whole(position: int) -> Column:
+    return F.col(f"_n{position}").try_cast("int")
 
 
 def _clock_seconds(position: int) -> Column:
@@ -77,9 +99,18 @@ def with_envelope(df: DataFrame, line: str) -> DataFrame:
         .withColumns({"_body": body, "_sent": sent_checksum})
         .withColumn("_fields", F.split("_body", ","))
         .withColumn("_kind", F.substring(F.get("_fields", F.lit(0)), 3, 3))
+        .withColumns(
+            {f"_n{i}": _cast_field(i, kinds) for i, kinds in _NUMERIC_FIELDS.items()}
+        )
     )
 
 
+def _cast_field(position: int, kinds: list[str]) -> Column:
+    text = strip(F.get(F.col("_fields"), F.lit(position)))
+    wanted = F.col("_kind").isin(kinds) & castable(text)
+    return F.when(wanted, text.try_cast("double"))
+
+
 def _sentence_time(received: str) -> Column:
     """Time of the prefix; a bare sentence takes it from the ``received`` column."""
     bare = F.col("_prefix").isNull()
@@ -108,19 +139,19 @@ def parse_sentences(df: DataFrame, line: str = "value", received: str = "ingest_
         "sentence_type": kind,
         "latitude": F.when(gga, _angle(2)).when(active, _angle(3)),
         "longitude": F.when(gga, _angle(4)).when(active, _angle(5)),
-        "gps_quality": F.when(gga, integer(_field(6))),
-        "num_satellites": F.when(gga, integer(_field(7))),
-        "horizontal_dilution": F.when(gga, number(_field(8))),
-        "gps_antenna_height": F.when(gga, number(_field(9))),
-        "speed_over_ground": F.when(active, number(_field(7))).when(vtg, number(_field(5)))
+        "gps_quality": F.when(gga, _whole(6)),
+        "num_satellites": F.when(gga, _whole(7)),
+        "horizontal_dilution": F.when(gga, _number(8)),
+        "gps_antenna_height": F.when(gga, _number(9)),
+        "speed_over_ground": F.when(active, _number(7)).when(vtg, _number(5))
         * KNOT_IN_METRES_PER_SECOND,
-        "course_over_ground": F.when(active, number(_field(8))).when(vtg, number(_field(1))),
+        "course_over_ground": F.when(active, _number(8)).when(vtg, _number(1)),
         "gps_utc_time": F.when(
             zda,
             F.try_make_timestamp(
-                integer(_field(4)),
-                integer(_field(3)),
-                integer(_field(2)),
+                _whole(4),
+                _whole(3),
+                _whole(2),
                 F.substring(_field(1), 1, 2).try_cast("int"),
                 F.substring(_field(1), 3, 2).try_cast("int"),
                 _clock_seconds(1),
@@ -141,7 +172,8 @@ def parse_sentences(df: DataFrame, line: str = "value", received: str = "ingest_
         .when(empty, "no_fields")
     )
     return parsed.withColumn("reject_reason", reason).drop(
-        "_prefix", "_sentence", "_body", "_sent", "_fields", "_kind"
+        "_prefix", "_sentence", "_body", "_sent", "_fields", "_kind",
+        *[f"_n{i}" for i in _NUMERIC_FIELDS],
     )
 
 

@@ -17,6 +17,7 @@ FREQUENCY_WORDS = 5
 VOLTAGE_WORDS = 4
 WORD_CHARS = 6
 POSITION_CHARS = 14
+TIME_CHARS = 8
 POSITION_SCALE = 50000.0
 VOLTAGE_FULL_SCALE = 5.0
 VOLTAGE_STEPS = 4095
@@ -33,62 +34,88 @@ FREQUENCY_CHANNELS = [
 VOLTAGE_CHANNELS = [f"volt{i}" for i in range(2 * VOLTAGE_WORDS)]
 
 
-def _digits(scan: Column, start: Column | int, width: int) -> Column:
-    """Unsigned number of ``width`` hex digits at 0-based ``start``; null past the end."""
-    start = start if isinstance(start, Column) else F.lit(start)
-    digits = F.substr(scan, start + 1, F.lit(width))
-    return F.when(F.length(digits) == width, F.conv(digits, 16, 10).try_cast("bigint"))
-
-
-def frequency(scan: Column, word: int) -> Column:
-    """Three bytes as hertz with an 8-bit fraction."""
-    return _digits(scan, word * WORD_CHARS, WORD_CHARS) / F.lit(256.0)
-
-
-def voltage(scan: Column, start: Column) -> Column:
-    steps = _digits(scan, start, 3)
-    return (F.lit(1.0) - steps / F.lit(float(VOLTAGE_STEPS))) * VOLTAGE_FULL_SCALE
-
-
-def decode_scan(
-    scan: Column,
+def scan_offsets(
     frequencies_suppressed: Column,
     voltages_suppressed: Column,
     position_added: Column,
     time_added: Column,
 ) -> dict[str, Column]:
-    """Named raw channels of one scan; a channel the cast lacks is null."""
+    """Where each part of the scans of a cast starts, in hex digits.
+
+    Null flags count as nothing suppressed and nothing added.
+    """
     n_freq = F.lit(FREQUENCY_WORDS) - F.coalesce(frequencies_suppressed, F.lit(0))
     n_volt = F.lit(VOLTAGE_WORDS) - F.coalesce(voltages_suppressed, F.lit(0))
     has_position = F.coalesce(position_added, F.lit(False))
-    has_time = F.coalesce(time_added, F.lit(False))
-
     volts_at = n_freq * WORD_CHARS
     position_at = volts_at + n_volt * WORD_CHARS
     status_at = position_at + F.when(has_position, POSITION_CHARS).otherwise(0)
-    time_at = status_at + WORD_CHARS
-
+    return {
+        "_volts_at": volts_at,
+        "_position_at": position_at,
+        "_status_at": status_at,
+        "_time_at": F.when(F.coalesce(time_added, F.lit(False)), status_at + WORD_CHARS),
+    }
+
+
+# Groups of neighbouring fields, each read as one integer: start and width in digits.
+_GROUPS = {
+    "_freq_a": (None, 0, 2 * WORD_CHARS),
+    "_freq_b": (None, 2 * WORD_CHARS, 2 * WORD_CHARS),
+    "_freq_c": (None, 4 * WORD_CHARS, WORD_CHARS),
+    "_volt_a": ("_volts_at", 0, 2 * WORD_CHARS),
+    "_volt_b": ("_volts_at", 2 * WORD_CHARS, 2 * WORD_CHARS),
+    "_place": ("_position_at", 0, POSITION_CHARS),
+    "_state": ("_status_at", 0, WORD_CHARS),
+    "_clock": ("_time_at", 0, TIME_CHARS),
+}
+SCRATCH = ["_volts_at", "_position_at", "_status_at", "_time_at", "_length", *_GROUPS]
+
+
+def _start(base: str | None, offset: int) -> Column:
+    return F.lit(offset) if base is None else F.col(base) + offset
+
+
+def scan_groups(scan: Column) -> dict[str, Column]:
+    """The field groups of a scan; a group cut short is filled up with zeros."""
+    groups = {"_length": F.length(scan)}
+    for name, (base, offset, width) in _GROUPS.items():
+        digits = F.substr(scan, _start(base, offset) + 1, F.lit(width))
+        groups[name] = F.conv(F.rpad(digits, width, "0"), 16, 10).try_cast("bigint")
+    return groups
+
+
+def _field(group: str, at: int, width: int) -> Column:
+    """``width`` digits of a group from digit ``at``; null past the end of the scan."""
+    base, offset, total = _GROUPS[group]
+    bits = F.shiftright(F.col(group), 4 * (total - at - width))
+    present = _start(base, offset) + at + width <= F.col("_length")
+    return F.when(present, bits.bitwiseAND((1 << (4 * width)) - 1))
+
+
+def decode_scan() -> dict[str, Column]:
+    """Named raw channels from the field groups; a channel the cast lacks is null."""
+    volts_at, position_at = F.col("_volts_at"), F.col("_position_at")
     channels: dict[str, Column] = {}
     for word, name in enumerate(FREQUENCY_CHANNELS):
-        channels[name] = F.when(F.lit(word) < n_freq, frequency(scan, word))
+        raw = _field("_freq_" + "abc"[word // 2], word % 2 * WORD_CHARS, WORD_CHARS)
+        # Three bytes of hertz, the last one a fraction.
+        channels[name] = F.when(F.lit(word * WORD_CHARS) < volts_at, raw / F.lit(256.0))
     for i, name in enumerate(VOLTAGE_CHANNELS):
-        channels[name] = F.when(F.lit(i // 2) < n_volt, voltage(scan, volts_at + 3 * i))
-
-    sign = _digits(scan, position_at + 12, 2)
-    latitude = _digits(scan, position_at, WORD_CHARS) / F.lit(POSITION_SCALE)
-    longitude = _digits(scan, position_at + WORD_CHARS, WORD_CHARS) / F.lit(POSITION_SCALE)
-    channels["scan_latitude"] = F.when(
-        has_position, F.when(sign.bitwiseAND(SOUTH_BIT) != 0, -latitude).otherwise(latitude)
-    )
-    channels["scan_longitude"] = F.when(
-        has_position, F.when(sign.bitwiseAND(WEST_BIT) != 0, -longitude).otherwise(longitude)
-    )
-    channels["temperature_comp"] = _digits(scan, status_at, 3)
-    channels["status"] = _digits(scan, status_at + 3, 1).cast("int")
-    channels["modulo"] = _digits(scan, status_at + 4, 2).cast("int")
-    seconds = sum(
-        (_digits(scan, time_at + 2 * byte, 2) * (256**byte) for byte in range(1, 4)),
-        _digits(scan, time_at, 2),
-    )
-    channels["scan_time"] = F.when(has_time, F.timestamp_seconds(seconds))
+        steps = _field("_volt_" + "ab"[i // 4], i % 4 * 3, 3)
+        volts = (F.lit(1.0) - steps / F.lit(float(VOLTAGE_STEPS))) * VOLTAGE_FULL_SCALE
+        channels[name] = F.when(volts_at + 3 * i < position_at, volts)
+
+    located = position_at < F.col("_status_at")
+    sign = _field("_place", 2 * WORD_CHARS, 2)
+    for name, at, bit in (("scan_latitude", 0, SOUTH_BIT), ("scan_longitude", WORD_CHARS, WEST_BIT)):
+        size = _field("_place", at, WORD_CHARS) / F.lit(POSITION_SCALE)
+        hemisphere = F.when(sign.bitwiseAND(bit) != 0, -1.0).when(sign.isNotNull(), 1.0)
+        channels[name] = F.when(located, size * hemisphere)
+    channels["temperature_comp"] = _field("_state", 0, 3)
+    channels["status"] = _field("_state", 3, 1).cast("int")
+    channels["modulo"] = _field("_state", 4, 2).cast("int")
+    # Four bytes, lowest first.
+    seconds = sum(_field("_clock", 2 * byte, 2) * 256**byte for byte in range(4))
+    channels["scan_time"] = F.timestamp_seconds(seconds)
     return channels

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,17 +20,23 @@ def is_blank(text: Column) -> Column:
 
 
 def finite(value: Column) -> Column:
-    """Null for NaN and the infinities."""
-    return F.when(~F.isnan(value) & (F.abs(value) != F.lit(float("inf"))), value)
+    """Null for NaN, which sorts above every number, and for the infinities."""
+    return F.when(F.abs(value) <= F.lit(sys.float_info.max), value)
 
 
-def number(text: Column) -> Column:
-    """Text to a finite DOUBLE; anything else becomes null."""
-    return finite(strip(text).try_cast("double"))
+def castable(text: Column) -> Column:
+    """Whether a trimmed text starts like a number.
 
+    A failing cast costs many times a good one, so blanks and words never get
+    there.
+    """
+    return F.ascii(text).between(ord("+"), ord("9"))
 
-def integer(text: Column) -> Column:
-    return strip(text).try_cast("int")
+
+def number(text: Column) -> Column:
+    """Text to a finite DOUBLE; anything else becomes null."""
+    trimmed = strip(text)
+    return F.when(castable(trimmed), finite(trimmed.try_cast("double")))
 
 
 def utc_time(text: Column) -> Column:
@@ -67,8 +75,9 @@ def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
     The optimizer copies the expression of a projected column into every filter
     and projection that uses it. Generated columns are not copied, which keeps
-    the plans of long parsing chains linear.
+    the plans of long parsing chains linear. The expressions themselves stay in
+    a projection below the generator, where they are compiled.
     """
-    packed = F.struct(*[column.alias(name) for name, column in columns.items()])
     kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
-    return df.select(*kept, F.inline(F.array(packed)))
+    packed = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.withColumn("_packed", packed).select(*kept, F.inline(F.array("_packed")))

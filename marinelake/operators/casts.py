@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from marinelake.functions import calibration, seawater
 from marinelake.functions.lines import classify_cast_line
 from marinelake.functions.names import directory, stem
-from marinelake.functions.scans import decode_scan
+from marinelake.functions.scans import SCRATCH, decode_scan, scan_groups, scan_offsets
+from marinelake.functions.values import computed_once
 
 CAST_KEY = ["dir", "stem_lc"]
 
@@ -66,14 +67,14 @@ def decode_scans(df: DataFrame, scan: str = "hex_scan") -> DataFrame:
     Reads the calibration columns ``frequency_channels_suppressed,
     voltage_words_suppressed, nmea_position_added, scan_time_added``.
     """
-    channels = decode_scan(
-        F.col(scan),
+    offsets = scan_offsets(
         F.col("frequency_channels_suppressed"),
         F.col("voltage_words_suppressed"),
         F.col("nmea_position_added"),
         F.col("scan_time_added"),
     )
-    return df.withColumns(channels)
+    grouped = df.withColumns(offsets).withColumns(scan_groups(F.col(scan)))
+    return computed_once(grouped, decode_scan()).drop(*SCRATCH)
 
 
 def calibrate(df: DataFrame) -> DataFrame:

@@ -301,10 +301,10 @@ def hex_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(flag == "N", F.concat(*frequencies, *voltages[:6], status, time))
         .otherwise(F.concat(*frequencies[:3], *voltages, position, status))
     )
-    return scan_fields(spark, sf_dir).select(
+    return computed_once(scan_fields(spark, sf_dir), {"hex_scan": scan}).select(
         "l_orderkey",
         "l_linenumber",
-        scan.alias("hex_scan"),
+        "hex_scan",
         F.when(flag == "R", 2).otherwise(0).alias("frequency_channels_suppressed"),
         F.when(flag == "N", 1).otherwise(0).alias("voltage_words_suppressed"),
         (flag != "N").alias("nmea_position_added"),

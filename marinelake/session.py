@@ -17,6 +17,9 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Generated methods above the JIT compiler's limit would run interpreted;
+    # beyond it Spark compiles the stage in smaller pieces.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

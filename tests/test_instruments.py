@@ -6,16 +6,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from marinelake.functions import seawater
-from marinelake.functions.scans import decode_scan
+from marinelake.operators.casts import decode_scans
 from marinelake.operators.currents import adcp_ensembles, echo_or_velocity
 from marinelake.sources.casts import parse_calibration, parse_header
 from tests.test_lines import SCAN
 
 
 def _decode(spark, scan, freq=0, volt=0, position=True, time=True):
-    df = spark.createDataFrame([(scan,)], "s STRING")
-    channels = decode_scan(F.col("s"), F.lit(freq), F.lit(volt), F.lit(position), F.lit(time))
-    return df.select(*[c.alias(n) for n, c in channels.items()]).first()
+    df = spark.createDataFrame(
+        [(scan, freq, volt, position, time)],
+        "hex_scan STRING, frequency_channels_suppressed INT, voltage_words_suppressed INT, "
+        "nmea_position_added BOOLEAN, scan_time_added BOOLEAN",
+    )
+    return decode_scans(df).first()
 
 
 def test_known_scan(spark):
