@@ -1,7 +1,7 @@
 """Published manufacturer equations of the frequency CTD sensors.
 
-Every coefficient is a column, null when the calibration file lacks it, and a
-null coefficient makes the calibrated value null.
+Coefficients are typed structs, cast once per cast and not once per scan. One
+that the calibration file lacks is null and makes the calibrated value null.
 """
 
 from __future__ import annotations
@@ -20,35 +20,49 @@ DEFAULT_AD590B = -9.256
 DEFAULT_T5 = 0.0
 DEFAULT_WBOTC = 0.0
 
-TEMPERATURE_COEFFICIENTS = ["G", "H", "I", "J", "F0"]
-CONDUCTIVITY_COEFFICIENTS = ["G", "H", "I", "J", "CPcor", "CTcor"]
-PRESSURE_COEFFICIENTS = ["C1", "C2", "C3", "D1", "D2", "T1", "T2", "T3", "T4"]
+# Coefficient names with their defaults, if any.
+TEMPERATURE_COEFFICIENTS = {"G": None, "H": None, "I": None, "J": None, "F0": None}
+CONDUCTIVITY_COEFFICIENTS = {
+    "G": None, "H": None, "I": None, "J": None, "CPcor": None, "CTcor": None,
+    "WBOTC": DEFAULT_WBOTC,
+}
+PRESSURE_COEFFICIENTS = {
+    "C1": None, "C2": None, "C3": None, "D1": None, "D2": None,
+    "T1": None, "T2": None, "T3": None, "T4": None, "T5": DEFAULT_T5,
+    "AD590M": DEFAULT_AD590M, "AD590B": DEFAULT_AD590B,
+}
 
 
 def _series(x: Column, coefficients: list[Column]) -> Column:
     return reduce(lambda acc, c: acc * x + c, reversed(coefficients[:-1]), coefficients[-1])
 
 
-def coefficient(coefficients: Column, name: str, default: float | None = None) -> Column:
-    """A numeric entry of a coefficient map."""
-    value = coefficients[name].try_cast("double")
-    return value if default is None else F.coalesce(value, F.lit(default))
+def coefficients(entries: Column, names: dict[str, float | None]) -> Column:
+    """Typed struct of the named entries of a coefficient map."""
+    fields = []
+    for name, default in names.items():
+        value = entries[name].try_cast("double")
+        if default is not None:
+            value = F.coalesce(value, F.lit(default))
+        fields.append(value.alias(name))
+    return F.struct(*fields)
+
+
+def _values(c: Column, names: dict[str, float | None]) -> list[Column]:
+    return [c[name] for name in names]
 
 
 def temperature(freq: Column, c: Column) -> Column:
     """ITS-90 °C from hertz."""
-    g, h, i, j, f0 = (coefficient(c, name) for name in TEMPERATURE_COEFFICIENTS)
+    g, h, i, j, f0 = _values(c, TEMPERATURE_COEFFICIENTS)
     log = F.ln(F.try_divide(f0, freq))
     return F.try_divide(F.lit(1.0), _series(log, [g, h, i, j])) - KELVIN
 
 
 def pressure(freq: Column, compensation: Column, c: Column) -> Column:
     """Sea pressure in dbar from hertz and the 12-bit compensation count."""
-    c1, c2, c3, d1, d2, t1, t2, t3, t4 = (coefficient(c, n) for n in PRESSURE_COEFFICIENTS)
-    t5 = coefficient(c, "T5", DEFAULT_T5)
-    u = compensation * coefficient(c, "AD590M", DEFAULT_AD590M) + coefficient(
-        c, "AD590B", DEFAULT_AD590B
-    )
+    c1, c2, c3, d1, d2, t1, t2, t3, t4, t5, m, b = _values(c, PRESSURE_COEFFICIENTS)
+    u = compensation * m + b
     period = F.try_divide(F.lit(1.0e6), freq)
     ratio = F.try_divide(_series(u, [t1, t2, t3, t4, t5]), period)
     w = F.lit(1.0) - ratio * ratio
@@ -58,8 +72,7 @@ def pressure(freq: Column, compensation: Column, c: Column) -> Column:
 
 def conductivity(freq: Column, temperature: Column, pressure: Column, c: Column) -> Column:
     """S/m from hertz, °C and dbar."""
-    g, h, i, j, cpcor, ctcor = (coefficient(c, n) for n in CONDUCTIVITY_COEFFICIENTS)
-    wbotc = coefficient(c, "WBOTC", DEFAULT_WBOTC)
+    g, h, i, j, cpcor, ctcor, wbotc = _values(c, CONDUCTIVITY_COEFFICIENTS)
     khz = freq * F.sqrt(temperature * wbotc + 1.0) / F.lit(1000.0)
     f2 = khz * khz
     siemens = g + f2 * (h + khz * i + f2 * j)

@@ -77,37 +77,49 @@ def decode_scans(df: DataFrame, scan: str = "hex_scan") -> DataFrame:
     return computed_once(grouped, decode_scan()).drop(*SCRATCH)
 
 
+def with_coefficients(calibrations: DataFrame) -> DataFrame:
+    """Typed coefficients of the first sensor of each kind, on the one row per cast."""
+    sensors = F.col("sensors")
+
+    def typed(kind: str, names: dict[str, float | None]) -> Column:
+        return calibration.coefficients(first_sensor(sensors, kind), names)
+
+    return calibrations.withColumns(
+        {
+            "temperature_cal": typed("TemperatureSensor", calibration.TEMPERATURE_COEFFICIENTS),
+            "pressure_cal": typed("PressureSensor", calibration.PRESSURE_COEFFICIENTS),
+            "conductivity_cal": typed("ConductivitySensor", calibration.CONDUCTIVITY_COEFFICIENTS),
+        }
+    )
+
+
 def calibrate(df: DataFrame) -> DataFrame:
     """Temperature, pressure, conductivity, salinity and depth from raw channels.
 
-    Reads ``sensors``; whatever lacks a channel or a coefficient is null.
+    Reads the columns of :func:`with_coefficients`; whatever lacks a channel or a
+    coefficient is null.
     """
     t, p, c = F.col("temperature"), F.col("pressure"), F.col("conductivity")
     latitude = F.coalesce(F.col("hdr_latitude"), F.lit(0.0))
     return (
         df.withColumns(
             {
-                "_tc": first_sensor(F.col("sensors"), "TemperatureSensor"),
-                "_pc": first_sensor(F.col("sensors"), "PressureSensor"),
-                "_cc": first_sensor(F.col("sensors"), "ConductivitySensor"),
-            }
-        )
-        .withColumns(
-            {
-                "temperature": calibration.temperature(F.col("temperature_freq"), F.col("_tc")),
+                "temperature": calibration.temperature(
+                    F.col("temperature_freq"), F.col("temperature_cal")
+                ),
                 "pressure": calibration.pressure(
-                    F.col("pressure_freq"), F.col("temperature_comp"), F.col("_pc")
+                    F.col("pressure_freq"), F.col("temperature_comp"), F.col("pressure_cal")
                 ),
             }
         )
         .withColumn(
             "conductivity",
-            calibration.conductivity(F.col("conductivity_freq"), t, p, F.col("_cc")),
+            calibration.conductivity(F.col("conductivity_freq"), t, p, F.col("conductivity_cal")),
         )
         .withColumns(
             {"salinity": seawater.salinity(c, t, p), "depth": seawater.depth(p, latitude)}
         )
-        .drop("_tc", "_pc", "_cc")
+        .drop("temperature_cal", "pressure_cal", "conductivity_cal")
     )
 
 

@@ -14,7 +14,14 @@ from pyspark.sql import functions as F
 from marinelake.functions.names import file_type
 from marinelake.functions.nmea import gnss_columns, parse_sentences
 from marinelake.functions.values import number
-from marinelake.operators.casts import calibrate, cast_position, companion_join, decode_scans, with_cast_key
+from marinelake.operators.casts import (
+    calibrate,
+    cast_position,
+    companion_join,
+    decode_scans,
+    with_cast_key,
+    with_coefficients,
+)
 from marinelake.operators.currents import adcp_ensembles
 from marinelake.operators.enrich import rules_enrichment
 from marinelake.operators.metadata import file_results, run_summary
@@ -102,7 +109,7 @@ def parse_directory(
         cast_points(
             _family(lines, "hex"),
             with_cast_key(parse_header(documents.where(is_header))),
-            with_cast_key(parse_calibration(documents.where(~is_header))),
+            with_cast_key(with_coefficients(parse_calibration(documents.where(~is_header)))),
         ),
     ]
     if pings is not None:

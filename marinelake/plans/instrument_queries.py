@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marinelake.functions import calibration, seawater
-from marinelake.operators.casts import calibrate, decode_scans, first_sensor
+from marinelake.operators.casts import (
+    calibrate,
+    decode_scans,
+    first_sensor,
+    with_coefficients,
+)
 from marinelake.operators.currents import adcp_ensembles, echo_or_velocity
 from marinelake.plans import inputs
 from marinelake.plans.inputs import SCAN_FIELDS_SQL
@@ -23,10 +28,14 @@ CONDUCTIVITY = {
 }
 
 
-def _coefficients(values: dict[str, float]):
+def _map(values: dict[str, float]):
     return F.create_map(*[F.lit(x) for n, v in values.items() for x in (n, repr(v))])
 
 
+def _typed(values: dict[str, float], names: dict[str, float | None]):
+    return calibration.coefficients(_map(values), names)
+
+
 def _scans(spark, sf_dir):
     return decode_scans(inputs.hex_scans(spark, sf_dir))
 
@@ -83,7 +92,7 @@ _CHANNELS_SQL = (
 
 def _channels(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber",
+        "l_orderkey", "l_linenumber", "l_suppkey",
         *[F.expr(e).cast("double").alias(n) for n, e in _FREQ.items()],
     )
 
@@ -152,8 +161,8 @@ def ctd_temperature(spark, sf_dir):
     freq = F.col("t_freq")
     return _channels(spark, sf_dir).select(
         "l_orderkey", "l_linenumber",
-        F.round(calibration.temperature(freq, _coefficients(TEMPERATURE)), 6).alias("temperature"),
-        calibration.temperature(freq, _coefficients(partial)).alias("without_coefficient"),
+        F.round(calibration.temperature(freq, _typed(TEMPERATURE, calibration.TEMPERATURE_COEFFICIENTS)), 6).alias("temperature"),
+        calibration.temperature(freq, _typed(partial, calibration.TEMPERATURE_COEFFICIENTS)).alias("without_coefficient"),
     )
 
 
@@ -163,7 +172,7 @@ def ctd_temperature(spark, sf_dir):
         FROM ({_CHANNELS_SQL})""",
 )
 def ctd_pressure(spark, sf_dir):
-    pressure = calibration.pressure(F.col("p_freq"), F.col("comp"), _coefficients(PRESSURE))
+    pressure = calibration.pressure(F.col("p_freq"), F.col("comp"), _typed(PRESSURE, calibration.PRESSURE_COEFFICIENTS))
     return _channels(spark, sf_dir).select(
         "l_orderkey", "l_linenumber", F.round(pressure, 5).alias("pressure")
     )
@@ -177,7 +186,7 @@ def ctd_pressure(spark, sf_dir):
 )
 def ctd_conductivity(spark, sf_dir):
     conductivity = calibration.conductivity(
-        F.col("c_freq"), F.col("t_freq") / 300, F.col("p_freq") / 10, _coefficients(CONDUCTIVITY)
+        F.col("c_freq"), F.col("t_freq") / 300, F.col("p_freq") / 10, _typed(CONDUCTIVITY, calibration.CONDUCTIVITY_COEFFICIENTS)
     )
     return _channels(spark, sf_dir).select(
         "l_orderkey", "l_linenumber", F.round(conductivity, 6).alias("conductivity")
@@ -225,9 +234,9 @@ def ctd_depth(spark, sf_dir):
     """,
 )
 def ctd_calibrated(spark, sf_dir):
-    """Raw channels and a sensor list to all calibrated columns."""
+    """Raw channels and the calibration of their cast to all calibrated columns."""
     def sensor(kind, values):
-        return F.struct(F.lit(kind).alias("type"), _coefficients(values).alias("coefficients"))
+        return F.struct(F.lit(kind).alias("type"), _map(values).alias("coefficients"))
 
     sensors = F.array(
         sensor("TemperatureSensor", TEMPERATURE),
@@ -242,10 +251,14 @@ def ctd_calibrated(spark, sf_dir):
         F.col("p_freq").alias("pressure_freq"),
         F.col("comp").alias("temperature_comp"),
         F.lit(30.0).alias("hdr_latitude"),
-        sensors.alias("sensors"),
+        (F.col("l_suppkey") % 25).cast("int").alias("cast"),
+    )
+    casts = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("cast"), sensors.alias("sensors")
     )
     places = {"temperature": 5, "pressure": 4, "conductivity": 5, "salinity": 4, "depth": 4}
-    return calibrate(raw).select(
+    joined = raw.join(with_coefficients(casts), "cast", "left")
+    return calibrate(joined).select(
         "l_orderkey", "l_linenumber", *[F.round(c, n).alias(c) for c, n in places.items()]
     )
 
@@ -297,7 +310,7 @@ def cast_calibration(spark, sf_dir):
     sensors = F.col("sensors")
 
     def value(kind, name):
-        return calibration.coefficient(first_sensor(sensors, kind), name)
+        return first_sensor(sensors, kind)[name].try_cast("double")
 
     return parsed.select(
         "s_suppkey",
