@@ -35,10 +35,14 @@ def dedupe_first(
 def dedupe_records(
     df: DataFrame, family: str = "file_type", order: str = "line_ord", merge: bool = False
 ) -> DataFrame:
-    """Keep-first per file and time, for every family but the gridded ones."""
-    gridded = F.coalesce(F.col(family).isin(GRID_FAMILIES), F.lit(False))
-    points = dedupe_first(df.where(~gridded), ["source_file", "time"], order, merge)
-    return points.unionByName(df.where(gridded))
+    """Keep-first per file and time in one pass.
+
+    Rows of gridded families and rows without a time are told apart by ``order``
+    and so all stay; ``order`` is unique among them in a file.
+    """
+    exempt = F.coalesce(F.col(family).isin(GRID_FAMILIES), F.lit(False)) | F.col("time").isNull()
+    marked = df.withColumn("_own", F.when(exempt, F.col(order)))
+    return dedupe_first(marked, ["source_file", "time", "_own"], order, merge).drop("_own")
 
 
 def has_position() -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marinelake.functions.names import file_type
+from marinelake.functions.names import file_type, is_companion
 from marinelake.functions.nmea import gnss_columns, parse_sentences
 from marinelake.functions.values import number
 from marinelake.operators.casts import (
@@ -35,9 +35,6 @@ from marinelake.sources.casts import parse_calibration, parse_header, scan_lines
 from marinelake.sources.lines import glob_of, glob_of_patterns, manifest, read_documents, read_lines
 from marinelake.sources.tables import cnv_records, csv_points, csv_records
 
-COMPANIONS = [".hdr", ".xmlcon"]
-
-
 def sentence_points(lines: DataFrame) -> DataFrame:
     """GNSS records and, with a reason, the lines that gave none."""
     parsed = parse_sentences(lines)
@@ -69,16 +66,23 @@ def cast_points(lines: DataFrame, headers: DataFrame, calibrations: DataFrame) -
     )
 
 
-def _family(lines: DataFrame, name: str) -> DataFrame:
-    return lines.where(file_type(F.col("source_file")) == name)
+def _staged_members(spark: SparkSession, path: str) -> DataFrame:
+    """Archive lines, unpacked once into a table by family in the shared folder."""
+    staging = scratch_dir(spark, "members")
+    member = member_source(read_archives(spark, path))
+    kind = F.when(is_companion(F.col("source_file")), "companion").otherwise(
+        file_type(F.col("source_file"))
+    )
+    member.withColumn("family", kind).write.partitionBy("family").parquet(staging)
+    schema = "source_file STRING, line_ord BIGINT, value STRING, family STRING"
+    return spark.read.schema(schema).parquet(staging).withColumn("ingest_ts", F.current_timestamp())
 
 
 def _documents_of(lines: DataFrame) -> DataFrame:
     """Companion members of archives, whole; a companion is a small file."""
     line = F.struct("line_ord", "value")
     return (
-        lines.where(F.lower("source_file").rlike(r"\.(hdr|xmlcon)$"))
-        .groupBy("source_file")
+        lines.groupBy("source_file")
         .agg(F.array_sort(F.collect_list(line)).alias("_lines"))
         .select(
             "source_file",
@@ -89,46 +93,58 @@ def _documents_of(lines: DataFrame) -> DataFrame:
 
 def parse_directory(
     spark: SparkSession, path: str, options: JobOptions, pings: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Records of all families, and the rejected lines."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Timed text records, gridded and cast records, and the rejected lines.
+
+    The first are subject to keep-first, the second are not.
+    """
     glob = glob_of_patterns(options.watch_patterns)
-    files = read_lines(spark, path, glob)
-    members = member_source(read_archives(spark, path)).withColumn(
-        "ingest_ts", F.current_timestamp()
+    members = _staged_members(spark, path)
+
+    def lines(family: str) -> DataFrame:
+        inside = members.where(F.col("family") == family).drop("family")
+        return read_lines(spark, path, glob, family).unionByName(inside)
+
+    def documents(suffix: str) -> DataFrame:
+        inside = members.where(
+            (F.col("family") == "companion") & F.lower("source_file").endswith(suffix)
+        )
+        return read_documents(spark, path, glob_of([suffix])).unionByName(_documents_of(inside))
+
+    sentences = sentence_points(lines("nmea"))
+    rows = csv_records(lines("csv").where(~is_companion(F.col("source_file"))))
+    text = concat_members(
+        [
+            sentences.where(F.col("reject_reason").isNull()).drop("value", "reject_reason"),
+            csv_points(rows),
+            cnv_points(lines("cnv")),
+        ]
+    )
+    casts = cast_points(
+        lines("hex"),
+        with_cast_key(parse_header(documents(".hdr"))),
+        with_cast_key(with_coefficients(parse_calibration(documents(".xmlcon")))),
     )
-    lines = files.where(file_type(F.col("source_file")) != "archive").unionByName(members)
-    documents = read_documents(spark, path, glob_of(COMPANIONS)).unionByName(_documents_of(members))
-    is_header = F.lower("source_file").endswith(".hdr")
-
-    sentences = sentence_points(_family(lines, "nmea"))
-    rows = csv_records(_family(lines, "csv").where(~F.lower("source_file").rlike(r"\.(hdr|xmlcon)$")))
-    parts = [
-        sentences.where(F.col("reject_reason").isNull()).drop("value", "reject_reason"),
-        csv_points(rows),
-        cnv_points(_family(lines, "cnv")),
-        cast_points(
-            _family(lines, "hex"),
-            with_cast_key(parse_header(documents.where(is_header))),
-            with_cast_key(with_coefficients(parse_calibration(documents.where(~is_header)))),
-        ),
-    ]
+    whole = [casts]
     if pings is not None:
-        parts.append(adcp_ensembles(pings).withColumn("line_ord", F.col("cell").cast("bigint")))
+        whole.append(adcp_ensembles(pings))
+
     rejected = F.col("reject_reason").isNotNull()
     columns = ["source_file", "line_ord", "value", "reject_reason"]
     rejects = sentences.where(rejected).select(columns).unionByName(
         rows.where(rejected).select(columns)
     )
-    family = file_type(F.col("source_file"))
-    records = concat_members(parts).withColumn("file_type", family)
-    return records.withColumn("source_file", archive_of(F.col("source_file"))), rejects
+    return _by_file(text), _by_file(concat_members(whole)), rejects
 
 
-def _deduplicated(records: DataFrame, options: JobOptions) -> DataFrame:
-    """Keep-first per file and time; rows without a time and cast scans stay whole."""
-    single = F.col("time").isNotNull() & (F.col("file_type") != "hex")
-    timed = dedupe_records(records.where(single), merge=options.merge_duplicates)
-    return timed.unionByName(records.where(~single))
+def _by_file(records: DataFrame) -> DataFrame:
+    """Family of the parsed file, then the file the rows are reported under."""
+    return records.withColumns(
+        {
+            "file_type": file_type(F.col("source_file")),
+            "source_file": archive_of(F.col("source_file")),
+        }
+    )
 
 
 def ingest_directory(
@@ -144,10 +160,11 @@ def ingest_directory(
     Writes ``data``, ``metadata``, ``rejects`` and ``results`` below ``out``.
     """
     configure(spark)
-    records, rejects = parse_directory(spark, path, options, pings)
-    enriched = rules_enrichment(records, list(options.provider_rules))
+    text, whole, rejects = parse_directory(spark, path, options, pings)
+    single = dedupe_records(text, merge=options.merge_duplicates)
+    records = concat_members([single, whole])
     staging = scratch_dir(spark, "staging")
-    _deduplicated(enriched, options).write.parquet(staging)
+    rules_enrichment(records, list(options.provider_rules)).write.parquet(staging)
     clean = spark.read.parquet(staging)
 
     write_table(clean, f"{out}/data", options, day)

@@ -38,24 +38,31 @@ def line_order() -> Column:
     return F.shiftleft(split, _ROW_BITS).bitwiseOR(row)
 
 
-def read_lines(spark: SparkSession, path: str | list[str], pattern: str = "*") -> DataFrame:
-    """Every line of every matching file below ``path``.
+def read_lines(
+    spark: SparkSession, path: str | list[str], pattern: str = "*", family: str | None = None
+) -> DataFrame:
+    """Every line of every matching file below ``path``, of one family if named.
+
+    The family is a condition on the path alone, so files of other families are
+    dropped from the scan before any is opened.
 
     Files are split and packed by the session's ``maxPartitionBytes`` and
     ``openCostInBytes``; ``ingest_ts`` is the file's modification time, so a
     rerun stamps bare sentences alike.
     """
-    return (
+    files = (
         spark.read.format("text")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(path)
-        .select(
-            F.col("_metadata.file_path").alias("source_file"),
-            line_order().alias("line_ord"),
-            F.col("_metadata.file_modification_time").alias("ingest_ts"),
-            F.make_valid_utf8("value").alias("value"),
-        )
+    )
+    if family:
+        files = files.where(file_type(F.col("_metadata.file_path")) == family)
+    return files.select(
+        F.col("_metadata.file_path").alias("source_file"),
+        line_order().alias("line_ord"),
+        F.col("_metadata.file_modification_time").alias("ingest_ts"),
+        F.make_valid_utf8("value").alias("value"),
     )
 
 
