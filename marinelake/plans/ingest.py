@@ -25,7 +25,7 @@ from marinelake.operators.casts import (
 from marinelake.operators.currents import adcp_ensembles
 from marinelake.operators.enrich import rules_enrichment
 from marinelake.operators.metadata import file_results, run_summary
-from marinelake.operators.quality import concat_members, dedupe_records
+from marinelake.operators.quality import concat_members, dedupe_records, split_rejects
 from marinelake.operators.sequence import scan_number
 from marinelake.options import JobOptions
 from marinelake.session import configure, scratch_dir
@@ -36,9 +36,16 @@ from marinelake.sources.lines import glob_of, glob_of_patterns, manifest, read_d
 from marinelake.sources.tables import cnv_records, csv_points, csv_records
 
 def sentence_points(lines: DataFrame) -> DataFrame:
-    """GNSS records and, with a reason, the lines that gave none."""
-    parsed = parse_sentences(lines)
-    return parsed.select("source_file", "line_ord", *gnss_columns(), "value", "reject_reason")
+    """GNSS records; lines that gave none keep their text and reason and lose their time."""
+    good = F.col("reject_reason").isNull()
+    return parse_sentences(lines).select(
+        "source_file",
+        "line_ord",
+        F.when(good, F.col("time")).alias("time"),
+        *[c for c in gnss_columns() if c != "time"],
+        F.when(~good, F.col("value")).alias("value"),
+        "reject_reason",
+    )
 
 
 def cnv_points(lines: DataFrame) -> DataFrame:
@@ -93,8 +100,8 @@ def _documents_of(lines: DataFrame) -> DataFrame:
 
 def parse_directory(
     spark: SparkSession, path: str, options: JobOptions, pings: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Timed text records, gridded and cast records, and the rejected lines.
+) -> tuple[DataFrame, DataFrame]:
+    """Text records with their rejected lines, and gridded and cast records.
 
     The first are subject to keep-first, the second are not.
     """
@@ -111,12 +118,11 @@ def parse_directory(
         )
         return read_documents(spark, path, glob_of([suffix])).unionByName(_documents_of(inside))
 
-    sentences = sentence_points(lines("nmea"))
     rows = csv_records(lines("csv").where(~is_companion(F.col("source_file"))))
     text = concat_members(
         [
-            sentences.where(F.col("reject_reason").isNull()).drop("value", "reject_reason"),
-            csv_points(rows),
+            sentence_points(lines("nmea")),
+            csv_points(rows, keep_rejects=True),
             cnv_points(lines("cnv")),
         ]
     )
@@ -129,12 +135,7 @@ def parse_directory(
     if pings is not None:
         whole.append(adcp_ensembles(pings))
 
-    rejected = F.col("reject_reason").isNotNull()
-    columns = ["source_file", "line_ord", "value", "reject_reason"]
-    rejects = sentences.where(rejected).select(columns).unionByName(
-        rows.where(rejected).select(columns)
-    )
-    return _by_file(text), _by_file(concat_members(whole)), rejects
+    return _by_file(text), _by_file(concat_members(whole))
 
 
 def _by_file(records: DataFrame) -> DataFrame:
@@ -160,16 +161,19 @@ def ingest_directory(
     Writes ``data``, ``metadata``, ``rejects`` and ``results`` below ``out``.
     """
     configure(spark)
-    text, whole, rejects = parse_directory(spark, path, options, pings)
+    text, whole = parse_directory(spark, path, options, pings)
     single = dedupe_records(text, merge=options.merge_duplicates)
     records = concat_members([single, whole])
     staging = scratch_dir(spark, "staging")
     rules_enrichment(records, list(options.provider_rules)).write.parquet(staging)
-    clean = spark.read.parquet(staging)
+    clean, rejects = split_rejects(spark.read.parquet(staging))
+    clean = clean.drop("value")
 
     write_table(clean, f"{out}/data", options, day)
     write_metadata(clean, f"{out}/metadata")
-    rejects.write.mode("overwrite").parquet(f"{out}/rejects")
+    rejects.select("source_file", "line_ord", "value", "reject_reason").write.mode(
+        "overwrite"
+    ).parquet(f"{out}/rejects")
     listed = manifest(spark, path, options.watch_patterns).select(
         F.col("path").alias("source_file"), "file_type", "length"
     )

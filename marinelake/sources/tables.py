@@ -53,26 +53,29 @@ def csv_records(lines: DataFrame) -> DataFrame:
     return parsed.drop("_cells", "header_ord")
 
 
-def csv_points(records: DataFrame) -> DataFrame:
+def csv_points(records: DataFrame, keep_rejects: bool = False) -> DataFrame:
     """Typed CTD points of :func:`csv_records`.
 
     A file without a time column keeps all its rows; one with it loses the rows
-    whose time cannot be read.
+    whose time cannot be read. ``keep_rejects`` passes rejected lines on with
+    their text and reason, so that one pass gives both.
     """
     record = F.col("record")
     core = ["time"] + CSV_MEASURES
     extra = F.map_filter(record, lambda key, _: ~key.isin(core))
-    good = records.where(F.col("reject_reason").isNull())
-    timed = F.array_contains("headers", "time")
+    rejected = F.col("reject_reason").isNotNull()
+    wanted = F.col("time").isNotNull() | ~F.array_contains("headers", "time")
+    about = [F.when(rejected, F.col("value")).alias("value"), "reject_reason"]
     return (
-        computed_once(good, {"time": utc_time(record["time"])})
-        .where(F.col("time").isNotNull() | ~timed)
+        computed_once(records, {"time": utc_time(record["time"])})
+        .where((rejected | wanted) if keep_rejects else (~rejected & wanted))
         .select(
             "source_file",
             "line_ord",
             "time",
             *[number(record[name]).alias(name) for name in CSV_MEASURES],
             extra.alias("extra"),
+            *(about if keep_rejects else []),
         )
     )
 
