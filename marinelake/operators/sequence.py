@@ -48,7 +48,7 @@ def with_previous(
     ``keys`` must not be null.
     """
     cut = df.withColumn("_block", _block(order))
-    lasts = cut.groupBy(*keys, "_block").agg(F.max_by(F.struct(value), order).alias("_last"))
+    lasts = cut.groupBy(*keys, "_block").agg(F.max_by(value, order).alias("_last"))
     edges = lasts.select(
         *keys,
         "_block",
@@ -60,7 +60,7 @@ def with_previous(
         cut.join(edges, [*keys, "_block"])
         .withColumn(
             name,
-            F.when(first, F.col("_before")[value]).otherwise(F.lag(value).over(inside)),
+            F.when(first, F.col("_before")).otherwise(F.lag(value).over(inside)),
         )
         .drop("_block", "_before")
     )

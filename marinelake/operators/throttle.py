@@ -39,10 +39,11 @@ def _nodes(
     """Records that can matter: per (key, time) the first unforced one and the forced mark.
 
     An unforced record that follows a forced one at the same time is never kept.
+    ``_chunk`` is the time the chunk starts.
     """
     forced = F.coalesce(F.col(force), F.lit(False)) if force else F.lit(False)
     number = F.col(order).cast("bigint")
-    chunk = F.floor(F.col("_us") / F.lit(chunk_us))
+    chunk = F.col("_us") - F.pmod(F.col("_us"), F.lit(chunk_us))
     timed = df.where(F.col(time).isNotNull()).select(
         *keys,
         F.unix_micros(F.col(time).cast("timestamp")).alias("_us"),
@@ -182,15 +183,16 @@ def _chunks(table: pa.Table, keys: list[str], gap: int) -> Iterator[tuple[int, _
         yield int(low), _Chunk(us[low:high], free[low:high], forced[low:high], gap)
 
 
-def _summarise(keys: list[str], gap: int, chunk_us: int) -> Callable:
+def _summarise(keys: list[str], gap: int) -> Callable:
     """Chunks to step functions: entry times up to ``_upto[i]`` leave with ``_leave[i]``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, [*keys, "_chunk"]):
-            number = _int64(table, "_chunk")
+            chunk_start = _int64(table, "_chunk")
             rows, upto, leave = [], [], []
             for low, chunk in _chunks(table, keys, gap):
-                steps = chunk.steps(int(number[low]) * chunk_us + gap)
+                # A record kept before the chunk holds off others for one gap at most.
+                steps = chunk.steps(int(chunk_start[low]) + gap)
                 rows.append(low)
                 upto.append(steps[0])
                 leave.append(steps[1])
@@ -282,7 +284,7 @@ def kept_records(
     key_types = _typed(df, keys)
     ordered = chunked.sortWithinPartitions(*keys, "_chunk", "_us")
     summaries = ordered.mapInArrow(
-        _summarise(keys, gap, chunk_us),
+        _summarise(keys, gap),
         f"{key_types}, _chunk BIGINT, _upto ARRAY<BIGINT>, _leave ARRAY<BIGINT>",
     )
     entries = (

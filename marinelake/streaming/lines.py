@@ -82,6 +82,17 @@ def stream_sentences(lines: DataFrame) -> DataFrame:
     return parsed.where(F.col("reject_reason").isNull()).select(*kept, *gnss_columns())
 
 
+def stream_deduplicated(
+    records: DataFrame, keys: list[str], watermark: str = WATERMARK
+) -> DataFrame:
+    """One record per key across micro-batches, as far back as the watermark.
+
+    Which copy is kept is not defined; within a micro-batch, use the keep-first
+    sink instead.
+    """
+    return records.withWatermark("time", watermark).dropDuplicatesWithinWatermark(keys)
+
+
 def stream_batch_results(
     records: DataFrame, keys: list[str], seconds: int = BATCH_SECONDS, watermark: str = WATERMARK
 ) -> DataFrame:
