@@ -35,14 +35,13 @@ def one_companion(companions: DataFrame, path: str = "source_file") -> DataFrame
 def companion_join(scans: DataFrame, headers: DataFrame, calibrations: DataFrame) -> DataFrame:
     """Scans with the header and calibration of their cast, each null when missing.
 
-    All three carry ``dir`` and ``stem_lc``. Companions are one row per cast and
-    are broadcast when their measured size allows; otherwise a hot cast is split
-    by the adaptive skew join.
+    All three carry ``dir`` and ``stem_lc``. The companions, one row per cast,
+    are brought together first, so that the scans are joined once: by broadcast
+    when the measured size allows, otherwise by a sort-merge join whose hot casts
+    the adaptive skew join can split.
     """
-    for companions in (headers, calibrations):
-        one = one_companion(companions).drop("source_file")
-        scans = scans.join(one, CAST_KEY, "left")
-    return scans
+    header, calibration_ = (one_companion(c).drop("source_file") for c in (headers, calibrations))
+    return scans.join(header.join(calibration_, CAST_KEY, "full"), CAST_KEY, "left")
 
 
 def cast_position(df: DataFrame) -> DataFrame:

@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from marinelake.options import RECORD_GAP_SECONDS
 
-# Gaps per chunk: a summary is smaller than its chunk by about this factor.
-CHUNK_GAPS = 1024
+# Gaps per chunk. A summary is smaller than its chunk by at least this factor, and a
+# task holds the times of one chunk.
+CHUNK_GAPS = 256
 
 _NONE = int(np.iinfo(np.int64).max)
 _OPEN = int(np.iinfo(np.int64).min)
