@@ -8,12 +8,12 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marinelake.options import JobOptions
 from marinelake.operators import metadata
+from marinelake.paths import arrow_filesystem
 from marinelake.plans import inputs
 from marinelake.plans.ingest import ingest_directory
 from marinelake.plans.inputs import NMEA_FIELDS_SQL, OBSERVATIONS_SQL
@@ -72,7 +72,7 @@ def sink_roundtrip(spark, sf_dir):
 )
 def list_outputs(spark, sf_dir):
     path = _written(spark, sf_dir)
-    listed = outputs_below(list_files(spark, path), f"file:{path}", ".parquet")
+    listed = outputs_below(list_files(spark, path), path, ".parquet")
     folder = F.regexp_extract("path", r"(campaign=[^/]*/dataset=[^/]*/ingest_date=[^/]*)/", 1)
     return listed.where(F.col("length") > 0).select(folder.alias("folder")).distinct()
 
@@ -177,7 +177,7 @@ def _archive_writer(folder: str):
     """Each task packs its Arrow batches as members of one archive of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filesystem, base = fs.FileSystem.from_uri(f"file://{folder}")
+        filesystem, base = arrow_filesystem(folder)
         filesystem.create_dir(base, recursive=True)
         name = f"{base}/{uuid.uuid4().hex}.tar.gz"
         members = 0

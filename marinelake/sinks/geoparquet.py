@@ -24,6 +24,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 from pyspark.sql.types import BinaryType
 
 from marinelake.operators.quality import has_position, valid_positions
+from marinelake.paths import arrow_filesystem
 
 FORMAT = "marinelake-geoparquet"
 
@@ -76,10 +77,6 @@ class _Written(WriterCommitMessage):
     final: str | None
 
 
-def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
-
-
 class _Writer(DataSourceArrowWriter):
     def __init__(self, path: str, overwrite: bool):
         self.path = path
@@ -87,7 +84,7 @@ class _Writer(DataSourceArrowWriter):
         self.job = uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        filesystem, base = _filesystem(self.path)
+        filesystem, base = arrow_filesystem(self.path)
         name = f"part-{uuid.uuid4().hex}.parquet"
         temporary = f"{base}/_temporary-{self.job}/{name}"
         writer, bounds = None, []
@@ -112,7 +109,7 @@ class _Writer(DataSourceArrowWriter):
         return _Written(temporary, f"{base}/{name}")
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
-        filesystem, base = _filesystem(self.path)
+        filesystem, base = arrow_filesystem(self.path)
         filesystem.create_dir(base, recursive=True)
         before = [
             f.path
@@ -128,7 +125,7 @@ class _Writer(DataSourceArrowWriter):
         self._clean(filesystem, base)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        self._clean(*_filesystem(self.path))
+        self._clean(*arrow_filesystem(self.path))
 
     def _clean(self, filesystem: fs.FileSystem, base: str) -> None:
         temporary = f"{base}/_temporary-{self.job}"

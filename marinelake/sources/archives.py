@@ -6,11 +6,11 @@ import tarfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marinelake.functions.names import COMPANION_SUFFIXES, FILE_TYPES, has_suffix
+from marinelake.paths import arrow_filesystem
 from marinelake.sources.lines import glob_of, list_files
 
 LINES_PER_BATCH = 8192
@@ -20,9 +20,7 @@ MEMBER_LINE = "archive STRING, member STRING, line_ord BIGINT, value STRING"
 
 def _open(path: str) -> pa.NativeFile:
     """A sequential reader for a path of any filesystem Arrow knows."""
-    if "://" not in path and path.startswith("file:"):
-        path = path[len("file:"):]
-    filesystem, name = fs.FileSystem.from_uri(path)
+    filesystem, name = arrow_filesystem(path)
     return filesystem.open_input_stream(name, compression=None)
 
 

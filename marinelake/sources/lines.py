@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marinelake.functions.names import file_name, file_type, is_companion
+from marinelake.paths import without_scheme
 
 
 def _case_blind(suffix: str) -> str:
@@ -112,7 +113,6 @@ def first_files(files: DataFrame, count: int, path: str = "path") -> DataFrame:
 
 
 def outputs_below(files: DataFrame, prefix: str, suffix: str = "", path: str = "path") -> DataFrame:
-    """Files whose path starts with ``prefix`` and ends with ``suffix``."""
-    return files.where(
-        F.startswith(F.col(path), F.lit(prefix)) & F.endswith(F.col(path), F.lit(suffix))
-    )
+    """Files whose path, schemes aside, starts with ``prefix`` and ends with ``suffix``."""
+    here, wanted = without_scheme(F.col(path)), without_scheme(F.lit(prefix))
+    return files.where(F.startswith(here, wanted) & F.endswith(here, F.lit(suffix)))
