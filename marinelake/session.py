@@ -32,9 +32,13 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where none is set."""
+    """The shared folder the cluster names. Only a local session may go without:
+    there one machine runs all tasks, and a folder of its own is set."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         shared = tempfile.mkdtemp(prefix="marinelake-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return shared
