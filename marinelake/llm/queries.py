@@ -1,6 +1,6 @@
 """All queries of the training-data operators."""
 
-from marinelake.llm import packing, pieces, wavelet
+from marinelake.llm import minhash, packing, pieces, wavelet
 from marinelake.llm.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "packing", "pieces", "wavelet"]
+__all__ = ["ORACLES", "QUERIES", "minhash", "packing", "pieces", "wavelet"]
