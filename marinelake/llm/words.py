@@ -16,6 +16,9 @@ _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _STEP = np.uint64(int(_rng.integers(1 << 62, 1 << 63)) | 1)
 _BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
 
+#: Bytes with ASCII capitals as small letters and other ASCII characters as blanks.
+_PLAIN = np.array([ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(128)] + list(range(128, 256)), np.uint8)
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A fixed permutation of 64-bit values that spreads every bit."""
@@ -50,6 +53,10 @@ def word_hashes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     """The hash of every word, and the offset of each text in them."""
     data, offsets = word_bytes(texts)
     starts, ends = _edges(data, offsets)
+    return _hashes(data, starts, ends), np.searchsorted(starts, offsets)
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     out = np.empty(len(starts), np.uint64)
     first = 0
     while first < len(starts):  # blocks of whole words
@@ -66,7 +73,31 @@ def word_hashes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         a, b = starts[first:last] - lo, ends[first:last] - lo
         out[first:last] = mix((sums[b] - sums[a]) * back[a])
         first = last
-    return out, np.searchsorted(starts, offsets)
+    return out
+
+
+def placed_words(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of words with their places: hash, first byte and byte after the last
+    within the text, and the offset of each text in the words.
+
+    Words are runs of ASCII letters and digits and of characters beyond ASCII other
+    than common blanks and punctuation. Case does not count, but for texts that small
+    letters would make longer or shorter: there it does beyond ASCII."""
+    small = pc.utf8_lower(texts)
+    texts = pc.if_else(pc.equal(pc.binary_length(small), pc.binary_length(texts)), small, texts)
+    data, offsets = value_bytes(texts)
+    lo, hi = int(offsets[0]), int(offsets[-1])
+    own = _PLAIN[data[lo:hi]]
+    if len(own) and own.max() > 127:
+        second = np.append(own[1:], 0)
+        two = (own == 0xC2) & (second >= 0xA0) & (second <= 0xBF)
+        three = ((own == 0xE2) & ((second == 0x80) | (second == 0x81))) | ((own == 0xE3) & (second == 0x80))
+        at = np.concatenate([np.flatnonzero(two), np.flatnonzero(two) + 1, *(np.flatnonzero(three) + i for i in range(3))])
+        own[at[at < len(own)]] = 32
+    starts, ends = _edges(own, offsets - lo)
+    words = np.searchsorted(starts, offsets - lo)
+    base = np.repeat(offsets[:-1] - lo, np.diff(words))
+    return _hashes(own, starts, ends), starts - base, ends - base, words
 
 
 def shingles(words: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
