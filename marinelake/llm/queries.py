@@ -1,6 +1,6 @@
 """All queries of the training-data operators."""
 
-from marinelake.llm import language, minhash, multi_index, neighbours, packing, passages, pieces, surrogates, wavelet
+from marinelake.llm import language, licences, minhash, multi_index, neighbours, packing, passages, pieces, surrogates, wavelet
 from marinelake.llm.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "language", "minhash", "multi_index", "neighbours", "packing", "passages", "pieces", "surrogates", "wavelet"]
+__all__ = ["ORACLES", "QUERIES", "language", "licences", "minhash", "multi_index", "neighbours", "packing", "passages", "pieces", "surrogates", "wavelet"]
