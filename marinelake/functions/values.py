@@ -44,6 +44,26 @@ def utc_time(text: Column) -> Column:
     return F.try_to_timestamp(strip(text))
 
 
+# Fixed formats of table files beside ISO-8601; month before day.
+TIME_FORMATS = (
+    "M/d/yyyy H:mm:ss",
+    "M/d/yyyy H:mm",
+    "M/d/yyyy",
+    "yyyy/M/d H:mm:ss",
+    "yyyyMMdd'T'HHmmssX",
+    "yyyyMMdd'T'HHmmss",
+    "d MMM yyyy H:mm:ss",
+    "d MMM yyyy H:mm",
+    "d-MMM-yyyy H:mm:ss",
+)
+
+
+def table_time(text: Column) -> Column:
+    """Text of a table cell to an instant, in ISO-8601 or one of the fixed formats."""
+    cell = strip(text)
+    return F.coalesce(utc_time(text), *[F.try_to_timestamp(cell, F.lit(f)) for f in TIME_FORMATS])
+
+
 def guessed_value(text: Column) -> Column:
     """A stream cell as ``struct(kind, num, text)``.
 

@@ -58,12 +58,18 @@ def enrich_provider(
     return enrich_by_key(df.withColumn("provider", provider), providers, "provider")
 
 
-def rules_enrichment(df: DataFrame, rules: list[ProviderRule], path: str = "source_file") -> DataFrame:
-    """Enrichment from rules alone: name, fixed coordinates and attributes, without a join."""
-    provider = detected_provider(F.col(path), rules)
+def rules_enrichment(
+    df: DataFrame, rules: list[ProviderRule], path: str = "source_file", name: str = "auto"
+) -> DataFrame:
+    """Enrichment from rules alone: name, fixed coordinates and attributes, without a join.
+
+    ``name`` picks one provider for all rows; ``auto`` finds it from the path. Of two
+    rules of one name the first supplies the values, as it is the one that detects.
+    """
+    provider = detected_provider(F.col(path), rules) if name == "auto" else F.lit(name)
     latitude, longitude = F.lit(None).cast("double"), F.lit(None).cast("double")
     attributes = F.create_map().cast("map<string,string>")
-    for rule in rules:
+    for rule in reversed(rules):
         chosen = F.col("provider") == rule.name
         latitude = F.when(chosen, F.lit(rule.latitude).cast("double")).otherwise(latitude)
         longitude = F.when(chosen, F.lit(rule.longitude).cast("double")).otherwise(longitude)

@@ -25,11 +25,19 @@ def written_count() -> Column:
 
 
 def file_metadata(df: DataFrame, source: str = "source_file", columns: list[str] | None = None) -> DataFrame:
-    """Counts, filled columns, time range and extent of each file."""
-    listed = columns or [c for c in df.columns if c not in (source, "line_ord")]
+    """Counts, filled columns, time range and extent of each file.
+
+    Columns are those of the file: what the job adds is left out, and the names in
+    ``extra`` are listed in its place.
+    """
+    added = (source, "line_ord", "extra", "file_type", "provider", "attributes")
+    listed = columns or [c for c in df.columns if c not in added]
     filled = F.array_compact(
         F.array(*[F.when(F.count(F.col(c)) > 0, F.lit(c)) for c in listed])
     )
+    if columns is None and "extra" in df.columns:
+        names = F.array_distinct(F.flatten(F.collect_set(F.map_keys("extra"))))
+        filled = F.concat(filled, F.array_sort(F.array_except(names, filled)))
     return df.groupBy(source).agg(
         F.count(F.lit(1)).alias("record_count"),
         written_count().alias("written_count"),

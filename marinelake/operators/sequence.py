@@ -20,6 +20,14 @@ def _block(order: str) -> Column:
     return F.shiftright(F.col(order).cast("bigint"), BLOCK_BITS)
 
 
+def _join_blocks(rows: DataFrame, blocks: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with what is known of their block; null keys and orders match too."""
+    on = [*keys, "_block"]
+    renamed = blocks.withColumnsRenamed({c: f"_of_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in on]
+    return rows.join(renamed, same).drop(*[f"_of_{c}" for c in on])
+
+
 def with_position(
     df: DataFrame, keys: list[str], order: str, name: str = "position"
 ) -> DataFrame:
@@ -34,7 +42,7 @@ def with_position(
     )
     inside = Window.partitionBy(*keys, "_block").orderBy(order)
     return (
-        cut.join(starts, [*keys, "_block"])
+        _join_blocks(cut, starts, keys)
         .withColumn(name, F.col("_start") + F.row_number().over(inside))
         .drop("_block", "_start")
     )
@@ -45,7 +53,7 @@ def with_previous(
 ) -> DataFrame:
     """Add ``value`` of the previous row of the key by a unique BIGINT ``order``.
 
-    ``keys`` must not be null.
+    Null keys are a key, and rows without an order come first.
     """
     cut = df.withColumn("_block", _block(order))
     lasts = cut.groupBy(*keys, "_block").agg(F.max_by(value, order).alias("_last"))
@@ -57,7 +65,7 @@ def with_previous(
     inside = Window.partitionBy(*keys, "_block").orderBy(order)
     first = F.row_number().over(inside) == 1
     return (
-        cut.join(edges, [*keys, "_block"])
+        _join_blocks(cut, edges, keys)
         .withColumn(
             name,
             F.when(first, F.col("_before")).otherwise(F.lag(value).over(inside)),

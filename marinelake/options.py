@@ -12,7 +12,7 @@ SUMMARY_GAP_SECONDS = 300
 ENSEMBLE_SECONDS = 120
 TRANSDUCER_DEPTH_M = 7.0
 CORRELATION_THRESHOLD = 64
-WATCH_PATTERNS = "*.csv,*.txt,*.hex,*.cnv,*.raw,*.ad2cp,*.tar.gz"
+WATCH_PATTERNS = "*.csv,*.txt,*.hex,*.cnv,*.raw,*.ad2cp,*.tar.gz,*.tgz"
 DATASET = "sensordata"
 
 

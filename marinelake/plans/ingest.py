@@ -28,8 +28,8 @@ from marinelake.operators.metadata import file_results, run_summary
 from marinelake.operators.quality import concat_members, dedupe_records, split_rejects
 from marinelake.operators.sequence import scan_number
 from marinelake.options import JobOptions
-from marinelake.session import configure, scratch_dir
-from marinelake.sinks.tables import write_metadata, write_table
+from marinelake.session import configure, remove_dir, scratch_dir
+from marinelake.sinks.tables import current_table, new_run, write_metadata, write_table
 from marinelake.sources.archives import archive_of, member_source, read_archives
 from marinelake.sources.casts import parse_calibration, parse_header, scan_lines
 from marinelake.sources.lines import glob_of, glob_of_patterns, manifest, read_documents, read_lines
@@ -73,14 +73,20 @@ def cast_points(lines: DataFrame, headers: DataFrame, calibrations: DataFrame) -
     )
 
 
-def _staged_members(spark: SparkSession, path: str) -> DataFrame:
-    """Archive lines, unpacked once into a table by family in the shared folder."""
-    staging = scratch_dir(spark, "members")
+def _staged_members(spark: SparkSession, path: str, staging: str) -> DataFrame:
+    """Archive lines, unpacked once into a table by family in the shared folder.
+
+    The family ``error`` holds the archives that could not be read to their end.
+    """
     member = member_source(read_archives(spark, path))
-    kind = F.when(is_companion(F.col("source_file")), "companion").otherwise(
-        file_type(F.col("source_file"))
+    kind = (
+        F.when(F.col("error").isNotNull(), "error")
+        .when(is_companion(F.col("source_file")), "companion")
+        .otherwise(file_type(F.col("source_file")))
     )
-    member.withColumn("family", kind).write.partitionBy("family").parquet(staging)
+    member.withColumns({"family": kind, "value": F.coalesce("value", "error")}).drop("error").write.partitionBy(
+        "family"
+    ).parquet(staging)
     schema = "source_file STRING, line_ord BIGINT, value STRING, family STRING"
     return spark.read.schema(schema).parquet(staging).withColumn("ingest_ts", F.current_timestamp())
 
@@ -99,14 +105,19 @@ def _documents_of(lines: DataFrame) -> DataFrame:
 
 
 def parse_directory(
-    spark: SparkSession, path: str, options: JobOptions, pings: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Text records with their rejected lines, and gridded and cast records.
+    spark: SparkSession,
+    path: str,
+    options: JobOptions,
+    pings: DataFrame | None = None,
+    unpacked: str | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Text records with their rejected lines, gridded and cast records, and errors.
 
-    The first are subject to keep-first, the second are not.
+    The first are subject to keep-first, the second are not; the third have
+    ``source_file`` and ``error``. ``unpacked`` is where archives are unpacked.
     """
     glob = glob_of_patterns(options.watch_patterns)
-    members = _staged_members(spark, path)
+    members = _staged_members(spark, path, unpacked or scratch_dir(spark, "members"))
 
     def lines(family: str) -> DataFrame:
         inside = members.where(F.col("family") == family).drop("family")
@@ -135,7 +146,8 @@ def parse_directory(
     if pings is not None:
         whole.append(adcp_ensembles(pings))
 
-    return _by_file(text), _by_file(concat_members(whole))
+    errors = members.where(F.col("family") == "error").select("source_file", F.col("value").alias("error"))
+    return _by_file(text), _by_file(concat_members(whole)), errors
 
 
 def _by_file(records: DataFrame) -> DataFrame:
@@ -158,28 +170,32 @@ def ingest_directory(
 ) -> DataFrame:
     """Read, normalise and write all files below ``path``; returns the result per file.
 
-    Writes ``data``, ``metadata``, ``rejects`` and ``results`` below ``out``.
+    Adds a run to ``data``, ``metadata``, ``rejects`` and ``results`` below ``out``;
+    :func:`current_table` reads what holds now. A file that is taken in again replaces
+    its own rows and no others. The results are written last and make the run count.
+    A damaged archive gets the status ``error`` and does not stop the others.
     """
     configure(spark)
-    text, whole = parse_directory(spark, path, options, pings)
+    run, unpacked = new_run(), scratch_dir(spark, "members")
+    text, whole, errors = parse_directory(spark, path, options, pings, unpacked)
     single = dedupe_records(text, merge=options.merge_duplicates)
     records = concat_members([single, whole])
     staging = scratch_dir(spark, "staging")
-    rules_enrichment(records, list(options.provider_rules)).write.parquet(staging)
+    enriched = rules_enrichment(records, list(options.provider_rules), name=options.provider)
+    enriched.write.parquet(staging)
     clean, rejects = split_rejects(spark.read.parquet(staging))
     clean = clean.drop("value")
 
-    write_table(clean, f"{out}/data", options, day)
-    write_metadata(clean, f"{out}/metadata")
-    rejects.select("source_file", "line_ord", "value", "reject_reason").write.mode(
-        "overwrite"
-    ).parquet(f"{out}/rejects")
+    write_table(clean, f"{out}/data", options, day, run=run)
+    write_metadata(clean, f"{out}/metadata/run={run}")
+    rejects.select("source_file", "line_ord", "value", "reject_reason").write.parquet(f"{out}/rejects/run={run}")
     listed = manifest(spark, path, options.watch_patterns).select(
         F.col("path").alias("source_file"), "file_type", "length"
     )
-    results = file_results(listed, clean)
-    results.write.mode("overwrite").parquet(f"{out}/results")
-    return spark.read.parquet(f"{out}/results")
+    file_results(listed, clean, errors).write.parquet(f"{out}/results/run={run}")
+    for folder in (staging, unpacked):
+        remove_dir(spark, folder)
+    return spark.read.parquet(f"{out}/results/run={run}")
 
 
-__all__ = ["ingest_directory", "parse_directory", "run_summary"]
+__all__ = ["current_table", "ingest_directory", "parse_directory", "run_summary"]

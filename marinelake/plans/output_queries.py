@@ -80,9 +80,11 @@ def list_outputs(spark, sf_dir):
 @query(
     "geo_points",
     f"""{OBS}
-    SELECT source_file, line_ord, latitude, longitude, 21::BIGINT AS wkb_bytes,
-           '0101000000' AS wkb_head
-    FROM obs WHERE latitude IS NOT NULL AND longitude IS NOT NULL
+    SELECT source_file, line_ord, latitude, longitude,
+           CASE WHEN latitude + longitude IS NOT NULL THEN 21::BIGINT END AS wkb_bytes,
+           CASE WHEN latitude + longitude IS NOT NULL THEN '0101000000' END AS wkb_head
+    FROM obs WHERE latitude + longitude IS NOT NULL
+       OR source_file NOT IN (SELECT source_file FROM obs WHERE latitude + longitude IS NOT NULL)
     """,
 )
 def geo_points(spark, sf_dir):

@@ -44,6 +44,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return shared
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder in whatever file system it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, not yet existing folder below the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import BinaryType
 
-from marinelake.operators.quality import has_position, valid_positions
+from marinelake.operators.quality import valid_positions
 from marinelake.paths import arrow_filesystem
 
 FORMAT = "marinelake-geoparquet"
@@ -153,8 +153,9 @@ class GeoParquetSource(DataSource):
 
 
 def write_geoparquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write the positioned rows of ``df`` with their geometry."""
+    """Write the rows of ``df`` with their geometry; a file without any position is
+    written whole, with null geometry."""
     spark: SparkSession = df.sparkSession
     spark.dataSource.register(GeoParquetSource)
-    located = with_geometry(valid_positions(df).where(has_position()))
+    located = with_geometry(valid_positions(df))
     located.write.format(FORMAT).mode(mode).option("path", path).save()

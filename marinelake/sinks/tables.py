@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from datetime import datetime, timezone
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marinelake.functions.names import campaign_name
@@ -30,9 +33,13 @@ def write_table(
     options: JobOptions,
     day: Column | None = None,
     files_per_day: int | None = None,
+    run: str | None = None,
 ) -> None:
     """Write the positioned rows; a rerun replaces the days it touches.
 
+    With a ``run`` the rows are added below ``run=...`` and nothing is replaced:
+    :func:`current_table` reads each file's rows of its latest run.
+
     Rows are clustered by ``source_file`` and time so that readers can skip row
     groups. Days are range-split, never one task per day or per file.
     """
@@ -43,13 +50,30 @@ def write_table(
         if files_per_day
         else laid.repartitionByRange(*order)
     )
-    (
-        spread.sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*LAYOUT)
-        .parquet(path)
-    )
+    placed = spread.sortWithinPartitions(*order)
+    if run:
+        placed.withColumn("run", F.lit(run)).write.mode("append").partitionBy(*LAYOUT, "run").parquet(path)
+    else:
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            *LAYOUT
+        ).parquet(path)
+
+
+def new_run() -> str:
+    """A name for a run; later runs have later names."""
+    return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+
+def current_table(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """Rows of an output table that hold now: of each file those of its latest run.
+
+    A run counts once its results are written, which is its last step; what a failed
+    run left behind is not seen.
+    """
+    results = spark.read.option("mergeSchema", "true").parquet(f"{out}/results")
+    latest = results.groupBy("source_file").agg(F.max("run").alias("run"))
+    table = spark.read.option("mergeSchema", "true").parquet(f"{out}/{name}")
+    return table.join(latest, ["source_file", "run"], "left_semi").drop("run")
 
 
 def metadata_table(df: DataFrame) -> DataFrame:

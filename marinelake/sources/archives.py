@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tarfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,7 +16,14 @@ from marinelake.sources.lines import glob_of, list_files
 
 LINES_PER_BATCH = 8192
 
-MEMBER_LINE = "archive STRING, member STRING, line_ord BIGINT, value STRING"
+MEMBER_LINE = "archive STRING, member STRING, line_ord BIGINT, value STRING, error STRING"
+
+_SUFFIXES = tuple(
+    suffix
+    for family, kinds in [*FILE_TYPES.items(), ("companion", COMPANION_SUFFIXES)]
+    if family != "archive"
+    for suffix in kinds
+)
 
 
 def _open(path: str) -> pa.NativeFile:
@@ -27,10 +35,12 @@ def _open(path: str) -> pa.NativeFile:
 def _member_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines of the regular-file members of each listed archive, batch by batch.
 
-    ``line_ord`` runs through the archive, so it also orders the members.
+    ``line_ord`` runs through the archive, so it also orders the members. Members that
+    are no data files are not read. A damaged archive gives the lines before the damage
+    and one row with the ``error``.
     """
-    names = ["archive", "member", "line_ord", "value"]
-    types = [pa.string(), pa.string(), pa.int64(), pa.string()]
+    names = ["archive", "member", "line_ord", "value", "error"]
+    types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -41,17 +51,20 @@ def _member_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for path in batch.column("path").to_pylist():
             rows: list[tuple] = []
             number = 0
-            with _open(path) as raw, tarfile.open(fileobj=raw, mode="r|gz") as tar:
-                for member in tar:
-                    if not member.isfile():
-                        continue
-                    for line in tar.extractfile(member):
-                        text = line.decode("utf-8", errors="replace").rstrip("\r\n")
-                        rows.append((path, member.name, number, text))
-                        number += 1
-                        if len(rows) >= LINES_PER_BATCH:
-                            yield batch_of(rows)
-                            rows = []
+            try:
+                with _open(path) as raw, tarfile.open(fileobj=raw, mode="r|gz") as tar:
+                    for member in tar:
+                        if not member.isfile() or not member.name.lower().endswith(_SUFFIXES):
+                            continue
+                        for line in tar.extractfile(member):
+                            text = line.decode("utf-8", errors="replace").rstrip("\r\n")
+                            rows.append((path, member.name, number, text, None))
+                            number += 1
+                            if len(rows) >= LINES_PER_BATCH:
+                                yield batch_of(rows)
+                                rows = []
+            except (tarfile.TarError, OSError, EOFError, zlib.error) as error:
+                rows.append((path, None, number, None, f"{type(error).__name__}: {error}"))
             if rows:
                 yield batch_of(rows)
 
@@ -77,7 +90,7 @@ def read_archives(spark: SparkSession, path: str, tasks: int | None = None) -> D
     spread = archives.repartition(tasks, "path") if tasks else archives.repartition("path")
     member = F.col("member")
     return spread.mapInArrow(_member_lines, MEMBER_LINE).where(
-        is_safe_member(member) & is_data_member(member)
+        F.col("error").isNotNull() | (is_safe_member(member) & is_data_member(member))
     )
 
 
@@ -87,7 +100,7 @@ def archive_of(path: Column) -> Column:
 
 
 def member_source(lines: DataFrame) -> DataFrame:
-    """Archive lines in the shape of a text scan."""
+    """Archive lines in the shape of a text scan; ``error`` rows are of the archive."""
     return lines.select(
-        F.concat_ws("/", "archive", "member").alias("source_file"), "line_ord", "value"
+        F.concat_ws("/", "archive", "member").alias("source_file"), "line_ord", "value", "error"
     )

@@ -24,21 +24,25 @@ def glob_of_patterns(patterns: str) -> str:
 
 
 # The low bits of a monotonically increasing id count the rows of a partition.
-_ROW_BITS = 33
-_SPLIT_UNIT = 64 * 1024
+_ROW_BITS = 31
+_SPLIT_UNIT = 512
 
 
 def line_order() -> Column:
     """Orders the lines of a file as one BIGINT: split first, then row in the split.
 
-    Exact for splits of 64 KiB and more, which the default ``openCostInBytes`` of
-    4 MiB ensures.
+    Exact for splits of 512 bytes and more and files below 2 TiB.
     """
     split = F.floor(F.col("_metadata.file_block_start") / _SPLIT_UNIT)
     row = F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1)
     return F.shiftleft(split, _ROW_BITS).bitwiseOR(row)
 
 
+def source_path() -> Column:
+    """The path of the file being read as it is on disk: the scan gives it URL-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def read_lines(
     spark: SparkSession, path: str | list[str], pattern: str = "*", family: str | None = None
 ) -> DataFrame:
@@ -60,7 +64,7 @@ def read_lines(
     if family:
         files = files.where(file_type(F.col("_metadata.file_path")) == family)
     return files.select(
-        F.col("_metadata.file_path").alias("source_file"),
+        source_path().alias("source_file"),
         line_order().alias("line_ord"),
         F.col("_metadata.file_modification_time").alias("ingest_ts"),
         F.make_valid_utf8("value").alias("value"),
@@ -76,7 +80,7 @@ def read_documents(spark: SparkSession, path: str | list[str], pattern: str) ->
         .option("pathGlobFilter", pattern)
         .load(path)
         .select(
-            F.col("_metadata.file_path").alias("source_file"),
+            source_path().alias("source_file"),
             F.make_valid_utf8("value").alias("content"),
         )
     )

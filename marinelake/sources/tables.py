@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marinelake.functions.lines import csv_record, split_quoted_cells
-from marinelake.functions.values import computed_once, number, strip, utc_time
+from marinelake.functions.values import computed_once, number, strip, table_time
 from marinelake.schemas import CSV_MEASURES
 
 
@@ -56,19 +56,21 @@ def csv_records(lines: DataFrame) -> DataFrame:
 def csv_points(records: DataFrame, keep_rejects: bool = False) -> DataFrame:
     """Typed CTD points of :func:`csv_records`.
 
-    A file without a time column keeps all its rows; one with it loses the rows
-    whose time cannot be read. ``keep_rejects`` passes rejected lines on with
-    their text and reason, so that one pass gives both.
+    A file without a time column keeps all its rows; in one with it, rows whose time
+    cannot be read are rejected as ``bad_time``. ``keep_rejects`` passes rejected
+    lines on with their text and reason, so that one pass gives both.
     """
     record = F.col("record")
     core = ["time"] + CSV_MEASURES
     extra = F.map_filter(record, lambda key, _: ~key.isin(core))
     rejected = F.col("reject_reason").isNotNull()
-    wanted = F.col("time").isNotNull() | ~F.array_contains("headers", "time")
+    late = F.col("time").isNull() & F.array_contains("headers", "time")
+    reason = F.coalesce("reject_reason", F.when(late, "bad_time"))
     about = [F.when(rejected, F.col("value")).alias("value"), "reject_reason"]
     return (
-        computed_once(records, {"time": utc_time(record["time"])})
-        .where((rejected | wanted) if keep_rejects else (~rejected & wanted))
+        computed_once(records, {"time": table_time(record["time"])})
+        .withColumn("reject_reason", reason)
+        .where(F.lit(True) if keep_rejects else ~rejected)
         .select(
             "source_file",
             "line_ord",

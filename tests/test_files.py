@@ -11,10 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from marinelake import JobOptions, ProviderRule
-from marinelake.operators.sequence import with_position
+from marinelake.operators.sequence import with_position, with_previous
 from marinelake.plans.ingest import ingest_directory, run_summary
 from marinelake.sinks.geoparquet import write_geoparquet
-from marinelake.sinks.tables import write_table
+from marinelake.sinks.tables import current_table, write_table
 from marinelake.sources.archives import read_archives
 from marinelake.sources.lines import first_files, glob_of, list_files, manifest, read_lines
 from marinelake.streaming.lines import micro_batch_writer, stream_lines, stream_sentences
@@ -74,6 +74,14 @@ def folder(tmp_path):
     return base
 
 
+def test_null_keys_and_orders_stay(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), (None, 2), (None, 1 << 40)], "k STRING, o BIGINT")
+    got = with_position(df, ["k"], "o").collect()
+    assert sorted((str(r.k), r.position) for r in got) == [("None", 1), ("None", 2), ("a", 1), ("a", 2)]
+    last = with_previous(df, ["k"], "o", "o", "before").collect()
+    assert len(last) == 4 and {r.before for r in last if r.o == 1 << 40} == {2}
+
+
 PATTERNS = "*.csv,*.CSV,*.txt,*.hex,*.cnv,*.raw,*.tar.gz"
 
 
@@ -89,7 +97,7 @@ def test_line_order_across_splits(spark, tmp_path):
     """One file in many splits keeps its order."""
     path = tmp_path / "long.txt"
     path.write_text("\n".join(f"{i:09d}" for i in range(60000)))
-    settings = {"spark.sql.files.maxPartitionBytes": "65536", "spark.sql.files.openCostInBytes": "65536"}
+    settings = {"spark.sql.files.maxPartitionBytes": "16384", "spark.sql.files.openCostInBytes": "16384"}
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
@@ -146,7 +154,33 @@ def test_ingest_directory(spark, folder, tmp_path):
 
     again = ingest_directory(spark, str(folder), out, options, day=F.lit("2024-03-01"))
     assert again.count() == 7
-    assert spark.read.parquet(f"{out}/data").count() == 17
+    assert current_table(spark, out, "data").count() == 17
+
+
+def test_a_second_folder_adds_and_a_rerun_replaces(spark, tmp_path):
+    out, options = str(tmp_path / "out"), JobOptions(provider="r2r")
+    header = "time,latitude,longitude,TEMP\n"
+    for name, text in {
+        "a/my file+%41.csv": "2023-06-01T00:00:00Z,1,2,3\n06/02/2023 01:00:00,1,2,4\n1 Jun 2023 00:30,1,2,5\nno time,1,2,6\n",
+        "b/x.csv": "20230601T000000Z,1,2,7\n",
+    }.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(header + text)
+    (tmp_path / "b" / "broken.tar.gz").write_bytes(b"\x1f\x8b not an archive")
+    _tar(tmp_path / "b" / "y.tgz", [("z.csv", header + "2023-06-01T00:00:00Z,1,2,8\n")])
+    first = ingest_directory(spark, str(tmp_path / "a"), out, options).collect()
+    assert [(r.source_file.rsplit("/", 1)[1], r.status, r.record_count) for r in first] == [("my file+%41.csv", "ok", 3)]
+    second = ingest_directory(spark, str(tmp_path / "b"), out, options).collect()
+    assert {r.source_file.rsplit("/", 1)[1]: r.status for r in second} == {"x.csv": "ok", "broken.tar.gz": "error", "y.tgz": "ok"}
+    for _ in range(2):
+        rows = current_table(spark, out, "data").collect()
+        assert sorted(r.TEMP for r in rows) == [3.0, 4.0, 5.0, 7.0, 8.0]
+        assert {r.provider for r in rows} == {"r2r"}
+        assert [r.reject_reason for r in current_table(spark, out, "rejects").collect()] == ["bad_time"]
+        listed = {c for r in current_table(spark, out, "metadata").collect() for c in r["columns"]}
+        assert "TEMP" in listed and not listed & {"extra", "file_type", "attributes"}
+        (tmp_path / "a" / "my file+%41.csv").write_text(header + "2023-06-01T00:00:00Z,1,2,3\n2023-06-01T01:00:00Z,1,2,4\n2023-06-01T02:00:00Z,1,2,5\nx,1,2,3\n")
+        ingest_directory(spark, str(tmp_path / "a"), out, options)
 
 
 def test_rerun_replaces_only_its_days(spark, tmp_path):
