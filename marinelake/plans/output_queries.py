@@ -22,7 +22,7 @@ from marinelake.plans.record_queries import GAP_HOURS, gap_sql
 from marinelake.plans.registry import query, shown, shown_sql, table
 from marinelake.session import scratch_dir
 from marinelake.sinks.geoparquet import write_geoparquet
-from marinelake.sinks.tables import metadata_table, telemetry, write_table
+from marinelake.sinks.tables import current_table, metadata_table, telemetry, write_table
 from marinelake.sources.archives import read_archives
 from marinelake.sources.lines import list_files, outputs_below
 from marinelake.streaming.lines import (
@@ -256,6 +256,59 @@ def ingest_job(spark, sf_dir):
     )
 
 
+@query(
+    "ingest_incremental",
+    f"""
+    WITH lines AS (
+        SELECT event_type, event_id, value, event_type = 'view' AND value < 5 AS bad,
+               CASE WHEN event_type IN ('click', 'purchase') THEN date_trunc('second', ts) ELSE ts END AS t
+        FROM events
+    ), kept AS (
+        SELECT *, row_number() OVER (PARTITION BY event_type, t ORDER BY event_id) AS n
+        FROM lines WHERE NOT bad
+    )
+    SELECT event_type, count(*) AS records, {shown_sql('min(t)')} AS time_min,
+           {shown_sql('max(t)')} AS time_max, round(sum(value), 2) AS total
+    FROM kept WHERE n = 1 GROUP BY event_type
+    UNION ALL
+    SELECT 'bad_time', count(*), NULL, NULL, NULL FROM lines WHERE bad
+    """,
+)
+def ingest_incremental(spark, sf_dir):
+    """Two folders into one output on one day, with times in three formats, then the
+    first folder again: every row and every reject is there once."""
+    root, out = scratch_dir(spark, "folders"), scratch_dir(spark, "out")
+    kind = F.col("event_type")
+    time = (
+        F.when((kind == "view") & (F.col("value") < 5), "sometime")
+        .when(kind == "click", F.date_format("ts", "yyyyMMdd'T'HHmmss'Z'"))
+        .when(kind == "purchase", F.date_format("ts", "MM/dd/yyyy HH:mm:ss"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    )
+    lines = table(spark, sf_dir, "events").select(
+        "event_type", "event_id", time.alias("time"), F.lit(41.2).alias("latitude"),
+        F.lit(1.8).alias("longitude"), F.col("value").alias("TEMP"),
+    )
+    first = kind.isin("click", "view")
+    for name, chosen in (("a", first), ("b", ~first)):
+        # One file per type: keep-first is by file.
+        lines.where(chosen).repartition("event_type").sortWithinPartitions("event_type", "event_id").drop(
+            "event_id"
+        ).write.partitionBy("event_type").option("header", True).csv(f"{root}/{name}")
+    for name in ("a", "b", "a"):
+        ingest_directory(spark, f"{root}/{name}", out, OPTIONS)
+    data = current_table(spark, out, "data").groupBy(
+        F.regexp_extract("source_file", "event_type=([a-z]*)", 1).alias("event_type")
+    ).agg(
+        F.count(F.lit(1)).alias("records"),
+        shown(F.min("time")).alias("time_min"),
+        shown(F.max("time")).alias("time_max"),
+        F.round(F.sum("TEMP"), 2).alias("total"),
+    )
+    rejects = current_table(spark, out, "rejects").groupBy("reject_reason").agg(F.count(F.lit(1)).alias("records"))
+    return data.unionByName(rejects.withColumnRenamed("reject_reason", "event_type"), allowMissingColumns=True)
+
+
 # --- streams --------------------------------------------------------------
 
 
