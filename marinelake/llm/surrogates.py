@@ -34,19 +34,34 @@ GIVEN = {
 }
 SYLLABLES = {"latin": ("bdfgklmnprstvz", "aeiou"), "cyrillic": ("бдгклмнпрствз", "аеиоу")}
 
+# Letters and digits for the search: ASCII ones and all beyond ASCII, a class that is
+# tested by comparisons and not by a look-up of properties.
+_W = r"A-Za-z0-9\x{80}-\x{10FFFF}"
 _NAME = r"\p{Lu}\p{L}+(?: \p{Lu}\p{L}+)?"
 #: Type and pattern; the first that matches a place decides.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    "email": rf"(?<![{_W}._%+-])[{_W}._%+-]{{1,64}}+@[{_W}-]++(?:\.[{_W}-]++)*\.\p{{L}}{{2,}}",
     "secret": r"(?i:token|secret|api[_-]?key|password|passwd)[\"']?\s{0,3}[=:]\s{0,3}[\"'][^\"'\s]{8,200}[\"']",
-    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "ip": r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\p{N}]|\.\d)",
-    "phone": r"(?<![\p{N}+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\p{N}+])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\d)",
-    "ssn": r"(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])",
-    "card": r"(?<![\p{N}-])(?:\d{4}[ -]){3}\d{1,7}(?![\p{N}-])|(?<!\p{N})\d{13,19}(?!\p{N})",
-    "person": rf"(?<![\p{{L}}\p{{N}}])(?:{FEMALE}|{MALE}|{ANY})\.? {_NAME}",
+    "iban": rf"(?<![{_W}])[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?![{_W}])",
+    "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![0-9]|\.\d)",
+    "phone": r"(?<![0-9+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![0-9+])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\d)",
+    "ssn": r"(?<![0-9-])\d{3}-\d{2}-\d{4}(?![0-9-])",
+    "card": r"(?<![0-9-])(?:\d{4}[ -]){3}\d{1,7}(?![0-9-])|(?<![0-9])\d{13,19}(?![0-9])",
+    "person": rf"(?<![{_W}])(?:{FEMALE}|{MALE}|{ANY})\.? {_NAME}",
 }
-ANY_PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: First characters of each type: one test of a character spares most places the rest.
+_FIRST = {"secret": "[TtSsAaPp]", "iban": "[A-Z]", "person": "[MFSDPHг]"}
+
+
+def _any_pattern() -> str:
+    numbers = "|".join(PATTERNS[k] for k in ("ip", "phone", "ssn", "card"))
+    parts = [rf"(?=[0-9+(])(?:{numbers})"]
+    for kind in ("secret", "iban", "person"):
+        parts.append(rf"(?={_FIRST[kind]})(?:{PATTERNS[kind]})")
+    return "|".join([f"(?:{PATTERNS['email']})", *parts])
+
+
+ANY_PATTERN = _any_pattern()
 
 
 def _pick(options: list[str] | str, code: Column) -> Column:
