@@ -70,13 +70,14 @@ def kept_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Arrow batches of few rows: texts are long."""
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of few rows, for the session: texts are long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def text_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Only ``doc_id`` and ``text``, whatever else the table holds."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 

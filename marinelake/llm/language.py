@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marinelake.llm.common import crc32_of, slices, text_rows, texts_of
+from marinelake.llm.common import crc32_of, slices, small_batches, text_rows, texts_of
 from marinelake.llm.registry import query, table
 
 #: Labelled documents of a language that are learned from, about: a bound on the
@@ -136,6 +136,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text: str = "text",
     Ties go to the language that is first by name. A text that is null or has no
     letter gets ``und`` and 0. Only the text is looked at. ``docs`` must not have the
     two new columns; their names may be chosen."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_WORDS and MAX_GRAMS
     schema = docs.withColumns({lang_pred: F.lit("").cast("string"), score: F.lit(0.0)}).schema
 

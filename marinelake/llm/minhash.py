@@ -8,9 +8,11 @@ candidates, the similarity itself decides.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marinelake.llm.common import free_name, kept_table, slices, text_rows, texts_of
@@ -26,10 +28,14 @@ COUNTERS_LOG2 = 18
 #: A shingle of one document weighs 1 + IDF_RANGE, one of all documents weighs 1:
 #: a large group of copies must not lose what its members share.
 IDF_RANGE = 0.25
-#: Bits of two sketches that may differ. At similarity 0.8 a bit differs with
-#: probability 0.1, so more than 16 of 64 do in fewer than 1 of 10,000 pairs.
-SKETCH_BITS = 16
-_SLICE = 4 << 20
+#: Bits kept of every sample, and how many of the 64 samples may differ in them. At
+#: similarity 0.8 more than 24 do in fewer than 1 of 10,000 pairs.
+SKETCH_PLANES = 4
+SKETCH_DIFFERS = 24
+#: Leaders that a bucket's members are compared with, one after the other, before all
+#: that is still unsettled is compared.
+LEADERS = 4
+_SLICE = 2 << 20
 _BLOCK = 1 << 14
 
 
@@ -117,7 +123,8 @@ def document_frequencies(docs: DataFrame, size: int = SHINGLE) -> tuple[np.ndarr
 
 
 def _signatures(texts: DataFrame, shared, size: int) -> DataFrame:
-    """``key, bands, sketch`` of each text that has a word."""
+    """``key, bands, sketch`` of each text that has a word; the sketch is the lowest
+    bits of all samples, one word per bit."""
 
     def sign(batches):
         sampler = shared.value
@@ -130,11 +137,21 @@ def _signatures(texts: DataFrame, shared, size: int) -> DataFrame:
             bands = np.zeros((len(some), BANDS), np.uint64)
             for row in range(ROWS):
                 bands = mix(bands * np.uint64(31) + hashed[:, row::ROWS])
-            sketch = ((hashed & np.uint64(1)) << np.arange(SAMPLES, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(some)), lists, pa.array(sketch.view(np.int64))], ["key", "bands", "sketch"])
+            at = np.arange(SAMPLES, dtype=np.uint64)
+            planes = [((hashed >> np.uint64(p) & np.uint64(1)) << at).sum(axis=1, dtype=np.uint64) for p in range(SKETCH_PLANES)]
+            lists = [
+                pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel().view(np.int64)))
+                for x in (bands, np.stack(planes, axis=1))
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(some)), *lists], ["key", "bands", "sketch"])
+
+    return texts.select("key", "text").mapInArrow(sign, "key string, bands array<bigint>, sketch array<bigint>")
+
 
-    return texts.select("key", "text").mapInArrow(sign, "key string, bands array<bigint>, sketch bigint")
+def _near(a: str, b: str) -> Column:
+    """Whether two sketches allow the similarity."""
+    differs = [F.col(a)[p].bitwiseXOR(F.col(b)[p]) for p in range(SKETCH_PLANES)]
+    return F.bit_count(reduce(lambda x, y: x.bitwiseOR(y), differs)) <= SKETCH_DIFFERS
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, shared, size: int, similarity: float) -> DataFrame:
@@ -172,41 +189,41 @@ def similar_texts(texts: DataFrame, frequencies: np.ndarray, documents: int, sim
     """``node, component`` of every text that is linked; ``texts`` holds ``key, text``,
     one key for each different text, in any number of rows.
 
-    Members of a bucket are first compared with two leaders, its smallest and its
-    largest key. Where a bucket then still holds several components, their members
-    are compared across components, all of them whose sketches allow the similarity;
-    pairs inside a component need no check, for they change no class."""
+    The members of a bucket that are of other components than its leader are compared
+    with it, and it leaves the bucket, as nothing about it is open. After a few leaders
+    all members that are still of several components are compared across components.
+    Only pairs whose sketches allow the similarity are compared, and none inside a
+    component, for they change no class."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(Sampler(frequencies, documents))
     signed = kept_table(_signatures(texts, shared, size).dropDuplicates(["key"]), "signatures")
-    bands = signed.select("key", "sketch", F.posexplode("bands").alias("band", "hash"))
-    leaders = bands.groupBy("band", "hash").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
-    bucketed = kept_table(bands.join(leaders, ["band", "hash"]), "buckets")
-    stars = (
-        bucketed.select(F.col("key").alias("a"), F.explode(F.array("low", "high")).alias("b"))
-        .where("a <> b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
-    stars = kept_table(stars, "stars")
-    links = kept_table(_verified(stars, _text_of_pairs(texts, stars), shared, size, similarity), "links")
-    labels = components(links.select("a", "b"))
-    labelled = bucketed.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    labelled = kept_table(labelled.select("band", "hash", "key", "sketch", "component"), "labelled")
-    several = labelled.groupBy("band", "hash").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    unsettled = labelled.join(several.select("band", "hash"), ["band", "hash"])
-    left, right = unsettled.alias("l"), unsettled.alias("r")
-    rest = (
-        left.join(right, ["band", "hash"])
-        .where("l.key < r.key and l.component <> r.component")
-        .where(F.bit_count(F.col("l.sketch").bitwiseXOR(F.col("r.sketch"))) <= SKETCH_BITS)
-        .select(F.col("l.key").alias("a"), F.col("r.key").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    rest = kept_table(rest, "rest")
-    more = _verified(rest, _text_of_pairs(texts, rest), shared, size, similarity)
-    return components(links.select("a", "b").union(more.select("a", "b")))
+    bucket = ["band", "hash"]
+    bands = signed.select("key", F.posexplode("bands").alias("band", "hash"))
+    crowded = bands.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*bucket)
+    members = bands.join(crowded, bucket).join(signed.select("key", "sketch"), "key").withColumn("component", F.col("key"))
+    members = kept_table(members.select(*bucket, "key", "sketch", "component"), "buckets")
+    linked = spark.createDataFrame([], "node string, component string")
+
+    def joined(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = kept_table(pairs, "pairs")
+        found = _verified(pairs, _text_of_pairs(texts, pairs), shared, size, similarity)
+        return components(found.select("a", "b").union(linked.select("node", "component")))
+
+    for turn in range(LEADERS):
+        leader = members.groupBy(*bucket).agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("by"), "key", "component", "sketch")).alias("leader"))
+        led = members.join(leader, bucket)
+        linked = joined(led.where("component <> leader.component").where(_near("sketch", "leader.sketch")).select(F.col("key").alias("a"), F.col("leader.key").alias("b")))
+        left = led.where("key <> leader.key").select(*bucket, "key", "sketch")
+        left = left.join(linked.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+        left = kept_table(left, "left")
+        several = left.groupBy(*bucket).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+        members = kept_table(left.join(several.select(*bucket), bucket, "left_semi").select(*bucket, "key", "sketch", "component"), "buckets")
+        if members.isEmpty():
+            return linked
+    one, two = (members.select(*bucket, *(F.col(c).alias(f"{c}_{side}") for c in ("key", "sketch", "component"))) for side in "ab")
+    rest = one.join(two, bucket).where("key_a < key_b and component_a <> component_b").where(_near("sketch_a", "sketch_b"))
+    return joined(rest.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")))
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
