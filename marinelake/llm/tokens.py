@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from marinelake.llm.common import spread
 
 #: Distinct chunks a task remembers; at more it forgets all and goes on.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 #: A space before a blank, or at the end. Blanks: White_Space and what some
 #: regular expression libraries also take for it.
 _BLANK = r"[\s\p{Z}\x{0b}\x{1c}-\x{1f}\x{85}\x{180e}\x{200b}\x{feff}]"

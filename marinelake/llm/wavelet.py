@@ -45,12 +45,12 @@ class WaveletMatrix:
         x = ids.astype(np.uint16 if width <= 16 else np.uint32)
         planes, zeros, ones = [], [], []
         for k in range(width - 1, -1, -1):
-            bit = (x >> k & 1).astype(bool)
+            bit = x & x.dtype.type(1 << k) != 0
             packed = np.packbits(bit)
             planes.append(packed)
-            left = x[~bit]
+            left = np.flatnonzero(~bit)  # much faster than a mask as index
             zeros.append(len(left))
-            x = np.concatenate([left, x[bit]])
+            x = np.concatenate([x.take(left), x.take(np.flatnonzero(bit))])
             ones.append(cls._blocks(packed))
         return cls(len(ids), planes, zeros, ones)
 
@@ -131,8 +131,8 @@ class WaveletMatrix:
         for p in range(width - 1, -1, -1):
             bit = self._bits(p, 0, self.n).astype(bool)
             before = np.empty_like(x)
-            before[~bit] = x[: self.zeros[p]]
-            before[bit] = x[self.zeros[p] :] | x.dtype.type(1 << (width - 1 - p))
+            before[np.flatnonzero(~bit)] = x[: self.zeros[p]]
+            before[np.flatnonzero(bit)] = x[self.zeros[p] :] | x.dtype.type(1 << (width - 1 - p))
             x = before
         return x.astype(np.uint32)
 
