@@ -9,12 +9,14 @@ over several hash functions; the texts themselves decide.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marinelake.llm.common import free_name, kept_table, slices, text_rows, texts_of
+from marinelake.llm.common import free_name, kept_table, slices, spread, text_rows, texts_of
 from marinelake.llm.registry import query, table
 from marinelake.llm.words import SHINGLE, mix, placed_words, shingles
 
@@ -29,6 +31,12 @@ NEAR = 16
 SHIFT = 64
 #: Windows that a task holds before it combines those of one signature.
 HELD = 1_500_000
+#: Windows of either side in one block of the comparison within a signature, and rows
+#: of small signatures that one call gets together.
+BLOCK = 1024
+TOGETHER = 20_000
+#: Kinds of rows that :func:`meetings` deals out.
+_ALONE, _LEAD, _FURTHER, _PAIR = range(4)
 _SLICE = 2 << 20
 _LAST = np.iinfo(np.int64).max
 _SEEDS = mix(np.arange(101, 101 + 3 * HASHES, dtype=np.uint64)).reshape(3, HASHES) | np.uint64(1)
@@ -105,12 +113,20 @@ def _chained(signature: np.ndarray, order: np.ndarray, text: np.ndarray, carried
     return pairs[0], pairs[1], (signature[-1], first[-1], text[-1])
 
 
-def candidate_pairs(rows: DataFrame, width: int) -> DataFrame:
-    """Distinct ``a, b``: texts (hashes of them) that share a signature, b first in order.
+def meetings(rows: DataFrame, width: int) -> DataFrame:
+    """``a, b, signature, place``: texts (hashes of them) that share a signature, b first
+    in order, each with the first and the one before it; and, with null ``b``, every
+    text of a signature that several rows have, with the place (in shingles) of its window.
 
     ``rows`` holds ``doc_id, tid, text``. Each task combines its own windows before the
-    shuffle: one row per signature goes on, so a passage of a third of all documents
-    is as many rows as there are tasks. Sorted partitions are read as streams."""
+    shuffle: one row per signature goes to the signature's partition, further ones are
+    dealt out by text, so a passage of a third of all documents is no large partition.
+    Sorted partitions are read as streams."""
+    names = ["kind", "signature", "ord", "a", "b", "place"]
+
+    def dealt(kind: int, n: int, **columns):
+        columns = {"kind": np.full(n, kind, np.int8), **columns}
+        return pa.RecordBatch.from_arrays([pa.array(columns[c]) if c in columns else pa.array([None] * n, pa.int64()) for c in names], names)
 
     def combine(batches):
         held: list[np.ndarray] = []
@@ -118,18 +134,24 @@ def candidate_pairs(rows: DataFrame, width: int) -> DataFrame:
 
         def flush():
             nonlocal held, total
-            signature, order, text = np.concatenate(held, axis=1)
+            signature, order, text, place = np.concatenate(held, axis=1)
             at = np.lexsort((text, order, signature))
-            signature, order, text = signature[at], order[at], text[at]
+            signature, order, text, place = signature[at], order[at], text[at], place[at]
             a, b, _ = _chained(signature, order, text)
             lead = np.ones(len(signature), bool)
             lead[1:] = signature[1:] != signature[:-1]
+            head = np.flatnonzero(lead)
+            of_lead = text[np.repeat(head, np.diff(np.append(head, len(text))))]
+            # A copy of the text before it adds no member.
+            further = text != of_lead
+            further[1:] &= (text[1:] != text[:-1]) | lead[1:]
+            several = np.add.reduceat(further.astype(np.int64), head) > 0
             held, total = [], 0
-            some = pa.array([None] * len(a), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(signature[lead]), pa.array(order[lead]), pa.array(text[lead]), pa.array([None] * int(lead.sum()), pa.int64())], names)
-            yield pa.RecordBatch.from_arrays([pa.array(mix(a.view(np.uint64)).view(np.int64)), some, pa.array(a), pa.array(b)], names)
+            for kind, some in ((_ALONE, head[~several]), (_LEAD, head[several]), (_FURTHER, np.flatnonzero(further))):
+                yield dealt(kind, len(some), signature=signature[some], ord=order[some], a=text[some], place=place[some])
+            # By its own hash, a pair that several tasks find comes together.
+            yield dealt(_PAIR, len(a), signature=mix(a.view(np.uint64)).view(np.int64), a=a, b=b)
 
-        names = ["signature", "ord", "a", "b"]
         for batch in slices(batches, "text", _SLICE):
             hashes, _, _, words = placed_words(texts_of(batch, "text"))
             values, offsets = shingles(hashes, words)
@@ -137,8 +159,8 @@ def candidate_pairs(rows: DataFrame, width: int) -> DataFrame:
             row = np.searchsorted(offsets, place, "right") - 1
             tid = batch.column("tid").to_numpy()
             # A text has one row per signature, wherever it stands in it.
-            signature, row = np.unique(np.stack([signature.view(np.int64), row]), axis=1)
-            held.append(np.stack([signature, batch.column("doc_id").fill_null(_LAST).to_numpy()[row], tid[row]]))
+            (signature, row), first = np.unique(np.stack([signature.view(np.int64), row]), axis=1, return_index=True)
+            held.append(np.stack([signature, batch.column("doc_id").fill_null(_LAST).to_numpy()[row], tid[row], place[first] - offsets[row]]))
             total += len(row)
             if total >= HELD:
                 yield from flush()
@@ -146,22 +168,147 @@ def candidate_pairs(rows: DataFrame, width: int) -> DataFrame:
             yield from flush()
 
     def chain(batches):
-        carried = None
+        carried = kept = None
         for batch in batches:
-            paired = batch.column("b").is_valid().to_numpy(zero_copy_only=False)
-            single = pa.array(~paired)
-            columns = [batch.column(c).filter(single).to_numpy() for c in ("signature", "ord", "a")]
-            a, b, carried = _chained(*columns, carried)
-            known = batch.filter(pa.array(paired))
+            kind = batch.column("kind").to_numpy()
+            lead = kind <= _LEAD
+            leads = batch.filter(pa.array(lead))
+            columns = [leads.column(c).to_numpy() for c in ("signature", "ord", "a", "place")]
+            a, b, carried = _chained(*columns[:3], carried)
+            # Members: leads that have company here or in their own task.
+            signature, _, text, place = columns
+            same = np.zeros(len(signature), bool)
+            same[1:] = signature[1:] == signature[:-1]
+            if len(signature) and kept is not None and kept[0] == signature[0]:
+                same[0] = True
+                if not kept[3]:  # the last row of the batch before has company after all
+                    yield pa.RecordBatch.from_arrays([pa.array([kept[1]]), pa.array([None], pa.int64()), pa.array([kept[0]]), pa.array([kept[2]])], ["a", "b", "signature", "place"])
+            member = same | (kind[lead] == _LEAD)
+            member[:-1] |= same[1:]
+            if len(signature):
+                kept = signature[-1], text[-1], place[-1], bool(member[-1])
+            known = batch.filter(pa.array(kind == _PAIR))
+            further = batch.filter(pa.array(kind == _FURTHER))
+            n = int(member.sum()) + further.num_rows
+            none = lambda m: pa.array([None] * m, pa.int64())
+            pairs = len(a) + known.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([pa.array(a), known.column("a")]), pa.concat_arrays([pa.array(b), known.column("b")])], ["a", "b"]
+                [
+                    pa.concat_arrays([pa.array(a), known.column("a"), pa.array(text[member]), further.column("a")]),
+                    pa.concat_arrays([pa.array(b), known.column("b"), none(n)]),
+                    pa.concat_arrays([none(pairs), pa.array(signature[member]), further.column("signature")]),
+                    pa.concat_arrays([none(pairs), pa.array(place[member]), further.column("place")]),
+                ],
+                ["a", "b", "signature", "place"],
             )
 
-    schema = "signature bigint, ord bigint, a bigint, b bigint"
-    windows = rows.mapInArrow(combine, schema)
+    windows = rows.mapInArrow(combine, "kind tinyint, signature bigint, ord bigint, a bigint, b bigint, place bigint")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = windows.repartition(parts, "signature").sortWithinPartitions("signature", "ord", "a")
-    return ordered.mapInArrow(chain, "a bigint, b bigint").distinct()
+    salt = F.when(F.col("kind") == _FURTHER, F.col("a")).otherwise(0)
+    ordered = windows.repartition(parts, F.col("signature"), salt).sortWithinPartitions("signature", "ord", "a")
+    return ordered.mapInArrow(chain, "a bigint, b bigint, signature bigint, place bigint").distinct()
+
+
+def _around(values: np.ndarray, place: int, width: int) -> np.ndarray:
+    return values[max(place - 2 * width, 0) : place + 2 * width + 1]
+
+
+def near_partners(seekers: list[np.ndarray], stored: list[np.ndarray], earlier: Callable, width: int, similarity: float) -> list[tuple[int, int]]:
+    """For each seeker one stored run of shingles that holds a similar passage, if any
+    does: ``seeker, stored``. ``earlier(i)`` tells which stored ones it may have. The runs
+    that share most are tried first, and all that share enough for the similarity."""
+    own = [np.unique(x) for x in seekers]
+    other = [np.unique(x) for x in stored]
+    values = np.concatenate(other)
+    owner = np.repeat(np.arange(len(other)), [len(x) for x in other])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    out = []
+    for i, x in enumerate(own):
+        lo, hi = np.searchsorted(values, x), np.searchsorted(values, x, "right")
+        shared = np.bincount(owner[spread(lo, hi - lo)], minlength=len(other))
+        # A run of that width has at least so many distinct shingles.
+        least = similarity * max(width - (len(seekers[i]) - len(x)), 1)
+        fits = np.flatnonzero((shared >= least) & earlier(i))
+        for j in fits[np.argsort(-shared[fits], kind="stable")]:
+            if shared_runs(seekers[i], stored[j], width, similarity):
+                out.append((i, int(j)))
+                break
+    return out
+
+
+def further_pairs(members: DataFrame, spans: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """``a, b``: partners of windows that no verified passage covers.
+
+    A shared signature proves no shared passage, and similarity is not transitive: a
+    window that is not similar to the first of its signature may be to any other. Each
+    open window is compared, shingles around it with shingles around it, with those of
+    all earlier texts of the signature, in blocks, until one is similar."""
+    spark = members.sparkSession
+    covered = spans.select(F.col("a").alias("tid"), "from", "to")
+    here = (F.col("m.tid") == F.col("c.tid")) & (F.col("place") >= F.col("from")) & (F.col("place") < F.col("to"))
+    is_open = members.alias("m").join(covered.alias("c"), here, "left_anti").select("signature", "tid").withColumn("open", F.lit(True))
+    ranked = members.join(is_open, ["signature", "tid"], "left").join(texts.select("tid", F.coalesce("doc_id", F.lit(_LAST)).alias("ord")), "tid")
+    ranked = kept_table(ranked.withColumn("open", F.coalesce("open", F.lit(False))), "passage-members")
+    rank = F.struct("ord", "tid")
+    # The first text of a signature has no earlier one; two texts have been compared.
+    groups = ranked.groupBy("signature").agg(
+        F.count(F.lit(1)).alias("n"), F.min(rank).alias("first"), F.max(F.when(F.col("open"), rank)).alias("last"), F.sum(F.col("open").cast("int")).alias("k")
+    ).where("n > 2 and last > first")
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    sized = ranked.join(groups.select("signature", "first", "last", blocks("n").alias("stored"), blocks("k").alias("seeking")), "signature")
+    wanted = sized.where(rank <= F.col("last")).withColumn("open", F.col("open") & (rank > F.col("first")))
+    listed = wanted.groupBy("tid", "ord").agg(F.collect_list(F.struct("signature", "place", "open", "stored", "seeking")).alias("windows"))
+
+    def runs(batches):
+        for batch in slices(batches, "text", _SLICE):
+            hashes, _, _, words = placed_words(texts_of(batch, "text"))
+            values, offsets = shingles(hashes, words)
+            windows = batch.column("windows")
+            lengths = windows.value_lengths().to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), lengths)
+            flat = windows.flatten()
+            place = flat.field("place").to_numpy()
+            around = [_around(values[offsets[r] : offsets[r + 1]], int(p), width).tobytes() for r, p in zip(row, place)]
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [*(flat.field(c) for c in ("signature", "open", "stored", "seeking")), batch.column("tid").take(at), batch.column("ord").take(at), pa.array(around, pa.binary())],
+                ["signature", "open", "stored", "seeking", "tid", "ord", "around"],
+            )
+
+    placed = listed.join(texts.select("tid", "text"), "tid").mapInArrow(
+        runs, "signature bigint, open boolean, stored int, seeking int, tid bigint, ord bigint, around binary"
+    )
+    placed = kept_table(placed, "passage-windows")
+    calls = max(1, placed.count() // TOGETHER)
+    cut = lambda c: F.pmod(F.xxhash64("tid"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    sides = (
+        placed.where("open").withColumn("seeks", F.lit(True)).withColumn("q", cut("seeking")).withColumn("s", every("stored"))
+        .unionByName(placed.withColumn("seeks", F.lit(False)).withColumn("s", cut("stored")).withColumn("q", every("seeking")))
+    )
+    small = (F.col("stored") == 1) & (F.col("seeking") == 1)
+    unit = F.when(small, F.pmod(F.xxhash64("signature"), F.lit(calls))).otherwise(F.xxhash64("signature", "q", "s"))
+
+    def compare(block):
+        signature, q, s, seeks, tid, order = (block.column(c).to_numpy() for c in ("signature", "q", "s", "seeks", "tid", "ord"))
+        around = block.column("around").to_pylist()
+        at = np.lexsort((seeks, s, q, signature))
+        new = np.flatnonzero((np.diff(signature[at]) != 0) | (np.diff(q[at]) != 0) | (np.diff(s[at]) != 0)) + 1
+        a, b = [], []
+        for group in np.split(at, new):
+            left, right = group[seeks[group]], group[~seeks[group]]
+            if not len(left) or not len(right):
+                continue
+            before = lambda i: (order[right] < order[left[i]]) | ((order[right] == order[left[i]]) & (tid[right] < tid[left[i]]))  # noqa: B023, E731
+            parts = [[np.frombuffer(around[k], np.uint64) for k in side] for side in (left, right)]
+            for i, j in near_partners(*parts, before, width, similarity):
+                a.append(tid[left[i]])
+                b.append(tid[right[j]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    grouped = sides.withColumn("unit", unit).select("unit", "signature", "q", "s", "seeks", "tid", "ord", "around").groupBy("unit")
+    return grouped.applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def shared_runs(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -> list[tuple[int, int]]:
@@ -208,7 +355,10 @@ def repeated_spans(docs: DataFrame, passage_words: int = PASSAGE_WORDS, similari
     texts shorter than a passage have no ranges."""
     rows = text_rows(docs, doc_id, text).where("text is not null").withColumn("tid", F.xxhash64("text"))
     width = passage_words - SHINGLE + 1
-    pairs = kept_table(candidate_pairs(rows.select("doc_id", "tid", "text"), width), "passage-pairs")
+    met = kept_table(meetings(rows.select("doc_id", "tid", "text"), width), "passage-meetings")
+    pairs = met.where("b is not null").select("a", "b")
+    members = met.where("b is null").groupBy("signature", F.col("a").alias("tid")).agg(F.min("place").alias("place"))
+    # Every member of a signature of several texts is in a pair.
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
     texts = rows.join(wanted, "tid", "left_semi").groupBy("tid").agg(F.first("text").alias("text"), F.min("doc_id").alias("doc_id"))
     texts = kept_table(texts, "passage-texts")
@@ -224,17 +374,28 @@ def repeated_spans(docs: DataFrame, passage_words: int = PASSAGE_WORDS, similari
             rows = []
             for r, (i, j) in enumerate(zip(ia, ib)):
                 for x, y in shared_runs(va[oa[i] : oa[i + 1]], vb[ob[j] : ob[j + 1]], width, similarity):
-                    rows.append((r, int(starts[words[i] + x]), int(ends[words[i] + y + SHINGLE - 2])))
-            at = pa.array([r for r, _, _ in rows], pa.int64())
-            spans = [pa.array([x[c] for x in rows], pa.int64()) for c in (1, 2)]
-            yield pa.RecordBatch.from_arrays([batch.column("key").take(at), *spans, batch.column("doc_b").take(at)], ["text_key", "start", "end", "first_doc_id"])
+                    rows.append((r, int(starts[words[i] + x]), int(ends[words[i] + y + SHINGLE - 2]), x, y))
+            at = pa.array([r for r, *_ in rows], pa.int64())
+            spans = [pa.array([x[c] for x in rows], pa.int64()) for c in (1, 2, 3, 4)]
+            columns = [batch.column("key").take(at), *spans[:2], batch.column("doc_b").take(at), batch.column("a").take(at), *spans[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["text_key", "start", "end", "first_doc_id", "a", "from", "to"])
 
     side = lambda s: texts.select(F.col("tid").alias(s), F.col("text").alias(f"text_{s}"), F.col("doc_id").alias(f"doc_{s}"))
-    # A later copy of an early text must not make that text the later one.
     order = lambda s: F.struct(F.coalesce(f"doc_{s}", F.lit(_LAST)), F.col(s))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where(order("b") < order("a"))
-    joined = both.select(F.md5("text_a").alias("key"), "text_a", "text_b", "doc_b")
-    return joined.mapInArrow(verify, "text_key string, start bigint, end bigint, first_doc_id bigint")
+    first = lambda s: texts.select(F.col("tid").alias(s), F.col("doc_id").alias(f"doc_{s}"))
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        # A later copy of an early text must not make that text the later one: the pair is turned.
+        both = pairs.join(first("a"), "a").join(first("b"), "b")
+        turned = order("a") < order("b")
+        pairs = both.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b")).distinct()
+        joined = pairs.join(side("a"), "a").join(side("b"), "b").select(F.md5("text_a").alias("key"), "a", "text_a", "text_b", "doc_b")
+        return kept_table(joined.mapInArrow(verify, "text_key string, start bigint, end bigint, first_doc_id bigint, a bigint, from bigint, to bigint"), name)
+
+    spans = verified(pairs, "passage-spans")
+    more = kept_table(further_pairs(members, spans, texts, width, similarity), "passage-further")
+    spans = spans.union(verified(more, "passage-spans-further"))
+    return spans.select("text_key", "start", "end", "first_doc_id")
 
 
 def _ranges(docs: DataFrame, doc_id: str, text: str, **options) -> tuple[DataFrame, DataFrame]:

@@ -95,3 +95,13 @@ def test_odd_rows(odd, empty):
     assert cut_passages(odd).columns == odd.columns
     assert sorted(map(str, cut_passages(odd).collect())) == sorted(map(str, odd.collect()))
     assert find_passages(odd).count() == 0 and find_passages(empty).count() == 0 and cut_passages(empty).count() == 0
+
+
+def test_a_partner_in_the_middle_of_a_signature_is_found(spark):
+    """Variants are similar to the base, which is neither the first nor the one before, and not to each other."""
+    base = [f"b{i}" for i in range(55)]
+    variant = lambda k: " ".join(f"changed{k}" if i == 8 + k % 39 else w for i, w in enumerate(base))
+    rows = [(k, variant(k) if k != 20 else " ".join(base)) for k in range(39)]
+    found = {(r["doc_id"], r["first_doc_id"]) for r in find_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    later = {k for k, first in found if first == 20}
+    assert later <= set(range(21, 39)) and len(later) >= 16
