@@ -139,14 +139,18 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, vec_id: s
                 groups = [np.unique(c) for c in index.nearest(unit, index.visits) // WIDTH]
                 n = np.fromiter(map(len, groups), np.int64, len(groups))
                 at = pa.array(np.repeat(np.arange(len(n)), n))
-                sides = [(np.ones(len(at), bool), np.concatenate(groups), at), (np.zeros(len(n), bool), index.cells(unit) // WIDTH, pa.array(np.arange(len(n))))]
-                for seeks, cells, own in sides:
+                visited, home = np.concatenate(groups), index.cells(unit) // WIDTH
+                # A seeking row tells where it is stored, a stored one where it seeks itself.
+                homes = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32)), pa.array(home.astype(np.int64)))
+                visits = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(visited.astype(np.int64)))
+                sides = [(np.ones(len(at), bool), visited, at, homes), (np.zeros(len(n), bool), home, pa.array(np.arange(len(n))), visits)]
+                for seeks, cells, own, groups_of in sides:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(cells.astype(np.int64)), pa.array(seeks), keys.take(own), copies.take(own), pa.array(packed, pa.binary()).take(own)],
-                        ["cells", "seeks", "key", "copies", "v"],
+                        [pa.array(cells.astype(np.int64)), pa.array(seeks), keys.take(own), copies.take(own), pa.array(packed, pa.binary()).take(own), groups_of.take(own)],
+                        ["cells", "seeks", "key", "copies", "v", "groups"],
                     )
 
-    placed = kept_table(distinct.mapInArrow(visit, "cells bigint, seeks boolean, key string, copies bigint, v binary"), "visits")
+    placed = kept_table(distinct.mapInArrow(visit, "cells bigint, seeks boolean, key string, copies bigint, v binary, groups array<bigint>"), "visits")
     sizes = placed.groupBy("cells").agg(
         F.ceil(F.sum(F.when(F.col("seeks"), 0).otherwise(1)) / BLOCK).alias("stored"), F.ceil(F.sum(F.when(F.col("seeks"), 1).otherwise(0)) / BLOCK).alias("seeking")
     )
@@ -156,7 +160,7 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, vec_id: s
     blocks = (
         sized.where("seeks").withColumn("q", cut("seeking")).withColumn("s", every("stored"))
         .unionByName(sized.where("not seeks").withColumn("s", cut("stored")).withColumn("q", every("seeking")))
-        .select("cells", "s", "q", "seeks", "key", "copies", "v")
+        .select("cells", "s", "q", "seeks", "key", "copies", "v", "groups")
     )
 
     def verify(block):
@@ -166,7 +170,18 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, vec_id: s
         seeks = block.column("seeks").to_numpy()
         ranks = np.unique(keys, return_inverse=True)[1].astype(np.int64)
         linked = (unit[seeks] @ unit[~seeks].T >= cosine) & (ranks[seeks][:, None] != ranks[~seeks][None, :])
-        n = linked @ block.column("copies").to_numpy()[~seeks]
+        copies = block.column("copies").to_numpy()
+        n = linked @ copies[~seeks]
+        # A stored row that does not seek where the other is stored will not find the pair itself.
+        lists = block.column("groups").combine_chunks()
+        home, which = np.unique(lists.filter(pa.array(seeks)).flatten().to_numpy(), return_inverse=True)
+        visits = lists.filter(pa.array(~seeks))
+        group = visits.flatten().to_numpy()
+        owner = np.repeat(np.arange(len(visits)), visits.value_lengths().to_numpy())
+        at = np.minimum(np.searchsorted(home, group), len(home) - 1)
+        unseen = np.ones((len(home), len(visits)), bool)
+        unseen[at[home[at] == group], owner[home[at] == group]] = False
+        back = copies[seeks] @ (linked & unseen[which])
         a, b = _trees(linked, ranks[seeks], ranks[~seeks])
         names = np.empty(ranks.max() + 1, object)
         names[ranks] = keys
@@ -175,7 +190,7 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, vec_id: s
             {
                 "key": pa.array([*keys[seeks][rows], *keys[~seeks][columns]], pa.string()),
                 "root": pa.array([*names[a[rows]], *names[b[columns]]], pa.string()),
-                "n": pa.array(np.append(n[rows], np.zeros(len(columns), np.int64))),
+                "n": pa.array(np.append(n[rows], back[columns])),
             }
         )
 

@@ -1,5 +1,7 @@
 """Links and neighbours of vectors against all pairs."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -120,3 +122,23 @@ def test_odd_vectors(spark):
 
 def test_quantile():
     assert chi_square_quantile(0.95, 8) == pytest.approx(15.507, abs=1e-3)
+
+
+def test_a_pair_found_from_one_side_counts_for_both(spark, monkeypatch):
+    from marinelake.llm.multi_index import MultiIndex
+
+    # Few visits: many vectors seek where their partner is, and are not sought there.
+    monkeypatch.setattr(MultiIndex, "_calibrated", lambda *_: 2)
+    rng = np.random.default_rng(5)
+    one = rng.normal(size=(1500, 16))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    away = rng.normal(size=one.shape)
+    away -= (away * one).sum(axis=1, keepdims=True) * one
+    two = 0.92 * one + np.sqrt(1 - 0.92**2) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    x = np.concatenate([one, two])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    rows = near_duplicate_vectors(df).collect()
+    sizes = Counter(r["component_id"] for r in rows)
+    assert any(n > 1 for n in sizes.values())
+    assert all((r["n_links"] > 0) == (sizes[r["component_id"]] > 1) for r in rows)
+    assert sum(r["n_links"] for r in rows) % 2 == 0
