@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marinelake.session import scratch_dir
+from marinelake.session import remove_dir, scratch_dir
 
 #: Text that a task holds at once, in bytes; a longer text is held alone.
 SLICE_BYTES = 8 << 20
@@ -67,7 +67,15 @@ def kept_table(df: DataFrame, name: str) -> DataFrame:
     spark: SparkSession = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.kept_path = path
+    return kept
+
+
+def drop_kept(*tables: DataFrame) -> None:
+    """Delete tables of :func:`kept_table` whose last reader has written its rows."""
+    for kept in tables:
+        remove_dir(kept.sparkSession, kept.kept_path)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
