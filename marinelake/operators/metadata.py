@@ -79,7 +79,8 @@ def sensor_stats_long(df: DataFrame, source: str = "source_file") -> DataFrame:
     ).select(source, "sensor", "_s.*")
 
 
-def _ranges() -> list[Column]:
+def ranges() -> list[Column]:
+    """Least and greatest time, latitude and longitude."""
     return [
         how(column).alias(f"{name}_{how.__name__}")
         for column, name in (("time", "time"), ("latitude", "lat"), ("longitude", "lon"))
@@ -93,7 +94,7 @@ def file_results(manifest: DataFrame, records: DataFrame, errors: DataFrame | No
     ``errors`` has ``source_file`` and ``error``.
     """
     counted = records.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("record_count"), *_ranges()
+        F.count(F.lit(1)).alias("record_count"), *ranges()
     )
     joined = manifest.join(counted, "source_file", "left")
     if errors is None:
@@ -116,7 +117,7 @@ def file_results(manifest: DataFrame, records: DataFrame, errors: DataFrame | No
 
 def batch_results(df: DataFrame, keys: list[str]) -> DataFrame:
     """Result of each stream batch; ``keys`` name the batch."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("record_count"), *_ranges())
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("record_count"), *ranges())
 
 
 def run_summary(results: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from marinelake.plans import (
     line_queries,
     output_queries,
     record_queries,
+    stream_queries,
 )
 from marinelake.plans.registry import ORACLES, QUERIES
 

@@ -87,8 +87,16 @@ def write_metadata(df: DataFrame, path: str, as_json: bool = False) -> None:
     writer.json(path) if as_json else writer.parquet(path)
 
 
+def batch_summary(results: DataFrame, options: JobOptions, key: str) -> DataFrame:
+    """Results of stream batches as messages: the source is the stream, and no provider
+    is named."""
+    return telemetry(results.withColumn("source", F.lit("stream")), options, key)
+
+
 def telemetry(df: DataFrame, options: JobOptions, key: str, summary: bool = False) -> DataFrame:
-    """Rows as ``key`` and JSON ``value``, ready for a broker or a table."""
+    """Rows as ``key`` and JSON ``value``, ready for a broker or a table.
+
+    ``summary`` is the form of file results, which names the provider."""
     extra = [
         F.lit(options.campaign_id).alias("campaign_id"),
         F.lit(options.platform_id).alias("platform_id"),

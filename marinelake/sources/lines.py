@@ -29,11 +29,15 @@ _SPLIT_UNIT = 512
 
 
 def line_order() -> Column:
+    return split_order(F.col("_metadata.file_block_start"))
+
+
+def split_order(split_start: Column) -> Column:
     """Orders the lines of a file as one BIGINT: split first, then row in the split.
 
     Exact for splits of 512 bytes and more and files below 2 TiB.
     """
-    split = F.floor(F.col("_metadata.file_block_start") / _SPLIT_UNIT)
+    split = F.floor(split_start / _SPLIT_UNIT)
     row = F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1)
     return F.shiftleft(split, _ROW_BITS).bitwiseOR(row)
 

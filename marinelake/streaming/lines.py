@@ -19,7 +19,7 @@ from marinelake.operators.metadata import batch_results
 from marinelake.operators.quality import dedupe_first
 from marinelake.options import BATCH_SECONDS, JobOptions
 from marinelake.sources.events import reading_record, typed_reading
-from marinelake.sources.lines import glob_of_patterns
+from marinelake.sources.lines import glob_of_patterns, source_path, split_order
 
 WATERMARK = "10 minutes"
 
@@ -39,12 +39,21 @@ def stream_lines(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path).select(
-        F.col("_metadata.file_path").alias("source_file"),
+        source_path().alias("source_file"),
+        F.col("_metadata.file_block_start").alias("split_start"),
         F.col("_metadata.file_modification_time").alias("ingest_ts"),
         F.make_valid_utf8("value").alias("value"),
     )
 
 
+def numbered_lines(batch: DataFrame) -> DataFrame:
+    """Lines of a micro-batch with their order in the stream, ``line_ord``: that of the
+    file, or the broker's offset where the rows carry one."""
+    if "line_ord" in batch.columns:
+        return batch
+    return batch.withColumn("line_ord", split_order(F.col("split_start"))).drop("split_start")
+
+
 def stream_readings(
     spark: SparkSession, path: str, patterns: str = "*.csv", max_files_per_trigger: int | None = None
 ) -> DataFrame:
@@ -59,17 +68,17 @@ def stream_readings(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = F.filter(F.split("value", r"\r?\n"), lambda line: F.length(F.trim(line)) > 0)
     first, second = F.get("_lines", F.lit(0)), F.get("_lines", F.lit(1))
-    files = reader.load(path).select(
-        F.col("_metadata.file_path").alias("source_file"), lines.alias("_lines")
-    )
+    files = reader.load(path).select(source_path().alias("source_file"), lines.alias("_lines"))
     records = computed_once(files, {"record": reading_record(split_quoted_cells(first), second)})
     return typed_reading(records.drop("_lines"))
 
 
 def broker_lines(messages: DataFrame) -> DataFrame:
-    """Broker rows (``key``, ``value``, ``timestamp``) in the shape of a line stream."""
+    """Broker rows (``key``, ``offset``, ``value``, ``timestamp``) in the shape of a line
+    stream. A key's rows are of one partition, so that the offset is their order."""
     return messages.select(
         F.col("key").cast("string").alias("source_file"),
+        F.col("offset").cast("bigint").alias("line_ord"),
         F.col("timestamp").alias("ingest_ts"),
         F.make_valid_utf8(F.col("value").cast("string")).alias("value"),
     )
@@ -78,7 +87,7 @@ def broker_lines(messages: DataFrame) -> DataFrame:
 def stream_sentences(lines: DataFrame) -> DataFrame:
     """GNSS records of a line stream."""
     parsed = parse_sentences(lines.where(~is_blank(F.col("value"))))
-    kept = [c for c in lines.columns if c not in ("value", "ingest_ts")]
+    kept = [c for c in lines.columns if c not in ("value", "ingest_ts", "split_start")]
     return parsed.where(F.col("reject_reason").isNull()).select(*kept, *gnss_columns())
 
 
