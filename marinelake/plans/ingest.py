@@ -62,7 +62,11 @@ def cnv_points(lines: DataFrame) -> DataFrame:
 
 def cast_points(lines: DataFrame, headers: DataFrame, calibrations: DataFrame) -> DataFrame:
     """Numbered, positioned and calibrated scans of all casts."""
-    scans = with_cast_key(scan_number(scan_lines(lines)))
+    return calibrated_scans(with_cast_key(scan_number(scan_lines(lines))), headers, calibrations)
+
+
+def calibrated_scans(scans: DataFrame, headers: DataFrame, calibrations: DataFrame) -> DataFrame:
+    """Scans decoded and calibrated by the companions of their cast."""
     joined = companion_join(scans, headers, calibrations)
     points = cast_position(calibrate(decode_scans(joined)))
     return points.select(

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from marinelake.options import JobOptions
 from marinelake.plans import inputs
 from marinelake.plans.registry import query, shown, shown_sql, table
-from marinelake.plans.stream_ingest import run_batches, sentence_batches, window_batches
+from marinelake.plans.stream_ingest import csv_stream, point_batches, run_batches, scan_batches, sentence_batches, window_batches
 from marinelake.session import scratch_dir
 from marinelake.streaming.commits import Commits, published_table
-from marinelake.streaming.lines import stream_lines
+from marinelake.streaming.lines import broker_lines, stream_lines
+from marinelake.streaming.sequences import stream_batches, stream_scans
 
 OPTIONS = JobOptions(campaign_id="Test Cruise 7", platform_id="ship-1", provider="auto")
 Writer = Callable[[DataFrame, int], None]
@@ -28,9 +29,21 @@ def in_turns(
 ) -> None:
     """Write the rows of each turn into one folder, then run the stream on it."""
     folder = scratch_dir(rows.sparkSession, "turns")
+    rows = rows.withColumn("in_turn", turn).persist()
     for k in range(turns):
-        save(rows.where(turn == k), f"{folder}/turn={k}")
+        save(rows.where(F.col("in_turn") == k).drop("in_turn"), f"{folder}/turn={k}")
         run(read(folder))
+    rows.unpersist()
+
+
+def _repeated(writer: Writer) -> Writer:
+    """Every micro-batch comes twice."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writer(batch, batch_id)
+        writer(batch, batch_id)
+
+    return write
 
 
 def _stubborn(writer: Writer, out: str, source: str) -> Writer:
@@ -39,8 +52,7 @@ def _stubborn(writer: Writer, out: str, source: str) -> Writer:
     def write(batch: DataFrame, batch_id: int) -> None:
         lost = batch.select(F.lit("lost").alias("source_file"), F.lit("x").alias("value"))
         Commits(batch.sparkSession, out, source).write_tables(batch_id, {"data": lost, "rejects": lost})
-        writer(batch, batch_id)
-        writer(batch, batch_id)
+        _repeated(writer)(batch, batch_id)
 
     return write
 
@@ -101,6 +113,188 @@ def stream_ingest(spark, sf_dir):
     return data
 
 
+# --- lines of a broker ----------------------------------------------------
+
+_MESSAGE = "key STRING, offset BIGINT, value BINARY, timestamp TIMESTAMP"
+
+
+def _messages(rows: DataFrame, key: Column, offset: Column, value: Column, turn: Column) -> DataFrame:
+    """Rows as a broker gives them, and the turn they arrive in."""
+    return rows.select(
+        key.cast("string").alias("key"), offset.cast("bigint").alias("offset"), value.cast("binary").alias("value"),
+        F.timestamp_seconds(F.lit(1704067200)).alias("timestamp"), turn.alias("turn"),
+    )
+
+
+def _broker_turns(messages: DataFrame, turns: int, run: Callable[[DataFrame], None]) -> None:
+    spark = messages.sparkSession
+    in_turns(
+        messages, F.col("turn"), turns,
+        lambda rows, path: rows.drop("turn").write.parquet(path),
+        lambda folder: broker_lines(spark.readStream.schema(_MESSAGE).parquet(folder)),
+        run,
+    )
+
+
+@query(
+    "stream_csv",
+    f"""
+    WITH lines AS (
+        SELECT *, CASE WHEN value < 10 THEN 'cell_count' WHEN value < 20 THEN 'bad_time' END AS reason
+        FROM events
+    )
+    SELECT 'data' AS part, event_type AS name, event_id AS line_ord, {shown_sql('ts')} AS time,
+           CASE WHEN event_type IN ('purchase', 'view') THEN user_id::DOUBLE END AS latitude,
+           CASE WHEN value <= 200 THEN value END AS temp, user_id::VARCHAR AS device
+    FROM lines WHERE reason IS NULL
+    UNION ALL SELECT reason, event_type, event_id, NULL, NULL, NULL, NULL FROM lines WHERE reason IS NOT NULL
+    """,
+)
+def stream_csv(spark, sf_dir):
+    """Streams whose headers come before their data, two micro-batches after it began, or
+    again with the columns in another order."""
+    out, checkpoint = scratch_dir(spark, "csv"), scratch_dir(spark, "csv-state")
+    events = table(spark, sf_dir, "events")
+    kind, value = F.col("event_type"), F.col("value")
+    stamp = F.when(value.between(10, 20) & (value != 20), "sometime").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    temp = F.when(value > 200, "n/a").otherwise(value.cast("string"))
+    place = F.when(kind.isin("purchase", "view"), F.col("user_id").cast("string")).otherwise("")
+    turn = F.col("event_id") % 3
+    cells = [F.col("user_id").cast("string"), stamp, place, temp]
+    # In the last turn the columns of one stream are reversed.
+    turned = (kind == "view") & (turn == 2)
+    line = F.when(turned, F.concat_ws(" , ", *cells[::-1])).otherwise(F.concat_ws(",", *cells))
+    line = F.when(value < 10, F.concat(line, F.lit(",more"))).otherwise(line)
+    data = _messages(events, kind, F.col("event_id"), line, turn)
+    heads = events.select("event_type").distinct().select(
+        "event_type", F.explode(F.array(F.when(kind == "click", 2).otherwise(0), F.when(kind == "view", 2))).alias("at")
+    ).where("at is not null")
+    names = F.when((kind == "view") & (F.col("at") == 2), "TEMP, latitude, time, device").otherwise("device,time,latitude,TEMP")
+    header = _messages(heads, kind, F.lit(-1), names, F.col("at"))
+    noise = _messages(heads.where("at = 0"), kind, F.lit(-2), F.lit("# a comment"), F.lit(1))
+    writer = point_batches(out, OPTIONS, "csv")
+    _broker_turns(
+        data.unionByName(header).unionByName(noise), 3,
+        lambda lines: run_batches(csv_stream(lines), _repeated(writer), checkpoint),
+    )
+    records = published_table(spark, out, "data", "csv").select(
+        F.lit("data").alias("part"), F.col("source_file").alias("name"), "line_ord", shown("time").alias("time"),
+        "latitude", F.col("TEMP").alias("temp"), F.col("extra")["device"].alias("device"),
+    )
+    none = F.lit(None).cast("string")
+    return records.unionByName(published_table(spark, out, "rejects", "csv").select(
+        F.col("reject_reason").alias("part"), F.col("source_file").alias("name"), "line_ord", none.alias("time"),
+        none.cast("double").alias("latitude"), none.cast("double").alias("temp"), none.alias("device"),
+    ))
+
+
+_SCAN_TURN_SQL = "l_linenumber % 3"
+
+
+@query(
+    "stream_hex",
+    f"""
+    WITH scans AS (
+        SELECT *, {_SCAN_TURN_SQL} AS turn, l_orderkey % 4 AS device FROM ({inputs.SCAN_FIELDS_SQL}) WHERE l_returnflag = 'A'
+    )
+    SELECT concat('device-', device) AS device, NULL AS scans,
+           CASE WHEN known THEN f0 / 256.0 END AS temperature_freq, CASE WHEN known THEN f2 / 256.0 END AS pressure_freq,
+           CASE WHEN known THEN round(1 / (0.004 + CASE WHEN device = 2 AND turn = 2 THEN 0.001 ELSE 0 END + 0.0006 * ln(1000 / (f0 / 256.0))) - 273.15, 6) END AS temperature,
+           CASE WHEN known AND device = 0 THEN 'Station 0' END AS station
+    FROM (SELECT *, device <> 3 AND (device <> 1 OR turn > 0) AS known FROM scans) WHERE f0 > 0
+    UNION ALL SELECT concat('last of ', device), count(*), NULL, NULL, NULL, NULL FROM scans GROUP BY device
+    UNION ALL SELECT 'rejects', count(DISTINCT device) * 2, NULL, NULL, NULL, NULL FROM scans
+    """,
+)
+def stream_hex(spark, sf_dir):
+    """Scans of four devices in three micro-batches: the preamble comes first, one
+    micro-batch after the first scans, first and then with another calibration, or never."""
+    out, checkpoint = scratch_dir(spark, "scans"), scratch_dir(spark, "scans-state")
+    turn = F.col("l_linenumber") % 3
+    device = F.col("l_orderkey") % 4
+    scans = inputs.hex_scans(spark, sf_dir).where("scan_time_added and nmea_position_added")
+    # Offsets that keep the scans in order below 2^53, after the lines of the preamble.
+    place = (turn.cast("bigint") * (1 << 42)) + F.col("l_orderkey") * 8 + F.col("l_linenumber") + (1 << 20)
+    data = _messages(scans, F.concat(F.lit("device-"), device), place, F.lower("hex_scan"), turn)
+
+    def calibration(g: float) -> list[str]:
+        xml = (
+            '<SBE_InstrumentConfiguration><Instrument><FrequencyChannelsSuppressed>0</FrequencyChannelsSuppressed>',
+            '<VoltageWordsSuppressed>0</VoltageWordsSuppressed><NmeaPositionDataAdded>1</NmeaPositionDataAdded>',
+            '<ScanTimeAdded>1</ScanTimeAdded><SensorArray><Sensor index="0" SensorID="55"><TemperatureSensor SensorID="55">',
+            f'<G>{g}</G><H>0.0006</H><I>0</I><J>0</J><F0>1000</F0></TemperatureSensor></Sensor></SensorArray>',
+            '</Instrument></SBE_InstrumentConfiguration>',
+        )
+        return ["# XMLCON_START", *[f"# {line}" for line in xml], "# XMLCON_END"]
+
+    header = ["* Sea-Bird SBE 9 Data File:", "** Station: Station 0"]
+    preambles = {(0, 0): [*header, *calibration(0.004), "*END*"], (1, 1): [*calibration(0.004), "*END*"],
+                 (2, 0): [*calibration(0.004), "*END*"], (2, 2): calibration(0.005)}
+    lines = [(f"device-{d}", (t << 42) + i, line, t) for (d, t), text in preambles.items() for i, line in enumerate(text)]
+    lines += [(f"device-{d}", (t << 42) + 1000, "no scan", t) for d in range(4) for t in (0, 1)]
+    about = spark.createDataFrame(lines, "k string, o bigint, v string, t int")
+    # Only devices that have scans.
+    about = about.join(data.select(F.col("key").alias("k")).distinct(), "k", "left_semi")
+    messages = data.unionByName(_messages(about, F.col("k"), F.col("o"), F.col("v"), F.col("t")))
+    writer = scan_batches(out, OPTIONS)
+    _broker_turns(messages, 3, lambda rows: run_batches(stream_scans(rows, ["source_file"]), _repeated(writer), checkpoint))
+    data = published_table(spark, out, "data")
+    none = [F.lit(None).cast("double").alias(c) for c in ("temperature_freq", "pressure_freq", "temperature")]
+    station = F.lit(None).cast("string").alias("station")
+    found = data.where(~F.col("hex_scan").startswith("000000")).select(
+        F.col("source_file").alias("device"), F.lit(None).cast("bigint").alias("scans"), "temperature_freq", "pressure_freq",
+        F.round("temperature", 6).alias("temperature"), "station",
+    )
+    # Numbered from 1 on without a gap: the last number is how many there are.
+    last = data.groupBy(F.replace("source_file", F.lit("device-"), F.lit("last of ")).alias("device")).agg(
+        F.when(F.count_distinct("scan") == F.max("scan"), F.max("scan")).alias("scans")
+    )
+    rejects = published_table(spark, out, "rejects").agg(F.lit("rejects").alias("device"), F.count(F.lit(1)).alias("scans"))
+    return found.union(last.unionByName(rejects).select("device", "scans", *none, station))
+
+
+@query(
+    "stream_batches",
+    """
+    WITH RECURSIVE numbered AS (
+        SELECT user_id, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+    walk AS (
+        SELECT user_id, event_id, ts, n, ts AS start, 1 AS place, 1 AS batch_no FROM numbered WHERE n = 1
+        UNION ALL
+        SELECT r.user_id, r.event_id, r.ts, r.n,
+               CASE WHEN w.place = 4 OR r.ts >= w.start + INTERVAL 36 HOUR THEN r.ts ELSE w.start END,
+               CASE WHEN w.place = 4 OR r.ts >= w.start + INTERVAL 36 HOUR THEN 1 ELSE w.place + 1 END,
+               CASE WHEN w.place = 4 OR r.ts >= w.start + INTERVAL 36 HOUR THEN w.batch_no + 1 ELSE w.batch_no END
+        FROM walk w JOIN numbered r ON r.user_id = w.user_id AND r.n = w.n + 1),
+    mark AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 12 HOUR AS mark FROM events),
+    batches AS (
+        SELECT user_id, batch_no, min(start) AS start, max(place) AS size, max(ts) AS last FROM walk GROUP BY ALL)
+    SELECT user_id, event_id, batch_no, strftime(b.start, '%Y-%m-%d %H:%M:%S.%f') AS batch_start,
+           CASE WHEN size = 4 THEN 'count' ELSE 'time' END AS closed_by
+    FROM walk JOIN batches b USING (user_id, batch_no), mark
+    WHERE (size = 4 AND b.last < mark) OR b.start + INTERVAL 36 HOUR <= mark
+    """,
+)
+def stream_batches_query(spark, sf_dir):
+    """Batches of 4 records or 36 hours over five micro-batches, a tenth of the records
+    one micro-batch late, though within the watermark's delay."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts")
+    out, checkpoint = scratch_dir(spark, "batches"), scratch_dir(spark, "batches-state")
+    # A record is late only if it comes just before its turn ends.
+    hour = (F.dayofmonth("ts") - 1) * 24 + F.hour("ts")
+    late = (F.col("event_id") % 10 == 0) & (hour % 192 >= 184)
+    in_turns(
+        events, F.floor(hour / 192) + F.when(late, 1).otherwise(0), 5,
+        lambda rows, path: rows.write.parquet(path),
+        lambda folder: spark.readStream.schema(events.schema).parquet(folder).select(*events.columns),
+        lambda stream: stream_batches(stream, ["user_id"], "ts", "event_id", 36 * 3600, 4, "12 hours").writeStream.format("parquet")
+        .option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination(),
+    )
+    return spark.read.parquet(out).select(
+        "user_id", "event_id", "batch_no", shown("batch_start").alias("batch_start"), "closed_by"
+    )
+
+
 # --- late records ---------------------------------------------------------
 
 DELAY_HOURS, WINDOW_HOURS = 6, 4
@@ -130,17 +324,13 @@ def late_records(spark, sf_dir):
     turn = F.floor((F.dayofmonth("ts") - 1) / 8) + F.when(F.col("event_id") % 20 == 0, 1).otherwise(0)
     writer = window_batches(out, ["event_type"], WINDOW_HOURS * 3600, DELAY_HOURS * 3600)
 
-    def twice(batch: DataFrame, batch_id: int) -> None:
-        writer(batch, batch_id)
-        writer(batch, batch_id)
-
     in_turns(
         events, turn, 5,
         lambda rows, path: rows.write.parquet(path),
         lambda folder: spark.readStream.schema(events.schema).parquet(folder).select(
             "event_type", "event_id", F.col("ts").alias("time"), F.col("value").alias("latitude"), F.col("value").alias("longitude")
         ),
-        lambda stream: run_batches(stream, twice, checkpoint),
+        lambda stream: run_batches(stream, _repeated(writer), checkpoint),
     )
     late = published_table(spark, out, "rejects").select(
         F.lit("late").alias("part"), "event_type", shown("time").alias("time"), F.col("event_id").alias("n"), F.col("latitude").alias("largest")
