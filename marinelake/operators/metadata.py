@@ -88,15 +88,17 @@ def ranges() -> list[Column]:
     ]
 
 
-def file_results(manifest: DataFrame, records: DataFrame, errors: DataFrame | None = None) -> DataFrame:
-    """One result per listed file: ok, skipped without records, or error.
+def file_results(
+    manifest: DataFrame, records: DataFrame, errors: DataFrame | None = None, gone: DataFrame | None = None
+) -> DataFrame:
+    """One result per file, listed or with records: ok, skipped without records, or error.
 
-    ``errors`` has ``source_file`` and ``error``.
-    """
+    ``errors`` has ``source_file`` and ``error``; ``gone`` has ``source_file`` of the files
+    that vanished, an error where they gave no records."""
     counted = records.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("record_count"), *ranges()
     )
-    joined = manifest.join(counted, "source_file", "left")
+    joined = manifest.join(counted, "source_file", "full")
     if errors is None:
         joined = joined.withColumn("error", F.lit(None).cast("string"))
     else:
@@ -104,6 +106,11 @@ def file_results(manifest: DataFrame, records: DataFrame, errors: DataFrame | No
             errors.groupBy("source_file").agg(F.min("error").alias("error")), "source_file", "left"
         )
     empty = F.col("record_count").isNull()
+    if gone is not None:
+        lost = gone.select("source_file").distinct().withColumn("_gone", F.lit(True))
+        joined = joined.join(lost, "source_file", "left").withColumn(
+            "error", F.coalesce("error", F.when(empty & F.col("_gone"), "file vanished"))
+        ).drop("_gone")
     return joined.withColumns(
         {
             "status": F.when(F.col("error").isNotNull(), "error")

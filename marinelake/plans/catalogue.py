@@ -2,6 +2,7 @@
 
 from marinelake.plans import (
     instrument_queries,
+    job_queries,
     line_queries,
     output_queries,
     record_queries,

@@ -8,6 +8,9 @@ parsed once and a lost executor costs no more than its own tasks.
 
 from __future__ import annotations
 
+import os
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +35,9 @@ from marinelake.session import configure, remove_dir, scratch_dir
 from marinelake.sinks.tables import current_table, new_run, write_metadata, write_table
 from marinelake.sources.archives import archive_of, member_source, read_archives
 from marinelake.sources.casts import parse_calibration, parse_header, scan_lines
-from marinelake.sources.lines import glob_of, glob_of_patterns, manifest, read_documents, read_lines
+from marinelake.sources.lines import glob_of, glob_of_patterns, list_files, literal_path, manifest, read_documents, read_lines
 from marinelake.sources.tables import cnv_records, csv_points, csv_records
+from marinelake.storage import path_exists
 
 def sentence_points(lines: DataFrame) -> DataFrame:
     """GNSS records; lines that gave none keep their text and reason and lose their time."""
@@ -77,7 +81,7 @@ def calibrated_scans(scans: DataFrame, headers: DataFrame, calibrations: DataFra
     )
 
 
-def _staged_members(spark: SparkSession, path: str, staging: str) -> DataFrame:
+def _staged_members(spark: SparkSession, path: str | list[str], staging: str) -> DataFrame:
     """Archive lines, unpacked once into a table by family in the shared folder.
 
     The family ``error`` holds the archives that could not be read to their end.
@@ -110,7 +114,7 @@ def _documents_of(lines: DataFrame) -> DataFrame:
 
 def parse_directory(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     options: JobOptions,
     pings: DataFrame | None = None,
     unpacked: str | None = None,
@@ -118,9 +122,13 @@ def parse_directory(
     """Text records with their rejected lines, gridded and cast records, and errors.
 
     The first are subject to keep-first, the second are not; the third have
-    ``source_file`` and ``error``. ``unpacked`` is where archives are unpacked.
+    ``source_file`` and ``error``. ``path`` is a folder or a list of files, whose casts
+    find their companions in their own folders. ``unpacked`` is where archives are
+    unpacked.
     """
-    glob = glob_of_patterns(options.watch_patterns)
+    listed = isinstance(path, list)
+    glob = "*" if listed else glob_of_patterns(options.watch_patterns)
+    beside = sorted({os.path.dirname(p) for p in path if p.lower().endswith(".hex")}) if listed else path
     members = _staged_members(spark, path, unpacked or scratch_dir(spark, "members"))
 
     def lines(family: str) -> DataFrame:
@@ -131,7 +139,7 @@ def parse_directory(
         inside = members.where(
             (F.col("family") == "companion") & F.lower("source_file").endswith(suffix)
         )
-        return read_documents(spark, path, glob_of([suffix])).unionByName(_documents_of(inside))
+        return read_documents(spark, beside, glob_of([suffix])).unionByName(_documents_of(inside))
 
     rows = csv_records(lines("csv").where(~is_companion(F.col("source_file"))))
     text = concat_members(
@@ -177,11 +185,42 @@ def ingest_directory(
     Adds a run to ``data``, ``metadata``, ``rejects`` and ``results`` below ``out``;
     :func:`current_table` reads what holds now. A file that is taken in again replaces
     its own rows and no others. The results are written last and make the run count.
-    A damaged archive gets the status ``error`` and does not stop the others.
+    A damaged archive, or a file that vanishes before it is read, gets the status
+    ``error`` and does not stop the others.
     """
+    return _ingest(configure(spark), path, options.watch_patterns, None, out, options, day, pings)
+
+
+def ingest_files(
+    spark: SparkSession, paths: list[str], out: str, options: JobOptions, day: Column | None = None
+) -> DataFrame:
+    """The same for a list of files of any name, as of one micro-batch of file events.
+
+    A file that is not there gets the status ``error`` and the reason. The driver asks
+    the file system for each path once."""
     configure(spark)
+    wanted = list(dict.fromkeys(paths))
+    there = [p for p in wanted if path_exists(spark, p)]
+    missing = spark.createDataFrame(
+        [(p, f"file not found: {p}") for p in wanted if p not in set(there)], "source_file STRING, error STRING"
+    )
+    return _ingest(spark, [literal_path(p) for p in there], "*", missing, out, options, day, None)
+
+
+def _ingest(
+    spark: SparkSession, path: str | list[str], patterns: str, missing: DataFrame | None, out: str,
+    options: JobOptions, day: Column | None, pings: DataFrame | None,
+) -> DataFrame:
     run, unpacked = new_run(), scratch_dir(spark, "members")
+    if not path:
+        return _missing_only(missing, f"{out}/results/run={run}")
+    listed = manifest(spark, path, patterns).select(
+        F.col("path").alias("source_file"), "file_type", "length"
+    )
     text, whole, errors = parse_directory(spark, path, options, pings, unpacked)
+    if missing is not None:
+        listed = listed.unionByName(missing.select("source_file", file_type(F.col("source_file")).alias("file_type")), allowMissingColumns=True)
+        errors = errors.unionByName(missing)
     single = dedupe_records(text, merge=options.merge_duplicates)
     records = concat_members([single, whole])
     staging = scratch_dir(spark, "staging")
@@ -193,13 +232,33 @@ def ingest_directory(
     write_table(clean, f"{out}/data", options, day, run=run)
     write_metadata(clean, f"{out}/metadata/run={run}")
     rejects.select("source_file", "line_ord", "value", "reject_reason").write.parquet(f"{out}/rejects/run={run}")
-    listed = manifest(spark, path, options.watch_patterns).select(
-        F.col("path").alias("source_file"), "file_type", "length"
-    )
-    file_results(listed, clean, errors).write.parquet(f"{out}/results/run={run}")
+    # Listed again: what is no longer there may not have been read.
+    left = [p for p in path if path_exists(spark, _plain(p))] if isinstance(path, list) else path
+    now = list_files(spark, left).select(F.col("path").alias("source_file")) if left else listed.select("source_file").limit(0)
+    gone = listed.join(now, "source_file", "left_anti")
+    results = file_results(listed, clean, errors, gone)
+    # Pings are of files that are not listed.
+    typed = results.withColumn("file_type", F.coalesce("file_type", file_type(F.col("source_file"))))
+    typed.write.parquet(f"{out}/results/run={run}")
     for folder in (staging, unpacked):
         remove_dir(spark, folder)
     return spark.read.parquet(f"{out}/results/run={run}")
 
 
-__all__ = ["current_table", "ingest_directory", "parse_directory", "run_summary"]
+def _plain(path: str) -> str:
+    return re.sub(r"\\(.)", r"\1", path)
+
+
+def _missing_only(missing: DataFrame, place: str) -> DataFrame:
+    """Results of a run none of whose files is there."""
+    nothing = missing.sparkSession.createDataFrame(
+        [], "source_file STRING, time TIMESTAMP, latitude DOUBLE, longitude DOUBLE"
+    )
+    listed = missing.select(
+        "source_file", file_type(F.col("source_file")).alias("file_type"), F.lit(None).cast("bigint").alias("length")
+    )
+    file_results(listed, nothing, missing).write.parquet(place)
+    return missing.sparkSession.read.parquet(place)
+
+
+__all__ = ["current_table", "ingest_directory", "ingest_files", "parse_directory", "run_summary"]

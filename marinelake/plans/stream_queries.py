@@ -36,7 +36,7 @@ def in_turns(
     rows.unpersist()
 
 
-def _repeated(writer: Writer) -> Writer:
+def repeated(writer: Writer) -> Writer:
     """Every micro-batch comes twice."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -52,7 +52,7 @@ def _stubborn(writer: Writer, out: str, source: str) -> Writer:
     def write(batch: DataFrame, batch_id: int) -> None:
         lost = batch.select(F.lit("lost").alias("source_file"), F.lit("x").alias("value"))
         Commits(batch.sparkSession, out, source).write_tables(batch_id, {"data": lost, "rejects": lost})
-        _repeated(writer)(batch, batch_id)
+        repeated(writer)(batch, batch_id)
 
     return write
 
@@ -115,10 +115,10 @@ def stream_ingest(spark, sf_dir):
 
 # --- lines of a broker ----------------------------------------------------
 
-_MESSAGE = "key STRING, offset BIGINT, value BINARY, timestamp TIMESTAMP"
+MESSAGE = "key STRING, offset BIGINT, value BINARY, timestamp TIMESTAMP"
 
 
-def _messages(rows: DataFrame, key: Column, offset: Column, value: Column, turn: Column) -> DataFrame:
+def broker_messages(rows: DataFrame, key: Column, offset: Column, value: Column, turn: Column) -> DataFrame:
     """Rows as a broker gives them, and the turn they arrive in."""
     return rows.select(
         key.cast("string").alias("key"), offset.cast("bigint").alias("offset"), value.cast("binary").alias("value"),
@@ -126,12 +126,12 @@ def _messages(rows: DataFrame, key: Column, offset: Column, value: Column, turn:
     )
 
 
-def _broker_turns(messages: DataFrame, turns: int, run: Callable[[DataFrame], None]) -> None:
+def broker_turns(messages: DataFrame, turns: int, run: Callable[[DataFrame], None]) -> None:
     spark = messages.sparkSession
     in_turns(
         messages, F.col("turn"), turns,
         lambda rows, path: rows.drop("turn").write.parquet(path),
-        lambda folder: broker_lines(spark.readStream.schema(_MESSAGE).parquet(folder)),
+        lambda folder: broker_lines(spark.readStream.schema(MESSAGE).parquet(folder)),
         run,
     )
 
@@ -165,17 +165,17 @@ def stream_csv(spark, sf_dir):
     turned = (kind == "view") & (turn == 2)
     line = F.when(turned, F.concat_ws(" , ", *cells[::-1])).otherwise(F.concat_ws(",", *cells))
     line = F.when(value < 10, F.concat(line, F.lit(",more"))).otherwise(line)
-    data = _messages(events, kind, F.col("event_id"), line, turn)
+    data = broker_messages(events, kind, F.col("event_id"), line, turn)
     heads = events.select("event_type").distinct().select(
         "event_type", F.explode(F.array(F.when(kind == "click", 2).otherwise(0), F.when(kind == "view", 2))).alias("at")
     ).where("at is not null")
     names = F.when((kind == "view") & (F.col("at") == 2), "TEMP, latitude, time, device").otherwise("device,time,latitude,TEMP")
-    header = _messages(heads, kind, F.lit(-1), names, F.col("at"))
-    noise = _messages(heads.where("at = 0"), kind, F.lit(-2), F.lit("# a comment"), F.lit(1))
+    header = broker_messages(heads, kind, F.lit(-1), names, F.col("at"))
+    noise = broker_messages(heads.where("at = 0"), kind, F.lit(-2), F.lit("# a comment"), F.lit(1))
     writer = point_batches(out, OPTIONS, "csv")
-    _broker_turns(
+    broker_turns(
         data.unionByName(header).unionByName(noise), 3,
-        lambda lines: run_batches(csv_stream(lines), _repeated(writer), checkpoint),
+        lambda lines: run_batches(csv_stream(lines), repeated(writer), checkpoint),
     )
     records = published_table(spark, out, "data", "csv").select(
         F.lit("data").alias("part"), F.col("source_file").alias("name"), "line_ord", shown("time").alias("time"),
@@ -215,7 +215,7 @@ def stream_hex(spark, sf_dir):
     scans = inputs.hex_scans(spark, sf_dir).where("scan_time_added and nmea_position_added")
     # Offsets that keep the scans in order below 2^53, after the lines of the preamble.
     place = (turn.cast("bigint") * (1 << 42)) + F.col("l_orderkey") * 8 + F.col("l_linenumber") + (1 << 20)
-    data = _messages(scans, F.concat(F.lit("device-"), device), place, F.lower("hex_scan"), turn)
+    data = broker_messages(scans, F.concat(F.lit("device-"), device), place, F.lower("hex_scan"), turn)
 
     def calibration(g: float) -> list[str]:
         xml = (
@@ -235,9 +235,9 @@ def stream_hex(spark, sf_dir):
     about = spark.createDataFrame(lines, "k string, o bigint, v string, t int")
     # Only devices that have scans.
     about = about.join(data.select(F.col("key").alias("k")).distinct(), "k", "left_semi")
-    messages = data.unionByName(_messages(about, F.col("k"), F.col("o"), F.col("v"), F.col("t")))
+    messages = data.unionByName(broker_messages(about, F.col("k"), F.col("o"), F.col("v"), F.col("t")))
     writer = scan_batches(out, OPTIONS)
-    _broker_turns(messages, 3, lambda rows: run_batches(stream_scans(rows, ["source_file"]), _repeated(writer), checkpoint))
+    broker_turns(messages, 3, lambda rows: run_batches(stream_scans(rows, ["source_file"]), repeated(writer), checkpoint))
     data = published_table(spark, out, "data")
     none = [F.lit(None).cast("double").alias(c) for c in ("temperature_freq", "pressure_freq", "temperature")]
     station = F.lit(None).cast("string").alias("station")
@@ -330,7 +330,7 @@ def late_records(spark, sf_dir):
         lambda folder: spark.readStream.schema(events.schema).parquet(folder).select(
             "event_type", "event_id", F.col("ts").alias("time"), F.col("value").alias("latitude"), F.col("value").alias("longitude")
         ),
-        lambda stream: run_batches(stream, _repeated(writer), checkpoint),
+        lambda stream: run_batches(stream, repeated(writer), checkpoint),
     )
     late = published_table(spark, out, "rejects").select(
         F.lit("late").alias("part"), "event_type", shown("time").alias("time"), F.col("event_id").alias("n"), F.col("latitude").alias("largest")

@@ -12,6 +12,8 @@ from marinelake.functions.names import campaign_name
 from marinelake.options import JobOptions
 from marinelake.operators.metadata import file_metadata, sensor_stats
 from marinelake.operators.quality import valid_positions
+from marinelake.session import remove_dir
+from marinelake.sources.lines import list_files
 
 LAYOUT = ["campaign", "dataset", "ingest_date"]
 
@@ -64,16 +66,58 @@ def new_run() -> str:
     return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
 
+#: Status of the run of a file that a table's current rows are of. A run that failed for
+#: a file or found nothing in it leaves the file's earlier rows; ``results`` shows it.
+_COUNTS = {"data": ("ok",), "metadata": ("ok",), "rejects": ("ok", "skipped")}
+
+
 def current_table(spark: SparkSession, out: str, name: str) -> DataFrame:
-    """Rows of an output table that hold now: of each file those of its latest run.
+    """Rows of an output table that hold now: of each file those of its latest run that
+    did not fail for it.
 
     A run counts once its results are written, which is its last step; what a failed
     run left behind is not seen.
     """
+    return _current(spark, out, name).drop("run")
+
+
+def _current(spark: SparkSession, out: str, name: str) -> DataFrame:
     results = spark.read.option("mergeSchema", "true").parquet(f"{out}/results")
+    if name in _COUNTS:
+        results = results.where(F.col("status").isin(*_COUNTS[name]))
     latest = results.groupBy("source_file").agg(F.max("run").alias("run"))
     table = spark.read.option("mergeSchema", "true").parquet(f"{out}/{name}")
-    return table.join(latest, ["source_file", "run"], "left_semi").drop("run")
+    return table.join(latest, ["source_file", "run"], "left_semi")
+
+
+def compact(spark: SparkSession, out: str) -> str:
+    """Rewrite what holds now as one run and return its name; the runs before it stay
+    readable until :func:`expire_runs`.
+
+    Of each file the result that goes with its current rows is kept, or its latest."""
+    run = new_run()
+    every = spark.read.option("mergeSchema", "true").parquet(f"{out}/results")
+    order = F.struct((F.col("status") == "ok").alias("ok"), "run")
+    kept = every.groupBy("source_file").agg(F.max_by(F.struct(*[c for c in every.columns if c not in ("source_file", "run")]), order).alias("_r"))
+    place = [*LAYOUT, "source_file", "time"]
+    data = _current(spark, out, "data").drop("run").repartitionByRange(*place).sortWithinPartitions(*place)
+    data.withColumn("run", F.lit(run)).write.mode("append").partitionBy(*LAYOUT, "run").parquet(f"{out}/data")
+    for name in ("metadata", "rejects"):
+        _current(spark, out, name).drop("run").write.parquet(f"{out}/{name}/run={run}")
+    kept.select("source_file", "_r.*").write.parquet(f"{out}/results/run={run}")
+    return run
+
+
+def expire_runs(spark: SparkSession, out: str, before: str) -> None:
+    """Delete all runs earlier than ``before``, the name of a run that :func:`compact`
+    gave; results go first, so that no reader finds a run whose rows are gone."""
+    for name in ("results", "rejects", "metadata", "data"):
+        folder = F.regexp_extract("path", r"^(.*/run=[^/]*)/[^/]*$", 1)
+        run = F.regexp_extract("path", r"/run=([^/]*)/[^/]*$", 1)
+        # One row per run and day.
+        old = list_files(spark, f"{out}/{name}").where(run < before).select(folder.alias("f")).distinct()
+        for row in old.toLocalIterator():
+            remove_dir(spark, row["f"])
 
 
 def metadata_table(df: DataFrame) -> DataFrame:

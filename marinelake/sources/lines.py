@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ def _case_blind(suffix: str) -> str:
     return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
 
 
+def literal_path(path: str) -> str:
+    """A path whose characters all stand for themselves, for readers that expand globs."""
+    return re.sub(r"([\\*?\[\]{},])", r"\\\1", path)
+
+
 def glob_of(suffixes: list[str]) -> str:
     """Path filter for a list of suffixes in any letter case."""
     return "{" + ",".join("*" + _case_blind(s) for s in suffixes) + "}"
@@ -57,10 +64,12 @@ def read_lines(
 
     Files are split and packed by the session's ``maxPartitionBytes`` and
     ``openCostInBytes``; ``ingest_ts`` is the file's modification time, so a
-    rerun stamps bare sentences alike.
+    rerun stamps bare sentences alike. A file that vanishes before it is read gives no
+    lines.
     """
     files = (
         spark.read.format("text")
+        .option("ignoreMissingFiles", "true")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(path)
@@ -77,9 +86,12 @@ def read_lines(
 
 def read_documents(spark: SparkSession, path: str | list[str], pattern: str) -> DataFrame:
     """One row per small companion file (header or calibration)."""
+    if not path:
+        return spark.createDataFrame([], "source_file STRING, content STRING")
     return (
         spark.read.format("text")
         .option("wholetext", "true")
+        .option("ignoreMissingFiles", "true")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(path)
