@@ -214,9 +214,10 @@ def _ingest(
     run, unpacked = new_run(), scratch_dir(spark, "members")
     if not path:
         return _missing_only(missing, f"{out}/results/run={run}")
-    listed = manifest(spark, path, patterns).select(
-        F.col("path").alias("source_file"), "file_type", "length"
-    )
+    # Kept, as a listing that is read later does not know the files that are gone by then.
+    at_first = scratch_dir(spark, "manifest")
+    manifest(spark, path, patterns).select(F.col("path").alias("source_file"), "file_type", "length").write.parquet(at_first)
+    listed = spark.read.parquet(at_first)
     text, whole, errors = parse_directory(spark, path, options, pings, unpacked)
     if missing is not None:
         listed = listed.unionByName(missing.select("source_file", file_type(F.col("source_file")).alias("file_type")), allowMissingColumns=True)
@@ -240,7 +241,7 @@ def _ingest(
     # Pings are of files that are not listed.
     typed = results.withColumn("file_type", F.coalesce("file_type", file_type(F.col("source_file"))))
     typed.write.parquet(f"{out}/results/run={run}")
-    for folder in (staging, unpacked):
+    for folder in (staging, unpacked, at_first):
         remove_dir(spark, folder)
     return spark.read.parquet(f"{out}/results/run={run}")
 
