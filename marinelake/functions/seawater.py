@@ -1,4 +1,5 @@
-"""Practical salinity and depth after UNESCO technical paper 44 (1983)."""
+"""Practical salinity and depth after UNESCO technical paper 44 (1983), below 2 with the
+extension to low salinities of Hill, Dauphinee and Woods (1986)."""
 
 from __future__ import annotations
 
@@ -13,6 +14,7 @@ T68_PER_T90 = 1.00024
 SALINITY_A = [0.0080, -0.1692, 25.3851, 14.0941, -7.0261, 2.7081]
 SALINITY_B = [0.0005, -0.0056, -0.0066, -0.0375, 0.0636, -0.0144]
 SALINITY_K = 0.0162
+FRESH_BELOW = 2.0
 RT_C = [0.6766097, 2.00564e-2, 1.104259e-4, -6.9698e-7, 1.0031e-9]
 RP_E = [0.0, 2.070e-5, -6.370e-10, 3.989e-15]
 RP_D1, RP_D2, RP_D3, RP_D4 = 3.426e-2, 4.464e-4, 4.215e-1, -3.107e-3
@@ -37,9 +39,12 @@ def salinity_from_ratio(ratio: Column, t68: Column, pressure: Column) -> Column:
     rt = F.try_divide(ratio, rp * polynomial(t68, RT_C))
     root = F.when(rt >= 0, F.sqrt(rt))
     warm = t68 - 15.0
-    return polynomial(root, SALINITY_A) + F.try_divide(
-        warm, warm * SALINITY_K + F.lit(1.0)
-    ) * polynomial(root, SALINITY_B)
+    bend = F.try_divide(warm, warm * SALINITY_K + F.lit(1.0))
+    practical = polynomial(root, SALINITY_A) + bend * polynomial(root, SALINITY_B)
+    # The extension: x is 400 times the ratio, y its root times 10.
+    x, y = rt * 400.0, root * 10.0
+    fresh = practical - F.lit(SALINITY_A[0]) / polynomial(x, [1.0, 1.5, 1.0]) - F.lit(SALINITY_B[0]) * bend / polynomial(y, [1.0, 1.0, 1.0, 1.0])
+    return F.when(practical < FRESH_BELOW, fresh).otherwise(practical)
 
 
 def salinity(conductivity: Column, temperature: Column, pressure: Column) -> Column:

@@ -10,9 +10,17 @@ from marinelake.functions.lines import classify_cast_line
 from marinelake.functions.names import directory, stem
 from marinelake.functions.scans import SCRATCH, decode_scan, scan_groups, scan_offsets
 from marinelake.functions.values import computed_once
+from marinelake.operators.sequence import moving_average
 
 CAST_KEY = ["dir", "stem_lc"]
 
+# Places in the sensor list from which on a sensor is a secondary one, the
+# rate of scans, and the time over which the compensation count is averaged.
+SECONDARY_TEMPERATURE_FROM = 3
+SECONDARY_CONDUCTIVITY_FROM = 4
+SCANS_PER_SECOND = 24
+COMPENSATION_SECONDS = 30
+
 
 def with_cast_key(df: DataFrame, path: str = "source_file", fold_case: bool = True) -> DataFrame:
     """Directory and stem that tie a cast's files together."""
@@ -55,9 +63,10 @@ def cast_position(df: DataFrame) -> DataFrame:
     )
 
 
-def first_sensor(sensors: Column, kind: str) -> Column:
-    """Coefficient map of the first sensor of a type."""
-    return F.get(F.filter(sensors, lambda s: s["type"] == kind), F.lit(0))["coefficients"]
+def first_sensor(sensors: Column, kind: str, start: int = 0) -> Column:
+    """Coefficient map of the first sensor of a type, from a place in the list on."""
+    listed = F.slice(sensors, start + 1, F.greatest(F.size(sensors), F.lit(1))) if start else sensors
+    return F.get(F.filter(listed, lambda s: s["type"] == kind), F.lit(0))["coefficients"]
 
 
 def decode_scans(df: DataFrame, scan: str = "hex_scan") -> DataFrame:
@@ -77,49 +86,61 @@ def decode_scans(df: DataFrame, scan: str = "hex_scan") -> DataFrame:
 
 
 def with_coefficients(calibrations: DataFrame) -> DataFrame:
-    """Typed coefficients of the first sensor of each kind, on the one row per cast."""
+    """Typed coefficients of the first sensor of each kind, on the one row per cast, and
+    of the secondary temperature and conductivity sensors, which come later in the list."""
     sensors = F.col("sensors")
 
-    def typed(kind: str, names: dict[str, float | None]) -> Column:
-        return calibration.coefficients(first_sensor(sensors, kind), names)
+    def typed(kind: str, names: dict[str, float | None], start: int = 0) -> Column:
+        return calibration.coefficients(first_sensor(sensors, kind, start), names)
 
     return calibrations.withColumns(
         {
             "temperature_cal": typed("TemperatureSensor", calibration.TEMPERATURE_COEFFICIENTS),
             "pressure_cal": typed("PressureSensor", calibration.PRESSURE_COEFFICIENTS),
             "conductivity_cal": typed("ConductivitySensor", calibration.CONDUCTIVITY_COEFFICIENTS),
+            "temperature2_cal": typed("TemperatureSensor", calibration.TEMPERATURE_COEFFICIENTS, SECONDARY_TEMPERATURE_FROM),
+            "conductivity2_cal": typed("ConductivitySensor", calibration.CONDUCTIVITY_COEFFICIENTS, SECONDARY_CONDUCTIVITY_FROM),
         }
     )
 
 
+def smoothed_compensation(
+    scans: DataFrame, keys: list[str], position: str = "scan", seconds: float = COMPENSATION_SECONDS, name: str = "pressure_comp"
+) -> DataFrame:
+    """Add the compensation count of the pressure sensor averaged over ``seconds`` around
+    each scan, at 24 scans a second."""
+    half = int(seconds * SCANS_PER_SECOND / 2)
+    return moving_average(scans, keys, position, "temperature_comp", half, half, name)
+
+
 def calibrate(df: DataFrame) -> DataFrame:
-    """Temperature, pressure, conductivity, salinity and depth from raw channels.
+    """Temperature, pressure, conductivity, salinity and depth from raw channels, and the
+    same of the secondary sensors where the secondary channels are there.
 
     Reads the columns of :func:`with_coefficients`; whatever lacks a channel or a
-    coefficient is null.
+    coefficient is null. The pressure takes the smoothed compensation count,
+    ``pressure_comp``, where the rows have it. Both conductivities share the pressure.
     """
-    t, p, c = F.col("temperature"), F.col("pressure"), F.col("conductivity")
+    p = F.col("pressure")
     latitude = F.coalesce(F.col("hdr_latitude"), F.lit(0.0))
-    return (
-        df.withColumns(
-            {
-                "temperature": calibration.temperature(
-                    F.col("temperature_freq"), F.col("temperature_cal")
-                ),
-                "pressure": calibration.pressure(
-                    F.col("pressure_freq"), F.col("temperature_comp"), F.col("pressure_cal")
-                ),
-            }
+    compensation = F.col("pressure_comp" if "pressure_comp" in df.columns else "temperature_comp")
+    done = df.withColumn("pressure", calibration.pressure(F.col("pressure_freq"), compensation, F.col("pressure_cal")))
+    chains = [""] + (["2"] if {"temperature2_freq", "conductivity2_freq"} <= set(df.columns) else [])
+    for chain in chains:
+        t, c = F.col(f"temperature{chain}"), F.col(f"conductivity{chain}")
+        done = (
+            done.withColumn(
+                f"temperature{chain}",
+                calibration.temperature(F.col(f"temperature{chain}_freq"), F.col(f"temperature{chain}_cal")),
+            )
+            .withColumn(
+                f"conductivity{chain}",
+                calibration.conductivity(F.col(f"conductivity{chain}_freq"), t, p, F.col(f"conductivity{chain}_cal")),
+            )
+            .withColumn(f"salinity{chain}", seawater.salinity(c, t, p))
         )
-        .withColumn(
-            "conductivity",
-            calibration.conductivity(F.col("conductivity_freq"), t, p, F.col("conductivity_cal")),
-        )
-        .withColumns(
-            {"salinity": seawater.salinity(c, t, p), "depth": seawater.depth(p, latitude)}
-        )
-        .drop("temperature_cal", "pressure_cal", "conductivity_cal")
-    )
+    scratch = [f"{name}_cal" for name in ("temperature", "pressure", "conductivity", "temperature2", "conductivity2")]
+    return done.withColumn("depth", seawater.depth(p, latitude)).drop(*scratch, "pressure_comp")
 
 
 def preamble_roles(lines: DataFrame, key: str = "source_file", order: str = "line_ord") -> DataFrame:

@@ -74,6 +74,32 @@ def with_previous(
     )
 
 
+def moving_average(
+    df: DataFrame, keys: list[str], position: str, value: str, before: int, after: int, name: str,
+    block: int = 1 << BLOCK_BITS,
+) -> DataFrame:
+    """Add the mean of ``value`` from ``before`` rows before each row to ``after`` rows
+    after it, fewer at the ends of a key; nulls are skipped.
+
+    ``position`` numbers the rows of a key from 1 on. A key is cut into blocks of
+    positions, and the rows near an edge are copied into the blocks whose means need
+    them, ``before + after`` rows per block, so that no key is one task.
+    """
+    at = F.col(position) - 1
+
+    def block_at(place: Column) -> Column:
+        return F.floor(place / block).cast("bigint")
+
+    first, last = block_at(F.greatest(at - after, F.lit(0))), block_at(at + before)
+    spread = df.withColumns({"_own": block_at(at), "_block": F.explode(F.sequence(first, last))})
+    near = Window.partitionBy(*keys, "_block").orderBy(position).rangeBetween(-before, after)
+    return (
+        spread.withColumn(name, F.avg(value).over(near))
+        .where(F.col("_block") == F.col("_own"))
+        .drop("_own", "_block")
+    )
+
+
 def changed_readings(
     df: DataFrame, keys: list[str], order: str = "line_ord", time: str = "time"
 ) -> DataFrame:

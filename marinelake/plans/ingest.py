@@ -22,6 +22,7 @@ from marinelake.operators.casts import (
     cast_position,
     companion_join,
     decode_scans,
+    smoothed_compensation,
     with_cast_key,
     with_coefficients,
 )
@@ -66,18 +67,21 @@ def cnv_points(lines: DataFrame) -> DataFrame:
 
 def cast_points(lines: DataFrame, headers: DataFrame, calibrations: DataFrame) -> DataFrame:
     """Numbered, positioned and calibrated scans of all casts."""
-    return calibrated_scans(with_cast_key(scan_number(scan_lines(lines))), headers, calibrations)
+    return calibrated_scans(with_cast_key(scan_number(scan_lines(lines))), headers, calibrations, smooth=True)
 
 
-def calibrated_scans(scans: DataFrame, headers: DataFrame, calibrations: DataFrame) -> DataFrame:
-    """Scans decoded and calibrated by the companions of their cast."""
-    joined = companion_join(scans, headers, calibrations)
-    points = cast_position(calibrate(decode_scans(joined)))
+def calibrated_scans(scans: DataFrame, headers: DataFrame, calibrations: DataFrame, smooth: bool = False) -> DataFrame:
+    """Scans decoded and calibrated by the companions of their cast; ``smooth`` averages
+    the compensation count of the pressure sensor, which needs whole casts."""
+    decoded = decode_scans(companion_join(scans, headers, calibrations))
+    if smooth:
+        decoded = smoothed_compensation(decoded, ["source_file"])
+    points = cast_position(calibrate(decoded))
     return points.select(
         "source_file", "line_ord", "station", "time", "latitude", "longitude", "depth",
         "temperature", "conductivity", "pressure", "salinity", "temperature_freq",
         "conductivity_freq", "pressure_freq", "temperature_comp", "temperature2_freq",
-        "conductivity2_freq", *[f"volt{i}" for i in range(8)], "scan", "hex_scan",
+        "conductivity2_freq", "temperature2", "conductivity2", "salinity2", *[f"volt{i}" for i in range(8)], "scan", "hex_scan",
     )
 
 

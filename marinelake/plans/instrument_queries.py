@@ -6,12 +6,15 @@ from pyspark.sql import functions as F
 
 from marinelake.functions import calibration, seawater
 from marinelake.operators.casts import (
+    COMPENSATION_SECONDS,
+    SCANS_PER_SECOND,
     calibrate,
     decode_scans,
     first_sensor,
     with_coefficients,
 )
 from marinelake.operators.currents import adcp_ensembles, echo_or_velocity
+from marinelake.operators.sequence import moving_average, scan_number
 from marinelake.plans import inputs
 from marinelake.plans.inputs import SCAN_FIELDS_SQL
 from marinelake.plans.registry import bigint, query, shown, shown_sql, table
@@ -97,9 +100,9 @@ def _channels(spark, sf_dir):
     )
 
 
-def _temperature_sql() -> str:
-    g, h, i, j, f0 = TEMPERATURE.values()
-    log = f"ln({f0}::DOUBLE / t_freq)"
+def _temperature_sql(freq: str = "t_freq", values: dict[str, float] = TEMPERATURE) -> str:
+    g, h, i, j, f0 = values.values()
+    log = f"ln({f0}::DOUBLE / {freq})"
     return (
         f"1 / ({g}::DOUBLE + {log} * ({h}::DOUBLE + {log} * ({i}::DOUBLE + {log} * {j}::DOUBLE)))"
         " - 273.15::DOUBLE"
@@ -116,9 +119,9 @@ def _pressure_sql() -> str:
     return f"({c} * {w} * (1 - {d} * {w}) - 14.7::DOUBLE) * 0.6894759::DOUBLE"
 
 
-def _conductivity_sql(t: str, p: str) -> str:
+def _conductivity_sql(t: str, p: str, freq: str = "c_freq") -> str:
     g, h, i, j, cpcor, ctcor = (f"{v}::DOUBLE" for v in CONDUCTIVITY.values())
-    f = "(c_freq / 1000)"
+    f = f"({freq} / 1000)"
     return (
         f"({g} + {h} * {f} ** 2 + {i} * {f} ** 3 + {j} * {f} ** 4)"
         f" / (10 * (1 + {ctcor} * {t} + {cpcor} * {p}))"
@@ -138,7 +141,13 @@ def _salinity_sql(c: str, t90: str, p: str) -> str:
     root = f"sqrt({r} / ({rp} * {rt}))"
     a = " + ".join(f"({v}) * {root} ** {i}" for i, v in enumerate(seawater.SALINITY_A))
     b = " + ".join(f"({v}) * {root} ** {i}" for i, v in enumerate(seawater.SALINITY_B))
-    return f"{a} + ({t} - 15) / (1 + 0.0162::DOUBLE * ({t} - 15)) * ({b})"
+    bend = f"(({t} - 15) / (1 + 0.0162::DOUBLE * ({t} - 15)))"
+    whole = f"({a} + {bend} * ({b}))"
+    x, y = f"(400 * {root} ** 2)", f"(10 * {root})"
+    return (
+        f"CASE WHEN {whole} >= 2 THEN {whole} ELSE {whole} - 0.008::DOUBLE / (1 + 1.5::DOUBLE * {x} + {x} ** 2)"
+        f" - 0.0005::DOUBLE * {bend} / (1 + {y} + {y} ** 2 + {y} ** 3) END"
+    )
 
 
 def _depth_sql(p: str, latitude: str) -> str:
@@ -263,6 +272,81 @@ def ctd_calibrated(spark, sf_dir):
     )
 
 
+@query(
+    "ctd_fresh_water",
+    f"""SELECT l_orderkey, l_linenumber,
+               round({_salinity_sql('((l_partkey % 70) / 100.0::DOUBLE)', '(l_quantity * 0.6)', '((l_suppkey % 40) * 1.0::DOUBLE)')}, 6)
+               AS salinity FROM lineitem""",
+)
+def ctd_fresh_water(spark, sf_dir):
+    """Salinities from 0 to about 6, on both sides of the low-salinity extension."""
+    salinity = seawater.salinity(
+        (F.col("l_partkey") % 70) / 100, F.col("l_quantity") * 0.6, (F.col("l_suppkey") % 40).cast("double")
+    )
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.round(salinity, 6).alias("salinity")
+    )
+
+
+SECONDARY = {"G": 4.1e-3, "H": 6.2e-4, "I": 2.1e-5, "J": 1.9e-6, "F0": 1000.0}
+
+
+@query(
+    "secondary_sensors",
+    f"""
+    WITH raw AS (SELECT *, t_freq + 50 AS t2_freq, c_freq + 20 AS c2_freq, l_orderkey % 3 AS cast_no FROM ({_CHANNELS_SQL})),
+    tp AS (SELECT *, {_pressure_sql()} AS p, {_temperature_sql()} AS t,
+                  CASE WHEN cast_no < 2 THEN {_temperature_sql('t2_freq', SECONDARY)} END AS t2 FROM raw),
+    tpc AS (SELECT *, CASE WHEN cast_no = 0 THEN {_conductivity_sql('t2', 'p', 'c2_freq')} END AS c2 FROM tp)
+    SELECT l_orderkey, l_linenumber, round(t, 5) AS temperature, round(t2, 5) AS temperature2,
+           round(c2, 5) AS conductivity2, round({_salinity_sql('c2', 't2', 'p')}, 4) AS salinity2
+    FROM tpc
+    """,
+)
+def secondary_sensors(spark, sf_dir):
+    """Casts with two secondary sensors, with one, and with none."""
+    def sensor(kind, values):
+        return F.struct(F.lit(kind).alias("type"), _map(values).alias("coefficients"))
+
+    other = sensor("NotInUse", {"G": 0.0})
+    first = [sensor("TemperatureSensor", TEMPERATURE), sensor("ConductivitySensor", CONDUCTIVITY), sensor("PressureSensor", PRESSURE)]
+    second = [sensor("TemperatureSensor", SECONDARY), sensor("ConductivitySensor", CONDUCTIVITY)]
+    lists = [F.array(*first, *second), F.array(*first, second[0], other), F.array(*first)]
+    number = F.col("n_nationkey")
+    casts = table(spark, sf_dir, "nation").where(number < 3).select(
+        number.cast("bigint").alias("cast_no"), F.when(number == 0, lists[0]).when(number == 1, lists[1]).otherwise(lists[2]).alias("sensors")
+    )
+    raw = _channels(spark, sf_dir).select(
+        "l_orderkey", "l_linenumber", F.col("t_freq").alias("temperature_freq"), F.col("c_freq").alias("conductivity_freq"),
+        F.col("p_freq").alias("pressure_freq"), F.col("comp").alias("temperature_comp"),
+        (F.col("t_freq") + 50).alias("temperature2_freq"), (F.col("c_freq") + 20).alias("conductivity2_freq"),
+        F.lit(30.0).alias("hdr_latitude"), (F.col("l_orderkey") % 3).alias("cast_no"),
+    )
+    places = {"temperature": 5, "temperature2": 5, "conductivity2": 5, "salinity2": 4}
+    return calibrate(raw.join(with_coefficients(casts), "cast_no", "left")).select(
+        "l_orderkey", "l_linenumber", *[F.round(c, n).alias(c) for c, n in places.items()]
+    )
+
+
+@query(
+    "pressure_compensation",
+    """
+    SELECT event_id, event_type AS source_file, round(avg((event_id * 7919) % 4096) OVER (
+               PARTITION BY event_type ORDER BY event_id ROWS BETWEEN 360 PRECEDING AND 360 FOLLOWING), 9) AS pressure_comp
+    FROM events
+    """,
+)
+def pressure_compensation(spark, sf_dir):
+    """The compensation count averaged over 30 s, in blocks of 1000 scans."""
+    scans = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("source_file"), "event_id", (F.col("event_id") * 7919 % 4096).alias("temperature_comp")
+    )
+    half = COMPENSATION_SECONDS * SCANS_PER_SECOND // 2
+    numbered = scan_number(scans, "event_id")
+    found = moving_average(numbered, ["source_file"], "scan", "temperature_comp", half, half, "pressure_comp", block=1000)
+    return found.select("event_id", "source_file", F.round("pressure_comp", 9).alias("pressure_comp"))
+
+
 @query(
     "cast_header",
     f"""
