@@ -203,10 +203,14 @@ class CountOrTime(_Chunks):
         # Spark drops rows behind the watermark before this operator sees them.
         self.chunks.appendValue((packed(pd.concat(list(rows), ignore_index=True)),))
         times = np.sort(self.held()[0][_US].to_numpy(np.int64))
-        for *_, closes in self._cut(times):
-            self.handle.registerTimer(-(-closes // 1000))  # rounded up to a millisecond
+        self._wake(next(self._cut(times))[3])
         return iter(())
 
+    def _wake(self, us: int) -> None:
+        """Call again once the watermark has reached a time. One timer is enough: batches
+        close one after another, and each call sets the next."""
+        self.handle.registerTimer(-(-us // 1000))  # rounded up to a millisecond
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         held = self.held()
         if not held:
@@ -218,6 +222,7 @@ class CountOrTime(_Chunks):
         rest, closed = 0, []
         for start, stop, full, closes in self._cut(times):
             if closes > passed:
+                self._wake(closes)
                 break
             number += 1
             closed.append(
