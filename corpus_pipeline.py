@@ -26,9 +26,13 @@ ORACLE_SQL = None
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that have no letter or no clear language."""
+    """Without documents that have no letter or no clear language. Where no document is
+    labelled, no language can be unclear, and those with a letter stay."""
+    model = learn_languages(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     language, score = free_name(docs, "language"), free_name(docs, "score")
-    found = predict_languages(docs, learn_languages(docs), lang_pred=language, score=score)
+    found = predict_languages(docs, model, lang_pred=language, score=score)
     return found.where((F.col(language) != UNDETERMINED) & (F.col(score) >= LEAST_SCORE)).select(*docs.columns)
 
 
