@@ -3,6 +3,8 @@
 import re
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from marinelake.llm.licences import TEMPLATES, scan_licences, train_licences
 from tests.llm.test_minhash import brute
 from tests.llm.test_passages import exact_repeats
@@ -64,3 +66,12 @@ def test_licences(spark, odd, empty):
     assert got - {(2, 0, "unknown")} == {(1, 2, "apache"), (None, 0, "mit")}
     assert scan_licences(odd, model).count() == 0 and scan_licences(empty, model).count() == 0
     assert scan_licences(empty).count() == 0
+
+
+def test_documents_without_any_label_stay(spark, odd, empty):
+    unlabelled = odd.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.keep_languages(spark, unlabelled, SF)
+    assert kept.columns == odd.columns
+    with_letters = [r["doc_id"] for r in odd.collect() if r["text"] and any(c.isalpha() for c in r["text"])]
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted(with_letters, key=str)
+    assert corpus_pipeline.keep_languages(spark, empty, SF).count() == 0
