@@ -16,12 +16,13 @@ from marinelake.session import remove_dir, scratch_dir
 SLICE_BYTES = 8 << 20
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches in parts of at most ``most`` bytes of text, or of one row."""
+def slices(batches: Iterable[pa.RecordBatch], *texts: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``most`` bytes of all the text columns, or of one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lengths = [pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in texts]
+        ends = np.cumsum(np.sum(lengths, axis=0))
         start = 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
@@ -79,8 +80,9 @@ def drop_kept(*tables: DataFrame) -> None:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of few rows, for the session: texts are long."""
+    """Arrow batches of few rows and bytes, for the session: texts are long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE_BYTES))
 
 
 def text_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

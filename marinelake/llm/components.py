@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marinelake.llm.common import kept_table
+from marinelake.llm.common import drop_kept, kept_table
 
 
 def forest(batches, kind):
@@ -37,7 +37,8 @@ def components(links: DataFrame) -> DataFrame:
     repeats and loops allowed): the smallest node that links reach. No links, no rows.
 
     Each task first contracts its own links; then large and small stars alternate
-    until nothing changes, each round written to the shared folder."""
+    until nothing changes, each round written to the shared folder in place of the one
+    before; the last table stays, and ``drop_kept`` of the result deletes it."""
     text = links.schema["a"].dataType.simpleString()
     kind = pa.string() if text == "string" else pa.int64()
     # a is the larger node, b the smaller.
@@ -54,7 +55,8 @@ def components(links: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("s"))
-        links = kept_table(small.select("s.a", "s.b").where("a <> b").distinct(), "links")
-    return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-        links.select("b", "b").distinct()
-    )
+        before, links = links, kept_table(small.select("s.a", "s.b").where("a <> b").distinct(), "links")
+        drop_kept(before)
+    found = links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(links.select("b", "b").distinct())
+    found.kept_path = links.kept_path
+    return found

@@ -12,10 +12,10 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marinelake.llm.common import free_name, kept_table, slices, text_rows, texts_of
+from marinelake.llm.common import drop_kept, free_name, kept_table, slices, text_rows, texts_of
 from marinelake.llm.components import components
 from marinelake.llm.registry import query, table
 from marinelake.llm.words import SHINGLE, distinct, mix, shingles, word_hashes
@@ -32,9 +32,8 @@ IDF_RANGE = 0.25
 #: similarity 0.8 more than 24 do in fewer than 1 of 10,000 pairs.
 SKETCH_PLANES = 4
 SKETCH_DIFFERS = 24
-#: Leaders that a bucket's members are compared with, one after the other, before all
-#: that is still unsettled is compared.
-LEADERS = 4
+#: Tasks that the comparisons with one leader are dealt over.
+LEADER_PARTS = 256
 _SLICE = 2 << 20
 _BLOCK = 1 << 14
 
@@ -106,7 +105,7 @@ def document_frequencies(docs: DataFrame, size: int = SHINGLE) -> tuple[np.ndarr
 
     def count(batches):
         totals, rows = np.zeros(counters, np.int64), 0
-        for batch in slices(batches, "text", _SLICE):
+        for batch in slices(batches, "text", most=_SLICE):
             values, _, offsets = _sets(texts_of(batch, "text"), size)
             counter = (values >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64)
             owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
@@ -128,7 +127,7 @@ def _signatures(texts: DataFrame, shared, size: int) -> DataFrame:
 
     def sign(batches):
         sampler = shared.value
-        for batch in slices(batches, "text", _SLICE):
+        for batch in slices(batches, "text", most=_SLICE):
             values, counts, offsets = _sets(texts_of(batch, "text"), size)
             some = np.flatnonzero(np.diff(offsets))
             drawn = sampler.samples(values, sampler.weights(values, counts), offsets)[some]
@@ -159,7 +158,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, shared, size: int, similarity:
 
     def verify(batches):
         sampler = shared.value
-        for batch in slices(batches, "text_a", _SLICE):
+        for batch in slices(batches, "text_a", "text_b", most=_SLICE):
             sides = []
             for side in ("text_a", "text_b"):
                 # A leader's text stands in many rows of a batch; its set is made once.
@@ -171,59 +170,74 @@ def _verified(pairs: DataFrame, texts: DataFrame, shared, size: int, similarity:
             kept = pa.array(found >= similarity)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept), pa.array(found).filter(kept)], ["a", "b", "similarity"])
 
-    joined = (
-        pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-        .select("a", "b", "text_a", "text_b")
-    )
-    return joined.mapInArrow(verify, "a string, b string, similarity double")
+    # A leader stands in many pairs: its text is dealt out in as many copies as parts.
+    pairs = pairs.withColumn("part", F.pmod(F.xxhash64("a"), F.lit(LEADER_PARTS)))
+    leaders = pairs.select("b", "part").distinct().join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
+    sides = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(leaders, ["b", "part"])
+    return sides.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a string, b string, similarity double")
 
 
-def _text_of_pairs(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The texts of the keys in ``pairs``, each once however many rows hold it."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    return kept_table(texts.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "pair-texts")
+def _crowded(signed: DataFrame) -> DataFrame:
+    """``band, hash, key, sketch`` of the buckets of several texts, and ``central``: how
+    many texts the buckets of a key hold, the more, the nearer it is to the middle of
+    a group of near copies."""
+    bucket = ["band", "hash"]
+    bands = signed.select("key", F.posexplode("bands").alias("band", "hash"))
+    sizes = bands.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    own = bands.join(sizes, bucket).groupBy("key").agg(F.sum("n").alias("central"), F.collect_list(F.struct(*bucket)).alias("own"))
+    return own.join(signed.select("key", "sketch"), "key").select(F.explode("own").alias("at"), "key", "sketch", "central").select("at.*", "key", "sketch", "central")
 
 
 def similar_texts(texts: DataFrame, frequencies: np.ndarray, documents: int, similarity: float = SIMILARITY, size: int = SHINGLE) -> DataFrame:
     """``node, component`` of every text that is linked; ``texts`` holds ``key, text``,
-    one key for each different text, in any number of rows.
-
-    The members of a bucket that are of other components than its leader are compared
-    with it, and it leaves the bucket, as nothing about it is open. After a few leaders
-    all members that are still of several components are compared across components.
-    Only pairs whose sketches allow the similarity are compared, and none inside a
-    component, for they change no class."""
+    one key for each different text, in any number of rows. ``drop_kept`` deletes the
+    table behind the result.
+
+    In every turn the members of a bucket are compared with its leaders that are of
+    other components, and the leaders leave the bucket, as nothing about them is open.
+    Leaders are those of the smallest components, and among them the most central: the
+    middle of a group settles most of it at once, and of a large component and a few
+    others the few are the ones to lead. A bucket of one component is done. Each turn
+    has twice as many leaders, so that turns are few; the last ones of a bucket whose
+    members are all unlike have met every member. Only pairs whose sketches allow the
+    similarity are compared. Tables of a turn are deleted when the next has been written."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(Sampler(frequencies, documents))
-    signed = kept_table(_signatures(texts, shared, size).dropDuplicates(["key"]), "signatures")
     bucket = ["band", "hash"]
-    bands = signed.select("key", F.posexplode("bands").alias("band", "hash"))
-    crowded = bands.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*bucket)
-    members = bands.join(crowded, bucket).join(signed.select("key", "sketch"), "key").withColumn("component", F.col("key"))
-    members = kept_table(members.select(*bucket, "key", "sketch", "component"), "buckets")
-    linked = spark.createDataFrame([], "node string, component string")
-
-    def joined(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = kept_table(pairs, "pairs")
-        found = _verified(pairs, _text_of_pairs(texts, pairs), shared, size, similarity)
-        return components(found.select("a", "b").union(linked.select("node", "component")))
-
-    for turn in range(LEADERS):
-        leader = members.groupBy(*bucket).agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("by"), "key", "component", "sketch")).alias("leader"))
-        led = members.join(leader, bucket)
-        linked = joined(led.where("component <> leader.component").where(_near("sketch", "leader.sketch")).select(F.col("key").alias("a"), F.col("leader.key").alias("b")))
-        left = led.where("key <> leader.key").select(*bucket, "key", "sketch")
-        left = left.join(linked.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    signed = kept_table(_signatures(texts, shared, size).dropDuplicates(["key"]), "signatures")
+    single = {"component": F.col("key"), "size": F.lit(1).cast("bigint")}
+    members = kept_table(_crowded(signed).withColumns(single), "buckets")
+    drop_kept(signed)
+    wanted = members.select("key").distinct()
+    texts = kept_table(texts.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "bucket-texts")
+    linked = kept_table(spark.createDataFrame([], "node string, component string, size bigint"), "linked")
+    rank = ["size", -F.col("central"), "key"]
+    turn = 0
+    while not members.isEmpty():
+        order = Window.partitionBy(*bucket).orderBy(*rank)
+        leaders = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 1 << turn)
+        leaders = leaders.select(*bucket, F.struct(*rank).alias("rank"), F.struct("key", "component", "sketch").alias("leader"))
+        leaders = kept_table(leaders, "leaders")
+        met = members.join(leaders, bucket).where(F.struct(*rank) > F.col("rank")).where("component <> leader.component")
+        pairs = kept_table(met.where(_near("sketch", "leader.sketch")).select(F.col("key").alias("a"), F.col("leader.key").alias("b")).distinct(), "pairs")
+        found = kept_table(_verified(pairs, texts, shared, size, similarity).select("a", "b"), "found")
+        drop_kept(pairs)
+        if not found.isEmpty():
+            classes = components(found.union(linked.select("node", "component")))
+            sizes = classes.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+            before, linked = linked, kept_table(classes.join(sizes, "component").select("node", "component", "size"), "linked")
+            drop_kept(before, classes)
+        left = members.join(leaders.select(*bucket, F.col("leader.key").alias("key")), [*bucket, "key"], "left_anti").drop("component", "size")
+        left = left.join(linked.withColumnRenamed("node", "key"), "key", "left").withColumns({c: F.coalesce(c, single[c]) for c in single})
         left = kept_table(left, "left")
         several = left.groupBy(*bucket).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        members = kept_table(left.join(several.select(*bucket), bucket, "left_semi").select(*bucket, "key", "sketch", "component"), "buckets")
-        if members.isEmpty():
-            return linked
-    one, two = (members.select(*bucket, *(F.col(c).alias(f"{c}_{side}") for c in ("key", "sketch", "component"))) for side in "ab")
-    rest = one.join(two, bucket).where("key_a < key_b and component_a <> component_b").where(_near("sketch_a", "sketch_b"))
-    return joined(rest.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")))
+        before, members = members, kept_table(left.join(several.select(*bucket), bucket, "left_semi"), "buckets")
+        drop_kept(before, leaders, found, left)
+        turn += 1
+    drop_kept(members, texts)
+    classes = linked.select("node", "component")
+    classes.kept_path = linked.kept_path
+    return classes
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -244,6 +258,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
         .withColumn("class", F.coalesce("component", "key"))
     )
     named = kept_table(named, "named")
+    drop_kept(linked)
     first = named.where("not wordless").groupBy("class").agg(
         F.min("doc_id").alias("group_id"),
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first"),

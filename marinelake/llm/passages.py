@@ -152,7 +152,7 @@ def meetings(rows: DataFrame, width: int) -> DataFrame:
             # By its own hash, a pair that several tasks find comes together.
             yield dealt(_PAIR, len(a), signature=mix(a.view(np.uint64)).view(np.int64), a=a, b=b)
 
-        for batch in slices(batches, "text", _SLICE):
+        for batch in slices(batches, "text", most=_SLICE):
             hashes, _, _, words = placed_words(texts_of(batch, "text"))
             values, offsets = shingles(hashes, words)
             place, signature = signatures(values, offsets, width)
@@ -261,7 +261,7 @@ def further_pairs(members: DataFrame, spans: DataFrame, texts: DataFrame, width:
     listed = wanted.groupBy("tid", "ord").agg(F.collect_list(F.struct("signature", "place", "open", "stored", "seeking")).alias("windows"))
 
     def runs(batches):
-        for batch in slices(batches, "text", _SLICE):
+        for batch in slices(batches, "text", most=_SLICE):
             hashes, _, _, words = placed_words(texts_of(batch, "text"))
             values, offsets = shingles(hashes, words)
             windows = batch.column("windows")
@@ -364,7 +364,7 @@ def repeated_spans(docs: DataFrame, passage_words: int = PASSAGE_WORDS, similari
     texts = kept_table(texts, "passage-texts")
 
     def verify(batches):
-        for batch in slices(batches, "text_a", _SLICE):
+        for batch in slices(batches, "text_a", "text_b", most=_SLICE):
             sides = []
             for side in ("text_a", "text_b"):
                 coded = texts_of(batch, side).dictionary_encode()
