@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marinelake.llm.common import crc32_of, slices, small_batches, text_rows, texts_of
@@ -18,9 +18,11 @@ from marinelake.llm.registry import query, table
 #: Labelled documents of a language that are learned from, about: a bound on the
 #: sample. Documents are taken by a hash of their id, evenly over the table.
 LEARNED_PER_LANGUAGE = 4000
-#: Words and character n-grams that the model keeps, the most frequent first.
+#: Words and character n-grams that the model keeps. Every language has an equal share
+#: of them for its own most frequent ones, and at least ``LEAST_SHARE``.
 MAX_WORDS = 60_000
 MAX_GRAMS = 60_000
+LEAST_SHARE = 5000
 LONGEST_GRAM = 4
 #: Words whose evidence makes the score; more words would only push it to 1.
 SCORE_WORDS = 20
@@ -65,7 +67,8 @@ def learn_languages(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id",
     """Learn from rows with text and a language. Rows without one teach nothing; no
     such row gives a model without languages, which leaves every text undetermined.
 
-    The driver gets at most ``MAX_WORDS`` words and ``MAX_GRAMS`` n-grams per language."""
+    The driver gets at most the shares of all languages in ``MAX_WORDS`` words and
+    ``MAX_GRAMS`` n-grams, so a rare language keeps its words beside frequent ones."""
     known = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
     documents = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(documents)
@@ -84,8 +87,9 @@ def learn_languages(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id",
     grams = counted.select("lang", "n", F.explode(parts).alias("item")).groupBy("lang", "item").agg(F.sum("n").alias("n"))
 
     def most(table: DataFrame, limit: int) -> dict:
-        ranked = table.groupBy("item").agg(F.sum("n").alias("total")).where("total > 1").orderBy(F.desc("total"), "item").limit(limit)
-        kept = table.join(ranked.select("item"), "item").select("item", "lang", "n").toArrow()
+        order = Window.partitionBy("lang").orderBy(F.desc("n"), "item")
+        ranked = table.where("n > 1").withColumn("place", F.row_number().over(order)).where(F.col("place") <= max(limit // len(languages), LEAST_SHARE))
+        kept = table.join(ranked.select("item").distinct(), "item").select("item", "lang", "n").toArrow()
         return dict(zip(zip(kept.column("item").to_pylist(), kept.column("lang").to_pylist()), kept.column("n").to_pylist()))
 
     model = LanguageModel(languages, most(counted, MAX_WORDS), most(grams, MAX_GRAMS), documents)
@@ -114,10 +118,11 @@ def _scored(model: LanguageModel):
         offsets = cut.offsets.to_numpy().astype(np.int64)
         coded = cut.flatten().dictionary_encode()
         by_word = scores_of(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        sums = np.concatenate([np.zeros((1, len(model.languages))), np.cumsum(by_word, axis=0)])
         n = np.diff(offsets)
-        total = sums[offsets[1:]] - sums[offsets[:-1]] + model.prior
-        evidence = (total - model.prior) * (np.minimum(n, SCORE_WORDS) / np.maximum(n, 1))[:, None]
+        # A text has at least one word, be it empty; its sum is its own, whatever the batch.
+        found = np.add.reduceat(by_word, offsets[:-1] - offsets[0], axis=0)
+        total = found + model.prior
+        evidence = found * (np.minimum(n, SCORE_WORDS) / np.maximum(n, 1))[:, None]
         odds = np.exp(evidence - evidence.max(axis=1, keepdims=True))
         best = total.argmax(axis=1)
         letters = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
