@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marinelake.llm.common import drop_kept, free_name, kept_table, slices, text_rows, texts_of
+from marinelake.llm.common import drop_kept, free_name, kept_table, slices, spread, text_rows, texts_of
 from marinelake.llm.components import components
 from marinelake.llm.registry import query, table
 from marinelake.llm.words import SHINGLE, distinct, mix, shingles, word_hashes
@@ -86,12 +86,28 @@ class Sampler:
         return out.T
 
 
-def weighted_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) -> float:
-    """Sum of the smaller over sum of the larger weights of two sorted sets."""
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    shared = np.minimum(wa[i], wb[j]).sum()
-    whole = wa.sum() + wb.sum() - shared
-    return float(shared / whole) if whole else 0.0
+def weighted_jaccards(sets, other, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sum of the smaller over sum of the larger weights, for pairs of sets ``i`` of
+    ``sets`` and ``j`` of ``other`` (each: sorted values, weights, offsets of its sets)."""
+    (va, wa, oa), (vb, wb, ob) = sets, other
+    out = np.zeros(len(i))
+    order = np.argsort(j, kind="stable")
+    for pairs in np.split(order, np.flatnonzero(np.diff(j[order])) + 1) if len(order) else []:
+        b, w = (x[ob[j[pairs[0]]] : ob[j[pairs[0]] + 1]] for x in (vb, wb))
+        lengths = oa[i[pairs] + 1] - oa[i[pairs]]
+        if not len(b) or not lengths.all():
+            some = np.flatnonzero(lengths) if len(b) else []
+            pairs, lengths = pairs[some], lengths[some]
+            if not len(pairs):
+                continue
+        # A call takes a bounded number of values.
+        for part in np.split(np.arange(len(pairs)), np.flatnonzero(np.diff(np.cumsum(lengths) >> 20)) + 1):
+            at, heads = spread(oa[i[pairs[part]]], lengths[part]), np.cumsum(lengths[part]) - lengths[part]
+            x, own = va[at], wa[at]
+            place = np.minimum(np.searchsorted(b, x), len(b) - 1)
+            shared = np.add.reduceat(np.where(b[place] == x, np.minimum(own, w[place]), 0.0), heads)
+            out[pairs[part]] = shared / (np.add.reduceat(own, heads) + w.sum() - shared)
+    return out
 
 
 def _sets(texts: pa.StringArray, size: int):
@@ -122,8 +138,8 @@ def document_frequencies(docs: DataFrame, size: int = SHINGLE) -> tuple[np.ndarr
 
 
 def _signatures(texts: DataFrame, shared, size: int) -> DataFrame:
-    """``key, bands, sketch`` of each text that has a word; the sketch is the lowest
-    bits of all samples, one word per bit."""
+    """``key, bands, marks, sketch`` of each text that has a word; marks are 32 bits of
+    the bands, the sketch is the lowest bits of all samples, one word per bit."""
 
     def sign(batches):
         sampler = shared.value
@@ -142,9 +158,10 @@ def _signatures(texts: DataFrame, shared, size: int) -> DataFrame:
                 pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel().view(np.int64)))
                 for x in (bands, np.stack(planes, axis=1))
             ]
-            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(some)), *lists], ["key", "bands", "sketch"])
+            marks = pa.ListArray.from_arrays(lists[0].offsets, pa.array(bands.ravel().astype(np.uint32).view(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(some)), lists[0], marks, lists[1]], ["key", "bands", "marks", "sketch"])
 
-    return texts.select("key", "text").mapInArrow(sign, "key string, bands array<bigint>, sketch array<bigint>")
+    return texts.select("key", "text").mapInArrow(sign, "key string, bands array<bigint>, marks array<int>, sketch array<bigint>")
 
 
 def _near(a: str, b: str) -> Column:
@@ -153,6 +170,12 @@ def _near(a: str, b: str) -> Column:
     return F.bit_count(reduce(lambda x, y: x.bitwiseOR(y), differs)) <= SKETCH_DIFFERS
 
 
+def _first_band(a: str, b: str) -> Column:
+    """Whether no band before the one of the row is shared: of all buckets that two texts
+    have in common the first one compares them."""
+    return ~reduce(lambda x, y: x | y, [(F.col("band") > i) & (F.col(a)[i] == F.col(b)[i]) for i in range(BANDS - 1)])
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, shared, size: int, similarity: float) -> DataFrame:
     """The pairs (``a, b``) that are similar enough, and ``similarity``."""
 
@@ -164,9 +187,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, shared, size: int, similarity:
                 # A leader's text stands in many rows of a batch; its set is made once.
                 coded = texts_of(batch, side).dictionary_encode()
                 values, counts, offsets = _sets(coded.dictionary, size)
-                sides.append((values, sampler.weights(values, counts), offsets, coded.indices.to_pylist()))
-            (va, wa, oa, ia), (vb, wb, ob, ib) = sides
-            found = np.array([weighted_jaccard(va[oa[i] : oa[i + 1]], wa[oa[i] : oa[i + 1]], vb[ob[j] : ob[j + 1]], wb[ob[j] : ob[j + 1]]) for i, j in zip(ia, ib)])
+                sides.append(((values, sampler.weights(values, counts), offsets), coded.indices.to_numpy()))
+            (one, i), (two, j) = sides
+            found = weighted_jaccards(one, two, i, j)
             kept = pa.array(found >= similarity)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept), pa.array(found).filter(kept)], ["a", "b", "similarity"])
 
@@ -178,14 +201,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, shared, size: int, similarity:
 
 
 def _crowded(signed: DataFrame) -> DataFrame:
-    """``band, hash, key, sketch`` of the buckets of several texts, and ``central``: how
+    """``band, hash, key, marks, sketch`` of the buckets of several texts, and ``central``: how
     many texts the buckets of a key hold, the more, the nearer it is to the middle of
     a group of near copies."""
     bucket = ["band", "hash"]
     bands = signed.select("key", F.posexplode("bands").alias("band", "hash"))
     sizes = bands.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     own = bands.join(sizes, bucket).groupBy("key").agg(F.sum("n").alias("central"), F.collect_list(F.struct(*bucket)).alias("own"))
-    return own.join(signed.select("key", "sketch"), "key").select(F.explode("own").alias("at"), "key", "sketch", "central").select("at.*", "key", "sketch", "central")
+    of_key = ["key", "marks", "sketch", "central"]
+    return own.join(signed.drop("bands"), "key").select(F.explode("own").alias("at"), *of_key).select("at.*", *of_key)
 
 
 def similar_texts(texts: DataFrame, frequencies: np.ndarray, documents: int, similarity: float = SIMILARITY, size: int = SHINGLE) -> DataFrame:
@@ -198,9 +222,10 @@ def similar_texts(texts: DataFrame, frequencies: np.ndarray, documents: int, sim
     Leaders are those of the smallest components, and among them the most central: the
     middle of a group settles most of it at once, and of a large component and a few
     others the few are the ones to lead. A bucket of one component is done. Each turn
-    has twice as many leaders, so that turns are few; the last ones of a bucket whose
-    members are all unlike have met every member. Only pairs whose sketches allow the
-    similarity are compared. Tables of a turn are deleted when the next has been written."""
+    has four times as many leaders, so that turns are few; a bucket whose members are
+    all unlike ends when all have led. Two texts meet in one of their buckets only, and
+    are compared if their sketches allow the similarity. Tables of a turn are deleted
+    when the next has been written."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(Sampler(frequencies, documents))
     bucket = ["band", "hash"]
@@ -215,11 +240,12 @@ def similar_texts(texts: DataFrame, frequencies: np.ndarray, documents: int, sim
     turn = 0
     while not members.isEmpty():
         order = Window.partitionBy(*bucket).orderBy(*rank)
-        leaders = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 1 << turn)
-        leaders = leaders.select(*bucket, F.struct(*rank).alias("rank"), F.struct("key", "component", "sketch").alias("leader"))
+        leaders = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 4**turn)
+        leaders = leaders.select(*bucket, F.struct(*rank).alias("rank"), F.struct("key", "component", "marks", "sketch").alias("leader"))
         leaders = kept_table(leaders, "leaders")
         met = members.join(leaders, bucket).where(F.struct(*rank) > F.col("rank")).where("component <> leader.component")
-        pairs = kept_table(met.where(_near("sketch", "leader.sketch")).select(F.col("key").alias("a"), F.col("leader.key").alias("b")).distinct(), "pairs")
+        met = met.where(_first_band("marks", "leader.marks")).where(_near("sketch", "leader.sketch"))
+        pairs = kept_table(met.select(F.col("key").alias("a"), F.col("leader.key").alias("b")), "pairs")
         found = kept_table(_verified(pairs, texts, shared, size, similarity).select("a", "b"), "found")
         drop_kept(pairs)
         if not found.isEmpty():
