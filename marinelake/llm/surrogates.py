@@ -18,8 +18,10 @@ from marinelake.llm.common import free_name, kept_table
 from marinelake.llm.registry import query, table
 
 KEY = "corpus-surrogates-1"
-#: Draws after which the values of a type no longer fit their space.
-MOST_DRAWS = 64
+#: Draws after which an address or a name gets longer, as its space is crowded.
+CROWDED_DRAWS = 4
+#: Draws after which an entity gets a tag in place of a surrogate of its format.
+MOST_DRAWS = 24
 
 # Forms of address by gender, given names by script and gender, and
 # the letters that family names are made of.
@@ -37,7 +39,10 @@ SYLLABLES = {"latin": ("bdfgklmnprstvz", "aeiou"), "cyrillic": ("бдгклмн
 # Letters and digits for the search: ASCII ones and all beyond ASCII, a class that is
 # tested by comparisons and not by a look-up of properties.
 _W = r"A-Za-z0-9\x{80}-\x{10FFFF}"
-_NAME = r"\p{Lu}\p{L}+(?: \p{Lu}\p{L}+)?"
+# Words that stand in small letters between the parts of a name.
+PARTICLES = "van|von|der|den|de|del|della|di|da|dos|du|la|le|bin|ibn|al|ter|ten|zu|zur"
+_NAME_WORD = r"\p{Lu}(?:\p{L}|['’-](?=\p{L}))+"
+_NAME = rf"{_NAME_WORD}(?:(?: (?:{PARTICLES})){{0,3}} {_NAME_WORD}){{0,4}}+|(?:{PARTICLES})(?: (?:{PARTICLES})){{0,2}} {_NAME_WORD}"
 #: Type and pattern; the first that matches a place decides.
 PATTERNS = {
     "email": rf"(?<![{_W}._%+-])[{_W}._%+-]{{1,64}}+@[{_W}-]++(?:\.[{_W}-]++)*\.\p{{L}}{{2,}}",
@@ -46,8 +51,8 @@ PATTERNS = {
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![0-9]|\.\d)",
     "phone": r"(?<![0-9+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![0-9+])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\d)",
     "ssn": r"(?<![0-9-])\d{3}-\d{2}-\d{4}(?![0-9-])",
-    "card": r"(?<![0-9-])(?:\d{4}[ -]){3}\d{1,7}(?![0-9-])|(?<![0-9])\d{13,19}(?![0-9])",
-    "person": rf"(?<![{_W}])(?:{FEMALE}|{MALE}|{ANY})\.? {_NAME}",
+    "card": r"(?<![0-9-])(?:\d{4}[ -]){3}\d{1,7}(?![0-9-])|(?<![0-9-])\d{4}[ -]\d{6}[ -]\d{5}(?![0-9-])|(?<![0-9])\d{13,19}(?![0-9])",
+    "person": rf"(?<![{_W}])(?:{FEMALE}|{MALE}|{ANY})\.? (?:{_NAME})",
 }
 #: First characters of each type: one test of a character spares most places the rest.
 _FIRST = {"secret": "[TtSsAaPp]", "iban": "[A-Z]", "person": "[MFSDPHг]"}
@@ -121,7 +126,7 @@ def _person(value: Column) -> tuple[Column, Column, Column, Column]:
     title = F.regexp_extract(value, rf"^(?:{FEMALE}|{MALE}|{ANY})\.? ", 0)
     name = F.substring(value, F.length(title) + 1, F.length(value))
     gender = F.when(title.rlike(rf"^(?:{FEMALE})\b"), "f").when(title.rlike(rf"^(?:{MALE})\b"), "m").otherwise("")
-    script = F.when(name.rlike(r"^[\p{IsCyrillic} ]+$"), "cyrillic").otherwise("latin")
+    script = F.when(name.rlike(r"^[\p{IsCyrillic} '’-]+$"), "cyrillic").otherwise("latin")
     return title, name, gender, script
 
 
@@ -137,12 +142,14 @@ def normal_form(kind: Column, value: Column) -> Column:
     )
 
 
-def _address(normal: Column, digest: Column, key: str) -> Column:
-    """Local part by its own digest; a host by the host's, so hosts stay together."""
+def _address(normal: Column, digest: Column, crowded: Column, key: str) -> Column:
+    """Local part by its own digest, longer where short ones are used up; a host by the
+    host's, so hosts stay together."""
     host = F.substring_index(normal, "@", -1)
     by_host = F.sha2(F.concat(F.lit(f"{key}|host|"), host), 512)
     labels = F.regexp_replace(host, r"\.\p{L}+$", "")
-    return F.concat(_kept_format(F.substring_index(normal, "@", 1), digest), F.lit("@"), _kept_format(labels, by_host), F.lit(".example"))
+    more = F.when(crowded, F.substring(digest, 1, 16)).otherwise("")
+    return F.concat(_kept_format(F.substring_index(normal, "@", 1), digest), more, F.lit("@"), _kept_format(labels, by_host), F.lit(".example"))
 
 
 def _checked(number: Column, made: Column) -> Column:
@@ -152,7 +159,9 @@ def _checked(number: Column, made: Column) -> Column:
     return F.when(F.call_function("luhn_check", number), F.concat(stem, fitting[0].cast("string"))).otherwise(made)
 
 
-def _name(normal: Column, digest: Column) -> Column:
+def _name(normal: Column, digest: Column, crowded: Column) -> Column:
+    """Given and family name, or only that; a family name of twice the length where
+    short ones are used up."""
     script, gender, words = (F.split_part(normal, F.lit("/"), F.lit(i)) for i in (1, 2, 3))
     either = F.when(gender == "", F.when(_number(digest, 0) % 2 == 0, "f").otherwise("m")).otherwise(gender)
     given, family = None, None
@@ -161,8 +170,8 @@ def _name(normal: Column, digest: Column) -> Column:
         one = _pick(names, _number(digest, 1))
         given = F.when(hit, one) if given is None else given.when(hit, one)
     for s, (consonants, vowels) in SYLLABLES.items():
-        parts = [x for i in range(4) for x in (_pick(list(consonants), _number(digest, 2 + 2 * i)), _pick(list(vowels), _number(digest, 3 + 2 * i)))]
-        one = F.initcap(F.concat(*parts))
+        parts = [x for i in range(8) for x in (_pick(list(consonants), _number(digest, 2 + 2 * i)), _pick(list(vowels), _number(digest, 3 + 2 * i)))]
+        one = F.initcap(F.concat(*parts[:8], F.when(crowded, F.concat(*parts[8:])).otherwise("")))
         family = F.when(script == s, one) if family is None else family.when(script == s, one)
     return F.when(F.contains(words, F.lit(" ")), F.concat(given, F.lit(" "), family)).otherwise(family)
 
@@ -172,13 +181,14 @@ def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
     but for the case of letters and, of a person, script and gender."""
     kind, normal, digest, formatted = map(F.col, ("kind", "normal", "digest", "formatted"))
     octets = F.concat_ws(".", (_number(digest, 0) % 223 + 1).cast("string"), *(_number(digest, i).cast("string") for i in (1, 2, 3)))
+    crowded = F.col("draw") >= CROWDED_DRAWS
     made = (
-        F.when(kind == "email", _address(normal, digest, key))
+        F.when(kind == "email", _address(normal, digest, crowded, key))
         .when(kind == "ip", octets)
         .when(kind == "card", _checked(normal, formatted))
         .when((kind == "secret") & normal.rlike("^[0-9a-f]+$"), _hex_format(normal, digest))
         .when(kind == "iban", F.concat(F.substring(normal, 1, 2), F.substring(formatted, F.lit(3), F.length(formatted))))
-        .when(kind == "person", _name(normal, digest))
+        .when(kind == "person", _name(normal, digest, crowded))
         .otherwise(formatted)
     )
     drawn = entities.withColumn("digest", F.sha2(F.concat_ws("|", F.lit(key), "kind", "normal", F.col("draw").cast("string")), 512))
@@ -186,11 +196,23 @@ def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
     return drawn.withColumn("made", made).drop("digest", "formatted")
 
 
+#: What tags begin with; no pattern matches a tag.
+_TAG = "[surrogate-"
+
+
+def _tag(key: str) -> Column:
+    """A name for an entity of a type that has more entities than its format has values:
+    letters only, by a digest of 128 bits."""
+    digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit("tag"), "kind", "normal"), 256)
+    return F.concat(F.lit(_TAG), F.translate(F.substring(digest, 1, 32), "0123456789", "ghijklmnop"), F.lit("]"))
+
+
 def _in_place(kind: Column, value: Column, made: Column) -> Column:
     """The surrogate in the format of one mention: its separators and its case."""
     old = F.when(kind == "secret", _secret(value)).otherwise(value)
     title, name, _, _ = _person(value)
-    cased = F.when((F.upper(old) == old) & (F.lower(old) != old), F.upper(made)).otherwise(made)
+    tag = made.startswith(_TAG)
+    cased = F.when(tag, made).when((F.upper(old) == old) & (F.lower(old) != old), F.upper(made)).otherwise(made)
     used = F.when(kind == "iban", r"[A-Z0-9]").otherwise(r"\d")
 
     def one(i: Column) -> Column:
@@ -200,8 +222,8 @@ def _in_place(kind: Column, value: Column, made: Column) -> Column:
 
     spread = F.array_join(F.transform(F.sequence(F.lit(1), F.length(value)), one), "")
     secret = F.concat(F.regexp_extract(value, "^(.*[\"'])[^\"'\\s]+[\"']$", 1), cased, F.substring(value, F.length(value), F.lit(1)))
-    named = F.concat(title, F.when(F.upper(name) == name, F.upper(made)).otherwise(made))
-    return F.when(kind.isin("phone", "card", "ssn", "iban"), spread).when(kind == "secret", secret).when(kind == "person", named).otherwise(cased)
+    named = F.concat(title, F.when((F.upper(name) == name) & ~tag, F.upper(made)).otherwise(made))
+    return F.when(kind.isin("phone", "card", "ssn", "iban") & ~tag, spread).when(kind == "secret", secret).when(kind == "person", named).otherwise(cased)
 
 
 def distinct_surrogates(entities: DataFrame, key: str = KEY, drawn_by: Callable = with_surrogates) -> DataFrame:
@@ -209,7 +231,8 @@ def distinct_surrogates(entities: DataFrame, key: str = KEY, drawn_by: Callable
 
     A surrogate is refused if it is an original of its type, or if another entity of
     the type has it, unless that is the one of the larger normal form. Refused ones
-    draw again until none is left."""
+    draw again; one that is still refused after ``MOST_DRAWS``, as its type has more
+    entities than its format has values, gets a tag."""
     state = kept_table(entities.select("kind", "normal").distinct().withColumn("draw", F.lit(0)), "entities")
     originals = state.select("kind", F.col("normal").alias("taken"))
     plain = F.lower("made")
@@ -223,7 +246,16 @@ def distinct_surrogates(entities: DataFrame, key: str = KEY, drawn_by: Callable
         if refused.isEmpty():
             return drawn
         state = drawn.join(refused, ["kind", "normal"], "left").select("kind", "normal", (F.col("draw") + F.coalesce("more", F.lit(0))).alias("draw"))
-    raise ValueError(f"no distinct surrogates after {MOST_DRAWS} draws")
+    return drawn.join(refused, ["kind", "normal"], "left").select("kind", "normal", "draw", F.when(F.col("more").isNull(), F.col("made")).otherwise(_tag(key)).alias("made"))
+
+
+def one_person(kinds: DataFrame) -> DataFrame:
+    """``kinds`` with the person of a title without gender (Dr, Prof) as the one of the
+    same name whose gender another title tells; a woman, if both genders occur."""
+    person = F.col("kind") == "person"
+    script, gender, name = (F.split_part("normal", F.lit("/"), F.lit(i)) for i in (1, 2, 3))
+    told = kinds.where(person & (gender != "")).groupBy(F.concat_ws("//", script, name).alias("normal")).agg(F.min("normal").alias("told"))
+    return kinds.join(told, "normal", "left").withColumn("normal", F.coalesce("told", "normal")).select("value", "kind", "normal")
 
 
 def replace_personal_data(docs: DataFrame, key: str = KEY, text: str = "text", counted: str | None = None, drawn_by: Callable = with_surrogates) -> DataFrame:
@@ -241,7 +273,7 @@ def replace_personal_data(docs: DataFrame, key: str = KEY, text: str = "text", c
     rows = docs.where(hit).withColumn(found, F.regexp_extract_all(column, F.lit(ANY_PATTERN), F.lit(0))).withColumn(digest, F.md5(column))
     texts = kept_table(rows.select(digest, F.explode(F.array_distinct(found)).alias("value")).distinct(), "mentions")
     kinds = texts.select("value").distinct().withColumn("kind", entity_type(F.col("value")))
-    kinds = kept_table(kinds.withColumn("normal", normal_form(F.col("kind"), F.col("value"))), "kinds")
+    kinds = kept_table(one_person(kinds.withColumn("normal", normal_form(F.col("kind"), F.col("value")))), "kinds")
     entities = distinct_surrogates(kinds, key, drawn_by)
     replaced = kinds.join(entities, ["kind", "normal"]).select("value", _in_place(F.col("kind"), F.col("value"), F.col("made")).alias("new"))
     replaced = kept_table(replaced, "replaced")

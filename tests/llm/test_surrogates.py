@@ -81,3 +81,28 @@ def test_odd_rows(spark, odd, empty):
     got = replace_personal_data(df, counted="n").collect()
     assert Counter((r["doc_id"], r["_found"], r["n"]) for r in got) == Counter([(1, "x", 1), (1, "x", 1), (None, None, 500)])
     assert len({word for r in got for word in r["text"].split()}) == 1
+
+
+def test_crowded_types_end(spark):
+    """More short addresses than short surrogates, and a type whose draws never end."""
+    mails = [f"{c}@{h}.io" for c in "abcdefghijklmnopqrstuvwxyz" for h in "abcdefgh"]
+    df = spark.createDataFrame([(i, f"to {m} now") for i, m in enumerate(mails)], "doc_id int, text string")
+    made = [re.fullmatch(r"to (\S+@\S+) now", r["text"])[1] for r in replace_personal_data(df).collect()]
+    assert len(set(made)) == len(mails) and not set(made) & set(mails)
+
+    def stuck(entities, key):
+        return entities.withColumn("made", F.lit("x@y.example"))
+
+    few = spark.createDataFrame([(i, f"to {m} now") for i, m in enumerate(mails[:3])], "doc_id int, text string")
+    made = [re.fullmatch(r"to (\S+) now", r["text"])[1] for r in replace_personal_data(few, drawn_by=stuck).collect()]
+    assert len(set(made)) == 3 and not set(made) & set(mails) and sum(m.startswith("[surrogate-") for m in made) == 2
+
+
+def test_names_of_many_forms(spark):
+    names = ["Mrs. Mary Jane Watson", "Mr Jan van der Berg", "Mrs Anne-Marie Keller", "Ms O'Neill", "Herr von Stein", "Dr Mary Jane Watson", "3782 822463 10005"]
+    df = spark.createDataFrame([(i, f"then {n}, who left") for i, n in enumerate(names)], "doc_id int, text string")
+    got = {r["doc_id"]: r["text"] for r in replace_personal_data(df).collect()}
+    for i, n in enumerate(names):
+        inside = re.fullmatch(r"then (.+), who left", got[i])[1]
+        assert not set(re.findall(r"\w{3,}", n.partition(" ")[2])) & set(re.findall(r"\w{3,}", inside)), inside
+    assert got[0].replace("Mrs. ", "") == got[5].replace("Dr ", "")
