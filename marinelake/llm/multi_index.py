@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from marinelake.llm.common import kept_table
 from marinelake.llm.components import components
 from marinelake.llm.registry import query, table
-from marinelake.llm.vectors import drawn, matrix, number_type, unpacked, usable, usual_length
+from marinelake.llm.vectors import by_length, common_lengths, drawn, matrix, number_type, unpacked, usable
 
 COSINE = 0.9
 #: Vectors that the codebooks are fitted on, at most; every vector is indexed.
@@ -46,6 +46,18 @@ def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return (x * x).sum(axis=1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(axis=1)
 
 
+class OneCell:
+    """The index of a length of vector that has no codebooks: all lie in one cell."""
+
+    visits = 1
+
+    def cells(self, unit: np.ndarray) -> np.ndarray:
+        return np.zeros(len(unit), np.int64)
+
+    def nearest(self, unit: np.ndarray, n: int) -> np.ndarray:
+        return np.zeros((len(unit), 1), np.int64)
+
+
 class MultiIndex:
     """Codebooks of both halves and the number of cells to visit."""
 
@@ -108,27 +120,29 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, vec_id: s
     vectors are linked and are searched for once, their links count for each row.
     ``component_id`` is the smallest id that links reach (null only if no row of the
     component has one), ``kept`` marks the rows that have it. A vector that is null,
-    zero, holds a null or a non-finite component, or has another length than the
-    commonest one, links with nothing. Repeated rows are rows. No rows, no result."""
+    zero, or holds a null or a non-finite component links with nothing, and vectors of
+    different lengths do not link. Repeated rows are rows. No rows, no result.
+
+    Every length of vector has an index of its own; beyond the ``FITTED_LENGTHS``
+    commonest ones it is a single cell, compared in blocks."""
     kind = number_type(vectors, embedding)
     rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(embedding).alias("v"))
-    fit = rows.where(usable(F.col("v")))
-    length = usual_length(fit, "v")
-    good = usable(F.col("v")) & (F.size("v") == length)
+    good = usable(F.col("v"))
     key = F.concat(F.hex(F.xxhash64("v")), F.lit("-"), F.hex(F.xxhash64(F.reverse("v"), F.lit(5))))
     keyed = rows.withColumn("key", F.when(good, key))
     distinct = kept_table(keyed.where("key is not null").groupBy("key").agg(F.first("v").alias("v"), F.count(F.lit(1)).alias("copies")), "vectors")
-    total = distinct.count()
+    lengths = common_lengths(distinct, "v")
     alone = keyed.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if not total:
+    if not lengths:
         return alone
     spark = vectors.sparkSession
-    # Codebooks and one number: bounded by MAX_CODEWORDS.
-    shared = spark.sparkContext.broadcast(MultiIndex(drawn(distinct, "v", total, FITTED), total, cosine))
+    # One component has no halves. Codebooks and one number each: bounded by FITTED_LENGTHS and MAX_CODEWORDS.
+    indexes = {d: MultiIndex(drawn(distinct.where(F.size("v") == d), "v", n, FITTED), n, cosine) for d, n in lengths.items() if d > 1}
+    shared = spark.sparkContext.broadcast(indexes)
 
     def visit(batches):
-        index = shared.value
-        for batch in batches:
+        for length, batch in (part for whole in batches for part in by_length(whole, "v")):
+            index, base = shared.value.get(length, OneCell()), length * MAX_CODEWORDS**2
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 x = matrix(part.column("v"))
@@ -136,10 +150,10 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, vec_id: s
                 packed = [r.tobytes() for r in x.astype(kind)]
                 keys, copies = part.column("key"), part.column("copies")
                 # Each group of cells once per vector; the own one first, as an indexed row.
-                groups = [np.unique(c) for c in index.nearest(unit, index.visits) // WIDTH]
+                groups = [np.unique(c) + base for c in index.nearest(unit, index.visits) // WIDTH]
                 n = np.fromiter(map(len, groups), np.int64, len(groups))
                 at = pa.array(np.repeat(np.arange(len(n)), n))
-                visited, home = np.concatenate(groups), index.cells(unit) // WIDTH
+                visited, home = np.concatenate(groups), index.cells(unit) // WIDTH + base
                 # A seeking row tells where it is stored, a stored one where it seeks itself.
                 homes = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32)), pa.array(home.astype(np.int64)))
                 visits = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(visited.astype(np.int64)))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from marinelake.llm.common import kept_table
 from marinelake.llm.registry import query, table
-from marinelake.llm.vectors import drawn, matrix, number_type, unpacked, usable, usual_length
+from marinelake.llm.vectors import by_length, common_lengths, drawn, matrix, number_type, unpacked, usable
 
 NEIGHBOURS = 10
 DIMENSIONS = 8
@@ -32,6 +32,7 @@ MAX_REGIONS = 4096
 BLOCK_ROWS = 16_384
 QUERIES_PER_BLOCK = 1024
 LEAF = 32
+_LAST = np.iinfo(np.int64).max
 
 
 def chi_square_quantile(p: float, degrees: int) -> float:
@@ -53,11 +54,16 @@ def _halves(points: np.ndarray, rows: np.ndarray) -> tuple[int, float, np.ndarra
     return axis, cut, rows[low], rows[~low]
 
 
+def projection(length: int, dimensions: int) -> np.ndarray:
+    """The Gaussian matrix of a length of vector, the same in every task."""
+    return np.random.default_rng(13).normal(size=(length, dimensions))
+
+
 class Regions:
     """The projection and boxes that cover the projected space."""
 
     def __init__(self, sample: np.ndarray, total: int, dimensions: int):
-        self.projection = np.random.default_rng(13).normal(size=(sample.shape[1], dimensions))
+        self.projection = projection(sample.shape[1], dimensions)
         points = sample @ self.projection
         wanted = min(MAX_REGIONS, max(1, -(-total // REGION_ROWS)))
         self.cuts: list[tuple[int, int, float, int]] = []  # region, axis, cut, new region
@@ -124,18 +130,18 @@ class KdTree:
             done, step = done + step, min(2 * step, 64)
 
 
-def _searched(kind: str, k: int, regions, confidence: float, dimensions: int):
+def _searched(kind: str, k: int, confidence: float, dimensions: int):
     """A function from a block of stored and seeking rows to the nearest found there."""
 
     def search(block):
         seeks = block.column("seeks").to_numpy()
         v = unpacked(block.column("v").to_pylist(), kind)
-        ids, bounds = block.column("vec_id").to_numpy(), block.column("bound").to_numpy()
+        ids, bounds = block.column("vec_id").fill_null(_LAST).to_numpy(), block.column("bound").to_numpy()
         stored, own = v[~seeks], ids[~seeks]
         order = np.argsort(own, kind="stable")
         stored, own = stored[order], own[order]
-        projection = regions.value.projection
-        tree = KdTree(stored @ projection) if len(stored) else None
+        own_projection = projection(v.shape[1], dimensions)
+        tree = KdTree(stored @ own_projection) if len(stored) else None
         limit, rows = chi_square_quantile(confidence, dimensions), []
         for x, i, bound, key in zip(v[seeks], ids[seeks], bounds[seeks], [b for b, s in zip(block.column("qkey").to_pylist(), seeks) if s]):
             if tree is None:
@@ -150,8 +156,8 @@ def _searched(kind: str, k: int, regions, confidence: float, dimensions: int):
                 best[0], best[1] = d[first], at[first]
                 return float(best[0][-1]) if len(first) == k else np.inf
 
-            tree.search(x @ projection, verify, bound, limit)
-            rows += [(int(i), key, int(own[j]), float(d)) for d, j in zip(*best)]
+            tree.search(x @ own_projection, verify, bound, limit)
+            rows += [(int(i), key, None if own[j] == _LAST else int(own[j]), float(d)) for d, j in zip(*best)]
         columns = list(zip(*rows)) or [[], [], [], []]
         kinds = {"query_id": pa.int64(), "qkey": pa.string(), "vec_id": pa.int64(), "squared": pa.float64()}
         return pa.table([pa.array(c, t) for c, t in zip(columns, kinds.values())], list(kinds))
@@ -163,46 +169,52 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOU
     """``query_id, rank, vec_id, score``: the k nearest rows of ``vectors`` found for each
     row of ``queries`` (same columns), by Euclidean distance in double precision.
 
-    Rows of the query's own id are no candidates. Ties go to the smaller id, ranks
-    count from 1; with fewer than k candidates all come. Rows that agree in id and
-    vector count once. Vectors that are null, zero, hold a null or a non-finite
-    component or have another length than the commonest one, and rows without an id,
-    take no part. No vectors or no queries give no rows."""
+    Rows of the query's own id are no candidates, all others are: repeated rows each,
+    and rows without an id, whose ``vec_id`` is null. Ties go to the smaller id, null
+    last; ranks count from 1; with fewer than k candidates all come. Repeated queries
+    are answered once, queries without an id not. Vectors that are null, zero or hold a
+    null or a non-finite component take no part, and a query's candidates have its
+    length. No vectors or no queries give no rows.
+
+    Every length of vector has regions of its own; beyond the ``FITTED_LENGTHS``
+    commonest ones it is one region, searched in blocks."""
     spark, kind = vectors.sparkSession, number_type(vectors, embedding)
     dimensions = DIMENSIONS
 
     def clean(df: DataFrame) -> DataFrame:
         df = df.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(embedding).alias("v"))
-        return df.where(usable(F.col("v")) & F.col("vec_id").isNotNull()).dropDuplicates(["vec_id", "v"])
+        return df.where(usable(F.col("v"))).groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("copies"))
 
     rows = kept_table(clean(vectors), "candidates")
-    length, total = usual_length(rows, "v"), rows.count()
-    empty = "query_id bigint, rank int, vec_id bigint, score double"
-    if not total:
-        return spark.createDataFrame([], empty)
-    rows, asked = rows.where(F.size("v") == length), kept_table(clean(queries).where(F.size("v") == length), "queries")
-    # Projection and boxes: bounded by MAX_REGIONS.
-    regions = spark.sparkContext.broadcast(Regions(drawn(rows, "v", total, FITTED), total, dimensions))
+    lengths = common_lengths(rows, "v")
+    if not lengths:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    asked = kept_table(clean(queries).where("vec_id is not null").drop("copies"), "queries")
+    # Projections and boxes: bounded by FITTED_LENGTHS and MAX_REGIONS.
+    fitted = {d: Regions(drawn(rows.where(F.size("v") == d), "v", n, FITTED), n, dimensions) for d, n in lengths.items()}
+    shared = spark.sparkContext.broadcast(fitted)
+
+    def regions_of(length: int) -> Regions:
+        return shared.value.get(length) or Regions(np.zeros((0, length)), 0, dimensions)
+
     limit = chi_square_quantile(confidence, dimensions)
 
     def store(batches):
-        for batch in batches:
-            if batch.num_rows:
-                x = matrix(batch.column("v"))
-                packed = pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())
-                where = regions.value.region(x @ regions.value.projection)
-                yield pa.RecordBatch.from_arrays([pa.array(where), batch.column("vec_id"), packed], ["region", "vec_id", "v"])
-
-    stored = kept_table(rows.select("vec_id", "v").mapInArrow(store, "region bigint, vec_id bigint, v binary"), "regions")
+        for length, batch in (part for whole in batches for part in by_length(whole, "v")):
+            regions, x = regions_of(length), matrix(batch.column("v"))
+            packed = pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())
+            where = regions.region(x @ regions.projection) + length * MAX_REGIONS
+            yield pa.RecordBatch.from_arrays([pa.array(where), batch.column("vec_id"), packed], ["region", "vec_id", "v"])
+
+    # Of a row that is there more often, no query takes more than k.
+    repeated = rows.select("vec_id", "v", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)))).alias("copy"))
+    stored = kept_table(repeated.select("vec_id", "v").mapInArrow(store, "region bigint, vec_id bigint, v binary"), "regions")
     sizes = stored.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
 
     def visits(bounded: bool):
         def seek(batches):
-            own = regions.value
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                x = matrix(batch.column("v"))
+            for length, batch in (part for whole in batches for part in by_length(whole, "v")):
+                own, x = regions_of(length), matrix(batch.column("v"))
                 projected = x @ own.projection
                 bounds = np.full(len(x), np.inf)
                 if bounded:
@@ -215,7 +227,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOU
                 packed = pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())
                 index = pa.array(at)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(where.astype(np.int64)), batch.column("vec_id").take(index), packed.take(index), batch.column("qkey").take(index), pa.array(bounds[at])],
+                    [pa.array(where.astype(np.int64) + length * MAX_REGIONS), batch.column("vec_id").take(index), packed.take(index), batch.column("qkey").take(index), pa.array(bounds[at])],
                     ["region", "vec_id", "v", "qkey", "bound"],
                 )
 
@@ -227,20 +239,20 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOU
         counts = seeking.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / QUERIES_PER_BLOCK).cast("int").alias("parts"))
         shape = sizes.join(counts, "region")
         left = stored.join(shape, "region").select(
-            "region", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+            "region", F.pmod(F.xxhash64("vec_id", "v", F.lit(3)), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
             F.lit(False).alias("seeks"), "vec_id", "v", F.lit(None).cast("string").alias("qkey"), F.lit(0.0).alias("bound"),
         )
         right = seeking.join(shape, "region").select(
-            "region", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("vec_id", F.lit(3)), F.col("parts")).cast("int").alias("part"),
+            "region", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("vec_id", "v", F.lit(3)), F.col("parts")).cast("int").alias("part"),
             F.lit(True).alias("seeks"), "vec_id", "v", "qkey", "bound",
         )
         return left.union(right).groupBy("region", "block", "part").applyInArrow(
-            _searched(kind, k, regions, confidence, dimensions), "query_id bigint, qkey string, vec_id bigint, squared double"
+            _searched(kind, k, confidence, dimensions), "query_id bigint, qkey string, vec_id bigint, squared double"
         )
 
     asked = asked.withColumn("qkey", F.hex(F.xxhash64("v")))
     first = kept_table(searched(asked.select("vec_id", "v", "qkey").mapInArrow(visits(False), schema)), "first-neighbours")
-    ranked = Window.partitionBy("query_id", "qkey").orderBy("squared", "vec_id")
+    ranked = Window.partitionBy("query_id", "qkey").orderBy("squared", F.asc_nulls_last("vec_id"))
     reached = first.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), "qkey", F.col("squared").alias("bound"))
     bounded = asked.join(reached, ["vec_id", "qkey"], "left").select("vec_id", "v", "qkey", F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
     rest = searched(bounded.mapInArrow(visits(True), schema))

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
@@ -20,10 +24,21 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def usual_length(df: DataFrame, vector: str) -> int:
-    """The commonest number of components, the larger of two equally common."""
-    found = df.groupBy(F.size(vector).alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
-    return found["d"] if found else 0
+#: Lengths of vectors whose index is fitted, at most, the commonest ones.
+FITTED_LENGTHS = 8
+
+
+def common_lengths(df: DataFrame, vector: str) -> dict[int, int]:
+    """The commonest numbers of components (``FITTED_LENGTHS`` at most) and the rows that have them."""
+    counts = df.groupBy(F.size(vector).alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    return {r["d"]: r["n"] for r in counts.orderBy(F.desc("n"), F.desc("d")).limit(FITTED_LENGTHS).collect()}
+
+
+def by_length(batch: pa.RecordBatch, vector: str) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of a batch in parts of one length of vector each, with that length."""
+    lengths = pc.list_value_length(batch.column(vector))
+    for d in pc.unique(lengths).to_pylist():
+        yield d, batch.filter(pc.equal(lengths, d))
 
 
 def matrix(column, kind: str = "<f8") -> np.ndarray:

@@ -105,6 +105,10 @@ ODD = [
     (100, [1.0, 0.0], 1, "a", 1),
     (8, [float("inf"), 1.0], 1, "a", 1),
     (9, [-1.0, 0.0], 1, "a", 1),
+    (200, [0.0, 0.0, 1.0], 1, "a", 1),
+    (201, [0.0, 0.1, 2.0], 1, "a", 1),
+    (300, [-3.0], 1, "a", 1),
+    (301, [-2.0], 1, "a", 1),
 ]
 
 
@@ -112,14 +116,34 @@ def test_odd_vectors(spark):
     df = spark.createDataFrame(ODD, SCHEMA)
     got = sorted((r["vec_id"] is None, r["vec_id"] or 0, r["n_links"], r["component_id"], r["kept"]) for r in near_duplicate_vectors(df).collect())
     alone = [(False, i, 0, i, True) for i in (2, 3, 4, 5, 6, 7, 8, 9)]
-    assert got == sorted([(False, 0, 4, 0, True), *[(False, 1, 4, 0, False)] * 2, (False, 100, 4, 0, False), (True, 0, 4, 0, False), *alone])
-    rows = nearest_neighbours(df, df.where("vec_id % 100 = 0"), 3).orderBy("query_id", "rank").collect()
-    assert [(r["query_id"], r["rank"], r["vec_id"]) for r in rows] == [(0, 1, 100), (0, 2, 1), (0, 3, 9), (100, 1, 0), (100, 2, 1), (100, 3, 9)]
+    others = [(False, 200, 1, 200, True), (False, 201, 1, 200, False), (False, 300, 1, 300, True), (False, 301, 1, 300, False)]
+    assert got == sorted([(False, 0, 4, 0, True), *[(False, 1, 4, 0, False)] * 2, (False, 100, 4, 0, False), (True, 0, 4, 0, False), *alone, *others])
+    rows = nearest_neighbours(df, df.where("vec_id % 100 = 0"), 5).collect()
+    found = {q: [r["vec_id"] for r in sorted(rows, key=lambda r: r["rank"]) if r["query_id"] == q] for q in (0, 100, 200, 300)}
+    assert found == {0: [100, None, 1, 1, 9], 100: [0, None, 1, 1, 9], 200: [201, 7], 300: [301]} and len(rows) == 13
     none = df.limit(0)
     assert near_duplicate_vectors(none).count() == 0 and nearest_neighbours(none, none).count() == 0
     assert nearest_neighbours(df, none).count() == 0 and near_duplicate_vectors(df.where("vec_id = 2")).count() == 1
 
 
+def test_lengths_beyond_the_fitted_ones(spark, clustered, monkeypatch):
+    """Two lengths in one table, of which one index is fitted: the same links and neighbours as apart."""
+    monkeypatch.setattr("marinelake.llm.vectors.FITTED_LENGTHS", 1)
+    ids, x, df = clustered
+    short = df.selectExpr("vec_id + 1 AS vec_id", "slice(embedding, 1, 12) AS embedding").where("vec_id < 800")
+    both = df.select("vec_id", "embedding").union(short)
+    rows = {r["vec_id"]: r for r in near_duplicate_vectors(both).collect()}
+    own = {i + 1: v[:12] for i, v in zip(ids.tolist(), x) if i + 1 < 800}
+    n, component = brute_links(list(own), np.array(list(own.values())))
+    assert [rows[i]["n_links"] for i in own] == n.tolist() and [rows[i]["component_id"] for i in own] == component
+    expected = brute_neighbours(list(own), np.array(list(own.values())), [i for i in own if i % 25 == 0])
+    got = {}
+    for r in sorted(nearest_neighbours(both, short.where("vec_id % 25 = 0")).collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert set(got) == set(expected)
+    assert sum(len(set(got[q]) & {i for _, i in expected[q]}) for q in expected) >= 9.5 * len(expected)
+
+
 def test_quantile():
     assert chi_square_quantile(0.95, 8) == pytest.approx(15.507, abs=1e-3)
 
