@@ -42,3 +42,5 @@ class JobOptions:
     record_gap_seconds: int = RECORD_GAP_SECONDS
     summary_gap_seconds: int = SUMMARY_GAP_SECONDS
     merge_duplicates: bool = False
+    #: Data as GeoParquet, in the table ``geo`` instead of ``data``.
+    geoparquet: bool = False

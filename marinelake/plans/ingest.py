@@ -33,7 +33,7 @@ from marinelake.operators.quality import concat_members, dedupe_records, split_r
 from marinelake.operators.sequence import scan_number
 from marinelake.options import JobOptions
 from marinelake.session import configure, remove_dir, scratch_dir
-from marinelake.sinks.tables import current_table, new_run, write_metadata, write_table
+from marinelake.sinks.tables import current_table, new_run, write_geo_table, write_metadata, write_table
 from marinelake.sources.archives import archive_of, member_source, read_archives
 from marinelake.sources.casts import parse_calibration, parse_header, scan_lines
 from marinelake.sources.lines import glob_of, glob_of_patterns, list_files, literal_path, manifest, read_documents, read_lines
@@ -186,7 +186,7 @@ def ingest_directory(
 ) -> DataFrame:
     """Read, normalise and write all files below ``path``; returns the result per file.
 
-    Adds a run to ``data``, ``metadata``, ``rejects`` and ``results`` below ``out``;
+    Adds a run to ``data`` (``geo`` with the option ``geoparquet``), ``metadata``, ``rejects`` and ``results`` below ``out``;
     :func:`current_table` reads what holds now. A file that is taken in again replaces
     its own rows and no others. The results are written last and make the run count.
     A damaged archive, or a file that vanishes before it is read, gets the status
@@ -234,7 +234,10 @@ def _ingest(
     clean, rejects = split_rejects(spark.read.parquet(staging))
     clean = clean.drop("value")
 
-    write_table(clean, f"{out}/data", options, day, run=run)
+    if options.geoparquet:
+        write_geo_table(clean, out, options, day, run)
+    else:
+        write_table(clean, f"{out}/data", options, day, run=run)
     write_metadata(clean, f"{out}/metadata/run={run}")
     rejects.select("source_file", "line_ord", "value", "reject_reason").write.parquet(f"{out}/rejects/run={run}")
     # Listed again: what is no longer there may not have been read.

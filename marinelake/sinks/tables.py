@@ -13,7 +13,9 @@ from marinelake.options import JobOptions
 from marinelake.operators.metadata import file_metadata, sensor_stats
 from marinelake.operators.quality import valid_positions
 from marinelake.session import remove_dir
+from marinelake.sinks.geoparquet import read_committed, write_committed
 from marinelake.sources.lines import list_files
+from marinelake.storage import path_exists
 
 LAYOUT = ["campaign", "dataset", "ingest_date"]
 
@@ -45,14 +47,7 @@ def write_table(
     Rows are clustered by ``source_file`` and time so that readers can skip row
     groups. Days are range-split, never one task per day or per file.
     """
-    laid = with_layout(valid_positions(df), options, day)
-    order = [*LAYOUT, "source_file", "time"]
-    spread = (
-        laid.repartitionByRange(files_per_day, *order)
-        if files_per_day
-        else laid.repartitionByRange(*order)
-    )
-    placed = spread.sortWithinPartitions(*order)
+    placed = _placed(with_layout(valid_positions(df), options, day), files_per_day)
     if run:
         placed.withColumn("run", F.lit(run)).write.mode("append").partitionBy(*LAYOUT, "run").parquet(path)
     else:
@@ -61,6 +56,27 @@ def write_table(
         ).parquet(path)
 
 
+def _placed(laid: DataFrame, files_per_day: int | None = None) -> DataFrame:
+    order = [*LAYOUT, "source_file", "time"]
+    spread = (
+        laid.repartitionByRange(files_per_day, *order)
+        if files_per_day
+        else laid.repartitionByRange(*order)
+    )
+    return spread.sortWithinPartitions(*order)
+
+
+def write_geo_table(df: DataFrame, out: str, options: JobOptions, day: Column | None, run: str) -> None:
+    """The positioned rows as GeoParquet, laid out as by :func:`write_table`, as one run
+    of the table ``geo`` below ``out``."""
+    _add_geo_run(with_layout(valid_positions(df), options, day), out, run)
+
+
+def _add_geo_run(laid: DataFrame, out: str, run: str) -> None:
+    rows = _placed(laid).withColumn("run", F.lit(run))
+    write_committed(rows, f"{out}/geo", f"{out}/commits/geo", run, [*LAYOUT, "run"])
+
+
 def new_run() -> str:
     """A name for a run; later runs have later names."""
     return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
@@ -68,7 +84,7 @@ def new_run() -> str:
 
 #: Status of the run of a file that a table's current rows are of. A run that failed for
 #: a file or found nothing in it leaves the file's earlier rows; ``results`` shows it.
-_COUNTS = {"data": ("ok",), "metadata": ("ok",), "rejects": ("ok", "skipped")}
+_COUNTS = {"data": ("ok",), "geo": ("ok",), "metadata": ("ok",), "rejects": ("ok", "skipped")}
 
 
 def current_table(spark: SparkSession, out: str, name: str) -> DataFrame:
@@ -86,7 +102,10 @@ def _current(spark: SparkSession, out: str, name: str) -> DataFrame:
     if name in _COUNTS:
         results = results.where(F.col("status").isin(*_COUNTS[name]))
     latest = results.groupBy("source_file").agg(F.max("run").alias("run"))
-    table = spark.read.option("mergeSchema", "true").parquet(f"{out}/{name}")
+    if name == "geo":
+        table = read_committed(spark, f"{out}/geo", f"{out}/commits/geo")
+    else:
+        table = spark.read.option("mergeSchema", "true").parquet(f"{out}/{name}")
     return table.join(latest, ["source_file", "run"], "left_semi")
 
 
@@ -99,9 +118,11 @@ def compact(spark: SparkSession, out: str) -> str:
     every = spark.read.option("mergeSchema", "true").parquet(f"{out}/results")
     order = F.struct((F.col("status") == "ok").alias("ok"), "run")
     kept = every.groupBy("source_file").agg(F.max_by(F.struct(*[c for c in every.columns if c not in ("source_file", "run")]), order).alias("_r"))
-    place = [*LAYOUT, "source_file", "time"]
-    data = _current(spark, out, "data").drop("run").repartitionByRange(*place).sortWithinPartitions(*place)
-    data.withColumn("run", F.lit(run)).write.mode("append").partitionBy(*LAYOUT, "run").parquet(f"{out}/data")
+    if path_exists(spark, f"{out}/data"):
+        data = _placed(_current(spark, out, "data").drop("run"))
+        data.withColumn("run", F.lit(run)).write.mode("append").partitionBy(*LAYOUT, "run").parquet(f"{out}/data")
+    if path_exists(spark, f"{out}/commits/geo"):
+        _add_geo_run(_current(spark, out, "geo").drop("run", "geometry"), out, run)
     for name in ("metadata", "rejects"):
         _current(spark, out, name).drop("run").write.parquet(f"{out}/{name}/run={run}")
     kept.select("source_file", "_r.*").write.parquet(f"{out}/results/run={run}")
@@ -111,7 +132,15 @@ def compact(spark: SparkSession, out: str) -> str:
 def expire_runs(spark: SparkSession, out: str, before: str) -> None:
     """Delete all runs earlier than ``before``, the name of a run that :func:`compact`
     gave; results go first, so that no reader finds a run whose rows are gone."""
-    for name in ("results", "rejects", "metadata", "data"):
+    for name in ("results", "commits/geo", "rejects", "metadata", "data", "geo"):
+        if not path_exists(spark, f"{out}/{name}"):
+            continue
+        if name == "commits/geo":
+            # A run's list is one file; without it none of the run's files is read.
+            lists = list_files(spark, f"{out}/{name}").where(F.regexp_extract("path", r"/([^/]*)\.json$", 1) < before)
+            for row in lists.select("path").toLocalIterator():
+                remove_dir(spark, row["path"])
+            continue
         folder = F.regexp_extract("path", r"^(.*/run=[^/]*)/[^/]*$", 1)
         run = F.regexp_extract("path", r"/run=([^/]*)/[^/]*$", 1)
         # One row per run and day.

@@ -1,7 +1,11 @@
 """The ingest job by lists of files: names, missing and vanishing files, companions, runs."""
 
+import glob
+import json
 import os
+import struct
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 import marinelake.plans.ingest as ingest
@@ -97,3 +101,46 @@ def test_events_of_one_path_are_taken_in_once(spark, tmp_path):
     assert [(r["batch_id"], r["status"]) for r in events] == [(0, "queued"), (0, "duplicate"), (0, "skipped"), (0, "skipped"), (1, "duplicate"), (1, "duplicate")]
     results = spark.read.parquet(f"{out}/results").collect()
     assert [(r["status"], r["record_count"]) for r in results] == [("ok", 1)]
+
+
+def test_geoparquet_runs(spark, tmp_path):
+    out, options = f"{tmp_path}/out", JobOptions(geoparquet=True, dataset="a b/c")
+    paths = [save(f"{tmp_path}/in/{n}.csv", CSV.format(1, i)) for i, n in enumerate("ab")]
+    nowhere = save(f"{tmp_path}/in/n.csv", "time,TEMP\n2024-01-01T00:00:01Z,9\n")
+    ingest_files(spark, [*paths, nowhere], out, options)
+    assert not os.path.exists(f"{out}/data")
+
+    def now():
+        rows = current_table(spark, out, "geo").select("source_file", "TEMP", "geometry", "dataset").collect()
+        assert {r["dataset"] for r in rows} == {"a b/c"}
+        return sorted((r["source_file"].rsplit("/", 1)[-1], r["TEMP"], r["geometry"] and struct.unpack("<BIdd", r["geometry"])) for r in rows)
+
+    point = (1, 1, 1.8, 41.2)
+    assert now() == [("a.csv", 0.0, point), ("b.csv", 1.0, point), ("n.csv", 9.0, None)]
+    written = glob.glob(f"{out}/geo/**/*.parquet", recursive=True)
+    for path in written:
+        geo = json.loads(pq.read_metadata(path).metadata[b"geo"])
+        assert geo["columns"]["geometry"].get("bbox") in ([1.8, 41.2, 1.8, 41.2], None)
+    # A file of an attempt that no run names is not read.
+    stray = pq.read_table(written[0])
+    pq.write_table(stray, f"{os.path.dirname(written[0])}/part-stray.parquet")
+    save(paths[0], CSV.format(1, 7))
+    ingest_files(spark, [paths[0]], out, options)
+    expected = [("a.csv", 7.0, point), ("b.csv", 1.0, point), ("n.csv", 9.0, None)]
+    assert now() == expected
+    last = compact(spark, out)
+    assert now() == expected
+    expire_runs(spark, out, last)
+    assert now() == expected and len(os.listdir(f"{out}/commits/geo")) <= 2  # and its checksum
+
+
+def test_an_aborted_geoparquet_write_leaves_nothing(spark, tmp_path):
+    from marinelake.sinks.geoparquet import write_committed
+
+    rows = spark.range(20).selectExpr("id", "1.0D + id AS latitude", "IF(id = 19, raise_error('x'), 2.0D) AS longitude", "'r' AS run")
+    try:
+        write_committed(rows.repartition(2), f"{tmp_path}/geo", f"{tmp_path}/commits", "r", ["run"])
+        raise AssertionError("written")
+    except Exception as error:
+        assert "x" in str(error) and not isinstance(error, AssertionError)
+    assert not os.path.exists(f"{tmp_path}/commits")
