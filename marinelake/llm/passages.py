@@ -311,9 +311,52 @@ def further_pairs(members: DataFrame, spans: DataFrame, texts: DataFrame, width:
     return grouped.applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def shared_runs(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -> list[tuple[int, int]]:
+def _widened(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, least: int, similarity: float, words) -> tuple[int, int] | None:
+    """The run around matches ``i`` (in ``b``: ``j``) that are less than ``least`` apart,
+    of that length, if it is similar to the run of ``b`` beside it: words changed near
+    the end of a passage leave no match there. Of several runs the one with most equal
+    words beside the matches, the middle one of equals."""
+    need = least - (int(i[-1] - i[0]) + 1)
+    shift = int(np.median(j - i))
+    start, best = int(i[0]), None
+    middle = need / 2
+    for left in sorted(range(need + 1), key=lambda n: abs(n - middle)):
+        lo = start - left
+        if lo < 0 or lo + shift < 0 or lo + least > len(a) or lo + shift + least > len(b):
+            continue
+        own, other = np.unique(a[lo : lo + least]), np.unique(b[lo + shift : lo + shift + least])
+        e = len(np.intersect1d(own, other, assume_unique=True))
+        if e < similarity * (len(own) + len(other) - e):
+            continue
+        n = least + SHINGLE - 1
+        equal = 0 if words is None else int((words[0][lo : lo + n] == words[1][lo + shift : lo + shift + n]).sum())
+        if best is None or equal > best[0]:
+            best = equal, (lo, lo + least)
+        if words is None:
+            break
+    return best and best[1]
+
+
+def _similar_windows(i: np.ndarray, least: int, enough: float) -> list[tuple[int, int]]:
+    """Unions of the windows of ``least`` shingles that hold at least ``enough`` of the matches ``i``."""
+    if len(i) < enough:
+        return []
+    there = np.zeros(max(int(i[-1] - i[0]) + 1, least), np.int64)
+    there[i - i[0]] = 1
+    sums = np.concatenate([[0], np.cumsum(there)])
+    starts = np.flatnonzero(sums[least:] - sums[:-least] >= enough)
+    if not len(starts):
+        return []
+    cuts = np.flatnonzero(np.diff(starts) > least) + 1
+    return [(int(i[0] + run[0]), int(i[0] + run[-1]) + least) for run in np.split(starts, cuts)]
+
+
+def shared_runs(a: np.ndarray, b: np.ndarray, least: int, similarity: float, words: tuple[np.ndarray, np.ndarray] | None = None) -> list[tuple[int, int]]:
     """Runs of shingles of ``a``, at least ``least`` long, that are similar to a run of
-    ``b``: shared over all distinct shingles of both runs."""
+    ``b``: shared over all distinct shingles of both runs. ``words`` of both texts, where
+    given, place the ends of a run whose first or last shingles have no match."""
+    # So many shingles of two runs of the least length must be shared.
+    enough = 2 * similarity / (1 + similarity) * least
     values, first = np.unique(b, return_index=True)
     at = np.minimum(np.searchsorted(values, a), len(values) - 1)
     match = np.flatnonzero(values[at] == a)
@@ -325,6 +368,9 @@ def shared_runs(a: np.ndarray, b: np.ndarray, least: int, similarity: float) ->
     while pending:
         i, j = pending.pop()
         if not len(i) or i[-1] - i[0] + 1 < least:
+            run = _widened(a, b, i, j, least, similarity, words) if len(i) >= enough else None
+            if run:
+                found.append(run)
             continue
         n = int(i[-1] - i[0]) + 1
         shift = j - i
@@ -336,6 +382,14 @@ def shared_runs(a: np.ndarray, b: np.ndarray, least: int, similarity: float) ->
             if e >= similarity * (own + other - e):
                 found.append((int(i[0]), int(i[-1]) + 1))
                 continue
+        # The whole is not similar, but parts of it may be.
+        parts = _similar_windows(i[aligned], least, enough)
+        if parts:
+            found += parts
+            part = np.searchsorted([x for run in parts for x in run], i, "right")
+            left = np.split(np.arange(len(i)), np.flatnonzero(np.diff(part)) + 1)
+            pending += [(i[k], j[k]) for k in left if part[k[0]] % 2 == 0]
+            continue
         gaps = np.diff(i)
         if not len(gaps) or gaps.max() == 1:
             # Every shingle stands in b, which repeats parts of it in several places.
@@ -369,11 +423,12 @@ def repeated_spans(docs: DataFrame, passage_words: int = PASSAGE_WORDS, similari
             for side in ("text_a", "text_b"):
                 coded = texts_of(batch, side).dictionary_encode()
                 hashes, starts, ends, words = placed_words(coded.dictionary)
-                sides.append((*shingles(hashes, words), starts, ends, words, coded.indices.to_pylist()))
-            (va, oa, starts, ends, words, ia), (vb, ob, *_, ib) = sides
+                sides.append((*shingles(hashes, words), hashes, starts, ends, words, coded.indices.to_pylist()))
+            (va, oa, ha, starts, ends, words, ia), (vb, ob, hb, _, _, words_b, ib) = sides
             rows = []
             for r, (i, j) in enumerate(zip(ia, ib)):
-                for x, y in shared_runs(va[oa[i] : oa[i + 1]], vb[ob[j] : ob[j + 1]], width, similarity):
+                both = ha[words[i] : words[i + 1]], hb[words_b[j] : words_b[j + 1]]
+                for x, y in shared_runs(va[oa[i] : oa[i + 1]], vb[ob[j] : ob[j + 1]], width, similarity, both):
                     rows.append((r, int(starts[words[i] + x]), int(ends[words[i] + y + SHINGLE - 2]), x, y))
             at = pa.array([r for r, *_ in rows], pa.int64())
             spans = [pa.array([x[c] for x in rows], pa.int64()) for c in (1, 2, 3, 4)]

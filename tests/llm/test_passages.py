@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from marinelake.llm.passages import compact_windows, cut_passages, find_passages, op4_substring_dedup, shared_runs
 from marinelake.llm.words import placed_words
@@ -105,3 +106,46 @@ def test_a_partner_in_the_middle_of_a_signature_is_found(spark):
     found = {(r["doc_id"], r["first_doc_id"]) for r in find_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     later = {k for k, first in found if first == 20}
     assert later <= set(range(21, 39)) and len(later) >= 16
+
+
+def similar_windows(one, other, n=50, size=5, similarity=0.8):
+    """Word positions of ``one`` in a run of n words that is similar to a run of ``other``, by trying all of them."""
+    shingled = lambda w: [{tuple(w[k + m : k + m + size]) for m in range(n - size + 1)} for k in range(len(w) - n + 1)]
+    theirs, out = shingled(other), set()
+    for k, own in enumerate(shingled(one)):
+        if any(len(own & b) >= similarity * len(own | b) for b in theirs):
+            out.update(range(k, k + n))
+    return out
+
+
+@pytest.mark.parametrize("length, edits", [(50, [0]), (50, [1]), (50, [4]), (50, [45]), (50, [48]), (50, [25]), (52, [1, 50]), (70, [20, 50]), (90, [40])])
+def test_passages_with_changed_words_are_found(spark, length, edits):
+    rng = np.random.default_rng(length + sum(edits))
+    some = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
+    rows, pairs = [], 60
+    for k in range(pairs):
+        passage = some(length)
+        changed = [f"changed{k}" if i in edits else w for i, w in enumerate(passage)]
+        rows += [(2 * k, some(90) + passage + some(70)), (2 * k + 1, some(60) + changed + some(100))]
+    texts = dict(rows)
+    found = find_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")).collect()
+    assert all((r["doc_id"], r["first_doc_id"]) in {(2 * k + 1, 2 * k) for k in range(pairs)} and r["n_words"] >= 50 for r in found)
+    assert len({r["doc_id"] for r in found}) >= (0.8 if edits == [25] else 0.95) * pairs
+    for r in found[:10]:
+        own = similar_windows(texts[r["doc_id"]], texts[r["first_doc_id"]])
+        start = len(" ".join(texts[r["doc_id"]])[: r["start"]].split())
+        covered = set(range(start, start + r["n_words"]))
+        # No more than a wholly similar longer run's ends, and nearly all that any window holds.
+        assert len(covered & own) >= 0.8 * len(own) and len(covered - own) <= 10
+
+
+def test_unlike_passages_are_left(spark):
+    rng = np.random.default_rng(9)
+    some = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
+    rows = []
+    for k in range(60):
+        passage = some(44 if k % 2 else 50)  # too short, or changed in two places
+        changed = passage if k % 2 else [w if i not in (15, 33) else "x" for i, w in enumerate(passage)]
+        rows += [(2 * k, some(50) + passage + some(50)), (2 * k + 1, some(50) + changed + some(50))]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")
+    assert find_passages(df).count() == 0
