@@ -49,6 +49,7 @@ PATTERNS = {
     "secret": r"(?i:token|secret|api[_-]?key|password|passwd)[\"']?\s{0,3}[=:]\s{0,3}[\"'][^\"'\s]{8,200}[\"']",
     "iban": rf"(?<![{_W}])[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?![{_W}])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![0-9]|\.\d)",
+    "ip6": rf"(?<![{_W}:.])(?=[0-9A-Fa-f]{{1,4}}:[0-9A-Fa-f:]*[0-9])(?:(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}}|(?:[0-9A-Fa-f]{{1,4}}:){{1,6}}(?::[0-9A-Fa-f]{{1,4}}){{1,6}})(?![{_W}:])",
     "phone": r"(?<![0-9+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![0-9+])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?!\d)",
     "ssn": r"(?<![0-9-])\d{3}-\d{2}-\d{4}(?![0-9-])",
     "card": r"(?<![0-9-])(?:\d{4}[ -]){3}\d{1,7}(?![0-9-])|(?<![0-9-])\d{4}[ -]\d{6}[ -]\d{5}(?![0-9-])|(?<![0-9])\d{13,19}(?![0-9])",
@@ -63,7 +64,7 @@ def _any_pattern() -> str:
     parts = [rf"(?=[0-9+(])(?:{numbers})"]
     for kind in ("secret", "iban", "person"):
         parts.append(rf"(?={_FIRST[kind]})(?:{PATTERNS[kind]})")
-    return "|".join([f"(?:{PATTERNS['email']})", *parts])
+    return "|".join([f"(?:{PATTERNS['email']})", f"(?:{PATTERNS['ip6']})", *parts])
 
 
 ANY_PATTERN = _any_pattern()
@@ -98,13 +99,13 @@ def _kept_format(value: Column, digest: Column) -> Column:
 
 
 def _hex_format(value: Column, digest: Column) -> Column:
-    """As :func:`_kept_format`, letters within a to f."""
+    """As :func:`_kept_format`, of hexadecimal digits and colons, letters within a to f."""
     places = F.sequence(F.lit(1), F.length(value))
 
     def one(i: Column) -> Column:
         c, code = F.substring(value, i, F.lit(1)), _number(digest, i % 64)
         letter = F.substring(F.lit("abcdef"), (code % 6 + 1).cast("int"), F.lit(1))
-        return F.when(c.rlike(r"\d"), (code % 10).cast("string")).otherwise(F.when(c.rlike("[A-F]"), F.upper(letter)).otherwise(letter))
+        return F.when(c.rlike(r"\d"), (code % 10).cast("string")).when(c.rlike("[A-F]"), F.upper(letter)).when(c == ":", c).otherwise(letter)
 
     return F.array_join(F.transform(places, one), "")
 
@@ -186,7 +187,7 @@ def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
         F.when(kind == "email", _address(normal, digest, crowded, key))
         .when(kind == "ip", octets)
         .when(kind == "card", _checked(normal, formatted))
-        .when((kind == "secret") & normal.rlike("^[0-9a-f]+$"), _hex_format(normal, digest))
+        .when((kind == "ip6") | (kind == "secret") & normal.rlike("^[0-9a-f]+$"), _hex_format(normal, digest))
         .when(kind == "iban", F.concat(F.substring(normal, 1, 2), F.substring(formatted, F.lit(3), F.length(formatted))))
         .when(kind == "person", _name(normal, digest, crowded))
         .otherwise(formatted)
@@ -258,13 +259,43 @@ def one_person(kinds: DataFrame) -> DataFrame:
     return kinds.join(told, "normal", "left").withColumn("normal", F.coalesce("told", "normal")).select("value", "kind", "normal")
 
 
+def _bare_names(persons: DataFrame, by: str) -> DataFrame:
+    """``by, pattern, names`` of texts that name persons: what finds their names without a
+    form of address, and the surrogate of each, whole names before family names. A family
+    name that several persons of a text have goes to the first of them in the alphabet.
+
+    ``persons`` holds ``by, value, new``; a text's names are no more than its mentions."""
+    title, name, _, _ = _person(F.col("value"))
+    made = F.substring(F.col("new"), F.length(title) + 1, F.length("new"))
+    named = persons.select(by, name.alias("name"), made.alias("made"))
+    last = F.regexp_extract("name", rf"({_NAME_WORD})$", 1)
+    family = F.when(F.col("made").startswith(_TAG), F.col("made")).otherwise(F.substring_index("made", " ", -1))
+    both = named.select(by, F.lit(0).alias("part"), "name", "name", "made").toDF(by, "part", "old", "whole", "made").union(
+        named.select(by, F.lit(1), last, "name", family).where(last != "")
+    )
+    first = both.groupBy(by, "old").agg(F.min(F.struct("part", "whole", "made"))["made"].alias("made"))
+    lists = first.groupBy(by).agg(F.map_from_entries(F.collect_list(F.struct("old", "made"))).alias("names"))
+    longest = F.array_sort(F.map_keys("names"), lambda a, b: F.length(b) - F.length(a))
+    pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(longest, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    return lists.select(by, pattern.alias("pattern"), "names")
+
+
+def _replaced(text: Column, pattern: Column, found: Column, made: Column) -> Column:
+    """The text with the value of ``made`` in place of each of ``found``, all that the pattern finds."""
+    between = F.split(text, pattern, -1)
+    pairs = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda a, b: F.array(a, made[b]))
+    return F.concat(F.array_join(F.flatten(pairs), ""), F.element_at(between, -1))
+
+
 def replace_personal_data(docs: DataFrame, key: str = KEY, text: str = "text", counted: str | None = None, drawn_by: Callable = with_surrogates) -> DataFrame:
     """``docs`` with surrogates in the text; all rows and columns stay, and ``counted``
     names one more column for the number of entities of a row.
 
-    Null and empty texts, and texts without an entity, stay as they are. A surrogate
+    A person named with a form of address is replaced wherever the text has the same
+    name, or its family name, without one. ``counted`` does not count those. Null and
+    empty texts, and texts without an entity, stay as they are. A surrogate
     is made once per distinct mention; only rows with an entity take part in a join."""
-    found, made, digest = (free_name(docs, x) for x in ("found", "made", "digest"))
+    found, made, digest, pattern, bare = (free_name(docs, x) for x in ("found", "made", "digest", "pattern", "bare"))
     column = F.col(text).cast("string")
     columns = [F.col(f"`{c}`") for c in docs.columns if c != text]
     order = [*docs.columns, *([counted] if counted else [])]
@@ -275,11 +306,18 @@ def replace_personal_data(docs: DataFrame, key: str = KEY, text: str = "text", c
     kinds = texts.select("value").distinct().withColumn("kind", entity_type(F.col("value")))
     kinds = kept_table(one_person(kinds.withColumn("normal", normal_form(F.col("kind"), F.col("value")))), "kinds")
     entities = distinct_surrogates(kinds, key, drawn_by)
-    replaced = kinds.join(entities, ["kind", "normal"]).select("value", _in_place(F.col("kind"), F.col("value"), F.col("made")).alias("new"))
+    replaced = kinds.join(entities, ["kind", "normal"]).select("kind", "value", _in_place(F.col("kind"), F.col("value"), F.col("made")).alias("new"))
     replaced = kept_table(replaced, "replaced")
-    maps = texts.join(replaced, "value").groupBy(digest).agg(F.map_from_entries(F.collect_list(F.struct("value", "new"))).alias(made))
-    rows = rows.join(maps, digest)
+    known = texts.join(replaced, "value")
+    maps = known.groupBy(digest).agg(F.map_from_entries(F.collect_list(F.struct("value", "new"))).alias(made))
+    names = _bare_names(known.where("kind = 'person'"), digest).toDF(digest, pattern, bare)
+    rows = rows.join(maps.join(names, digest, "left"), digest)
+    # Names without a form of address stand between the mentions.
     between = F.split(column, ANY_PATTERN, -1)
+    named = F.col(pattern)
+    between = F.when(named.isNull(), between).otherwise(
+        F.transform(between, lambda part: _replaced(part, named, F.regexp_extract_all(part, named, F.lit(0)), F.col(bare)))
+    )
     pairs = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda a, b: F.array(a, F.col(made)[b]))
     whole = F.concat(F.array_join(F.flatten(pairs), ""), F.element_at(between, -1))
     number = [F.size(found).alias(counted)] if counted else []

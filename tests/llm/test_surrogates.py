@@ -106,3 +106,31 @@ def test_names_of_many_forms(spark):
         inside = re.fullmatch(r"then (.+), who left", got[i])[1]
         assert not set(re.findall(r"\w{3,}", n.partition(" ")[2])) & set(re.findall(r"\w{3,}", inside)), inside
     assert got[0].replace("Mrs. ", "") == got[5].replace("Dr ", "")
+
+
+def test_names_without_a_form_of_address(spark):
+    rows = [
+        (1, "Erika Mustermann came. Mrs Erika Mustermann left; Mustermann’s car, Mustermanns and x@y.example.com: Erika Mustermann"),
+        (2, "Mr Smith and Mrs Mary Smith: Smith, Mary Smith, Blacksmith, smith"),
+        (3, "Mustermann and Smith are not named here, a@b.example.com"),
+        (4, "Dr. Jan van der Berg. van der Berg, Berg, Bergen"),
+    ]
+    got = {r["doc_id"]: r["text"] for r in replace_personal_data(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    lady = re.search(r"Mrs (\w+ (\w+)) left", got[1])
+    assert re.fullmatch(rf"{lady[1]} came\. Mrs {lady[1]} left; {lady[2]}’s car, Mustermanns and \S+: {lady[1]}", got[1])
+    man, woman = re.match(r"Mr (\w+) and Mrs (\w+ \w+): ", got[2]).groups()
+    assert got[2].partition(": ")[2] == f"{man}, {woman}, Blacksmith, smith" and woman != man
+    assert got[3].startswith("Mustermann and Smith are not named here, ")
+    assert re.fullmatch(r"Dr\. (\w+ (\w+))\. van der \2, \2, Bergen", got[4])
+
+
+def test_long_addresses_of_hosts(spark):
+    values = ["2001:db8:85a3::8a2e:370:7334", "2001:0DB8:0:0:0:0:0:1", "fe80::1"]
+    shape = lambda t: re.sub("[a-fA-F]", "a", re.sub(r"\d", "0", t))
+    plain = ["std::cout", "a::b", "12:30:45", "10:20", "abc::def", "::", "x2001:db8::1"]
+    rows = [(i, f"at {v}, then") for i, v in enumerate(values + plain)]
+    got = {r["doc_id"]: r["text"] for r in replace_personal_data(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    for i, v in enumerate(values):
+        made = re.fullmatch(r"at (\S+), then", got[i])[1]
+        assert made != v and shape(made) == shape(v)
+    assert all(got[len(values) + i] == f"at {v}, then" for i, v in enumerate(plain))
