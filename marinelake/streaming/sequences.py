@@ -1,9 +1,9 @@
 """Stateful operators over the lines and records of a live stream, one state per key.
 
-Rows of a key are sequential by nature: one task works on a key in a micro-batch, whose
-size the source's rate limit sets. Rows that must wait are kept in state as Arrow
-chunks, one per micro-batch; loops run over header and preamble lines or over closed
-batches, never over rows.
+Rows of a key are sequential by nature: one task works on a key in a micro-batch. It takes
+them piece by piece, holds the header and preamble lines and a number or two per row, and
+gives the rows in a second pass. Rows that must wait are kept in state as Arrow chunks;
+loops run over header and preamble lines or over closed batches, never over rows.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 from marinelake.functions.lines import classify_cast_line
 from marinelake.functions.values import is_blank
 from marinelake.options import BATCH_MAX_RECORDS, BATCH_SECONDS
-from marinelake.streaming.state import use_rocksdb
+from marinelake.streaming.state import Pieces, order_of, use_rocksdb
 
 # Helper columns. Names with a leading underscore do not reach the state operator.
 _ORDER, _MARK, _US = "state_order", "state_mark", "state_time_us"
@@ -44,9 +44,8 @@ def unpacked(chunks: list[bytes]) -> pd.DataFrame:
     return pd.concat([pa.ipc.open_stream(c).read_pandas() for c in chunks], ignore_index=True)
 
 
-def _gathered(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
-    """A key's rows of the micro-batch, which may come in several pieces, in order."""
-    return pd.concat(list(rows), ignore_index=True).sort_values(by, kind="stable", ignore_index=True)
+def _in_order(rows: pd.DataFrame) -> pd.DataFrame:
+    return rows.sort_values(_ORDER, kind="stable", ignore_index=True)
 
 
 class _Chunks(StatefulProcessor):
@@ -75,27 +74,34 @@ class HeaderInForce(_Chunks):
         self.state = handle.getValueState("header", "header STRING, held BIGINT")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = _gathered(rows, [_ORDER])
-        header, waiting = self.state.get() if self.state.exists() else (None, 0)
-        marked, values = batch[_MARK].to_numpy(bool), batch[self.value].to_numpy(object)
-        latest = np.maximum.accumulate(np.where(marked, np.arange(len(batch)), -1))
-        last = values[latest[-1]] if marked.any() else header
-        # Lines before the first header of all take that one.
-        before = header if header is not None or not marked.any() else values[marked.argmax()]
-        headers = np.where(latest >= 0, values[latest], before)
-        lines = batch[self.columns].assign(header=headers)[~marked]
-        if last is None and waiting + len(lines) <= self.most:
+        pieces, found, count = Pieces(), [], 0
+        for piece in rows:
+            marked = piece[_MARK].to_numpy(bool)
+            found.append(piece.loc[marked, [_ORDER, self.value]])
+            lines = _in_order(piece.loc[~marked, [*self.columns, _ORDER]])
             if len(lines):
-                self.chunks.appendValue((packed(batch[self.columns]),))
-            self.state.update((None, waiting + len(lines)))
+                pieces.add(lines, int(lines[_ORDER].iat[0]))
+                count += len(lines)
+        header, waiting = self.state.get() if self.state.exists() else (None, 0)
+        heads = _in_order(pd.concat(found, ignore_index=True))
+        places, values = heads[_ORDER].to_numpy(np.int64), heads[self.value].to_numpy(object)
+        last = values[-1] if len(values) else header
+        if last is None and waiting + count <= self.most:
+            for lines in pieces:
+                self.chunks.appendValue((packed(lines[self.columns]),))
+            self.state.update((None, waiting + count))
             return
+        # Lines before the first header of all take that one.
+        before = header if header is not None or not len(values) else values[0]
         if waiting:
             earlier = self.held()[0]
             self.chunks.clear()
-            lines = pd.concat([earlier.assign(header=before), lines], ignore_index=True)
+            yield earlier.assign(header=before)
         self.state.update((last, 0))
-        if len(lines):
-            yield lines
+        in_force = np.array([before, *values], object)
+        for lines in pieces:
+            at = np.searchsorted(places, lines[_ORDER].to_numpy(np.int64), "right")
+            yield lines[self.columns].assign(header=in_force[at])
 
 
 class Preamble(StatefulProcessor):
@@ -126,13 +132,27 @@ class Preamble(StatefulProcessor):
         return False
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = _gathered(rows, [_ORDER])
+        pieces, told, first = Pieces(), [], None
+        for piece in rows:
+            piece = _in_order(piece)
+            if first is None or piece[_ORDER].iat[0] < first[_ORDER].iat[0]:
+                first = piece.iloc[:1]
+            roles = piece[_MARK].to_numpy(object)
+            is_scan = roles == "scan"
+            is_told = ~is_scan & (roles != "ignore")
+            told.append(piece.loc[is_told, [_ORDER, _MARK, self.value]])
+            others = piece.loc[~is_told, [*self.columns, _MARK]].reset_index(drop=True)
+            pieces.add(others, int(piece[_ORDER].iat[0]), piece.loc[is_scan, _ORDER].to_numpy(np.int64))
         version, scans, dirty, self.inside, self.ended = self.at.get() if self.at.exists() else (0, 0, False, False, False)
         self.header, self.xmlcon = self.texts.get() if self.texts.exists() else ("", "")
-        roles = batch[_MARK].to_numpy(object)
-        is_scan = roles == "scan"
-        scan_at = np.flatnonzero(is_scan)
-        versions, documents, changed = np.zeros(len(scan_at), np.int64), [], False
+        (orders,) = pieces.numbers()
+        sorting = np.argsort(orders, kind="stable")
+        orders = orders[sorting]
+        # The place of every scan among the scans of the micro-batch, in the order of the pieces.
+        rank = np.empty(len(sorting), np.int64)
+        rank[sorting] = np.arange(len(sorting))
+        del sorting
+        starts, versions, documents, changed = [], [], [], False
 
         def settle(start: int, stop: int) -> None:
             """Scans ``start`` to ``stop`` follow what was gathered so far."""
@@ -141,31 +161,38 @@ class Preamble(StatefulProcessor):
                 if dirty:
                     version, dirty = version + 1, False
                     documents.append((version, self.header, self.xmlcon))
-                versions[start:stop] = version
+                starts.append(start)
+                versions.append(version)
 
         done = 0
-        for i in np.flatnonzero(~is_scan & (roles != "ignore")):
-            here = int(np.searchsorted(scan_at, i))
+        for order, role, line in _in_order(pd.concat(told, ignore_index=True)).itertuples(index=False):
+            here = int(np.searchsorted(orders, order))
             settle(done, here)
             done = here
-            if self._apply(roles[i], batch[self.value].iat[i].strip()):
+            if self._apply(role, line.strip()):
                 dirty = changed = True
-        settle(done, len(scan_at))
-        self.at.update((version, scans + len(scan_at), dirty, self.inside, self.ended))
+        settle(done, len(orders))
+        self.at.update((version, scans + len(orders), dirty, self.inside, self.ended))
         if changed:
             self.texts.update((self.header, self.xmlcon))
-
-        noise = batch.loc[roles == "ignore", self.columns].assign(role="ignore", version=np.int64(version), scan=None, header=None, xmlcon=None)
-        found = batch.loc[is_scan, self.columns].assign(
-            role="scan", version=versions, scan=np.arange(scans + 1, scans + 1 + len(scan_at)), header=None, xmlcon=None
-        )
-        for part in (noise, found):
-            if len(part):
-                yield part
+        del orders
+
+        starts, versions, done = np.array(starts, np.int64), np.array(versions, np.int64), 0
+        for piece in pieces:
+            roles = piece[_MARK].to_numpy(object)
+            noise = piece.loc[roles == "ignore", self.columns].assign(role="ignore", version=np.int64(version), scan=None, header=None, xmlcon=None)
+            found = piece.loc[roles == "scan", self.columns]
+            if len(noise):
+                yield noise
+            if len(found):
+                at = rank[done : done + len(found)]
+                done += len(found)
+                number = versions[np.searchsorted(starts, at, "right") - 1]
+                yield found.assign(role="scan", version=number, scan=scans + 1 + at, header=None, xmlcon=None)
         if documents:
             # A document's row has the place of the micro-batch's first line and no value.
             numbers, headers, xmlcons = (list(x) for x in zip(*documents))
-            yield batch.loc[[0] * len(documents), self.columns].assign(
+            yield first.loc[[first.index[0]] * len(documents), self.columns].assign(
                 **{self.value: None}, role="preamble", version=numbers, scan=None, header=headers, xmlcon=xmlcons
             )
 
@@ -250,7 +277,7 @@ def stream_with_headers(lines: DataFrame, keys: list[str], header: Column, order
     on with a null header."""
     use_rocksdb(lines.sparkSession)
     usable = ~is_blank(F.col(value)) & ~F.ltrim(value).startswith("#")
-    marked = lines.where(usable).withColumns({_ORDER: F.col(order).cast("bigint"), _MARK: F.coalesce(header, F.lit(False))})
+    marked = lines.where(usable).withColumns({_ORDER: order_of(order), _MARK: F.coalesce(header, F.lit(False))})
     return marked.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=HeaderInForce(value, lines.columns, most),
         outputStructType=_schema(lines, "header STRING"),
@@ -268,7 +295,7 @@ def stream_scans(lines: DataFrame, keys: list[str], order: str = "line_ord", val
     new calibration block replaces the one before; header lines after the end of the
     header are passed over."""
     use_rocksdb(lines.sparkSession)
-    marked = lines.withColumns({_ORDER: F.col(order).cast("bigint"), _MARK: classify_cast_line(F.col(value))})
+    marked = lines.withColumns({_ORDER: order_of(order), _MARK: classify_cast_line(F.col(value))})
     return marked.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=Preamble(value, lines.columns),
         outputStructType=_schema(lines, "role STRING, version BIGINT, scan BIGINT, header STRING, xmlcon STRING"),
