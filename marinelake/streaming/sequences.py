@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
 from marinelake.functions.lines import classify_cast_line
 from marinelake.functions.values import is_blank
@@ -24,12 +24,16 @@ from marinelake.options import BATCH_MAX_RECORDS, BATCH_SECONDS
 from marinelake.streaming.state import Pieces, order_of, use_rocksdb
 
 # Helper columns. Names with a leading underscore do not reach the state operator.
-_ORDER, _MARK, _US = "state_order", "state_mark", "state_time_us"
+_ORDER, _MARK, _US, _KEY, _GROUP = "state_order", "state_mark", "state_time_us", "state_key", "state_group"
 
 #: Lines of a stream that wait for their header, at most; with more, all of them go on
 #: without a header, to be rejected, so that none is lost and the state stays bounded.
 MAX_HELD = 100_000
 
+#: Groups that the keys of count-or-time batches are dealt to by hash: the state, and the
+#: calls to it, are per group. It goes with the checkpoint and may not change under it.
+STATE_GROUPS = 512
+
 
 def packed(rows: pd.DataFrame) -> bytes:
     """Rows as one Arrow chunk."""
@@ -206,62 +210,93 @@ class CountOrTime(_Chunks):
     Records wait until the watermark has passed them, so that they are taken in order of
     time however they arrived. A batch opens with its first record and closes with the
     ``most``-th, or as the first record at or after its end is taken or the watermark
-    passes the end."""
+    passes the end. The state is that of a group of keys, told apart by the column ``key``;
+    without one all records are of one key."""
 
-    def __init__(self, columns: list[str], span_us: int, most: int):
-        self.columns, self.span_us, self.most = columns, span_us, most
+    def __init__(self, columns: list[str], span_us: int, most: int, key: str | None = None):
+        self.columns, self.span_us, self.most, self.key = columns, span_us, most, key
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.number = handle.getValueState("number", "number BIGINT")
-
-    def _cut(self, times: np.ndarray) -> Iterator[tuple[int, int, bool, int]]:
-        """The batches that sorted times fall into: first row, end, whether it is full, and
-        the time at which it closes if no more records come."""
-        start = 0
-        while start < len(times):
-            end = int(times[start]) + self.span_us
-            stop = min(start + self.most, int(np.searchsorted(times, end, "left")))
-            full = stop - start == self.most
-            yield start, stop, full, int(times[stop - 1]) + 1 if full else end
-            start = stop
+        self.numbers = handle.getValueState("numbers", "rows BINARY")  # a key and its last number
+        self.wake = handle.getValueState("wake", "ms BIGINT")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # Spark drops rows behind the watermark before this operator sees them.
-        self.chunks.appendValue((packed(pd.concat(list(rows), ignore_index=True)),))
-        times = np.sort(self.held()[0][_US].to_numpy(np.int64))
-        self._wake(next(self._cut(times))[3])
+        earliest = []
+        for piece in rows:
+            self.chunks.appendValue((packed(piece),))
+            earliest.append(int(piece[_US].min()))
+        # No batch closes before the watermark has passed its first record.
+        self._wake(min(earliest) + 1)
         return iter(())
 
     def _wake(self, us: int) -> None:
-        """Call again once the watermark has reached a time. One timer is enough: batches
-        close one after another, and each call sets the next."""
-        self.handle.registerTimer(-(-us // 1000))  # rounded up to a millisecond
+        """Call again once the watermark has reached a time, unless a call before is due.
+        One timer is enough: each call sets the next."""
+        ms = -(-us // 1000)  # rounded up to a millisecond
+        if not self.wake.exists() or ms < self.wake.get()[0]:
+            self.wake.update((ms,))
+            self.handle.registerTimer(ms)
+
+    def _cut(self, times: np.ndarray, first: np.ndarray, stop: np.ndarray, passed: int) -> tuple[pd.DataFrame, int | None]:
+        """The closed batches of keys whose sorted times lie from ``first`` to ``stop``:
+        their key, place among the key's, rows and whether they are full; and the time at
+        which the next one closes if no more records come. One step is a batch of every key."""
+        key, start, place, closed, nexts = np.arange(len(first)), first, 0, [], []
+        while len(key):
+            end = times[start] + self.span_us
+            low, high = start, np.minimum(start + self.most, stop[key])
+            while (wide := low < high).any():  # the first record at or after the end, by halves
+                middle = (low + high) // 2
+                inside = wide & (times[np.minimum(middle, len(times) - 1)] < end)
+                low, high = np.where(inside, middle + 1, low), np.where(wide & ~inside, middle, high)
+            full = low - start == self.most
+            closes = np.where(full, times[low - 1] + 1, end)
+            over = closes <= passed
+            nexts.append(closes[~over])
+            place += 1
+            closed.append(pd.DataFrame({"key": key[over], "place": place, "start": start[over], "stop": low[over], "full": full[over]}))
+            more = over & (low < stop[key])
+            key, start = key[more], low[more]
+        nexts = np.concatenate(nexts)
+        return pd.concat(closed).sort_values("start", ignore_index=True), int(nexts.min()) if len(nexts) else None
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs()
+        if self.wake.exists() and self.wake.get()[0] > mark:
+            return  # an earlier timer of this micro-batch has done it
+        self.wake.clear()
         held = self.held()
         if not held:
             return
-        rows = held[0].sort_values([_US, _ORDER], kind="stable", ignore_index=True)
-        times = rows[_US].to_numpy(np.int64)
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        number = self.number.get()[0] if self.number.exists() else 0
-        rest, closed = 0, []
-        for start, stop, full, closes in self._cut(times):
-            if closes > passed:
-                self._wake(closes)
-                break
-            number += 1
-            closed.append(
-                rows.iloc[start:stop][self.columns].assign(batch_no=number, closed_by="count" if full else "time", batch_start_us=times[start])
-            )
-            rest = stop
-        if closed:
-            self.chunks.clear()
-            if rest < len(rows):
-                self.chunks.appendValue((packed(rows.iloc[rest:]),))
-            self.number.update((number,))
-            yield pd.concat(closed, ignore_index=True)
+        codes, keys = pd.factorize(held[0][self.key]) if self.key else (np.zeros(len(held[0]), np.int64), np.array([""], object))
+        order = np.lexsort((held[0][_ORDER], held[0][_US], codes))
+        rows, codes = held[0].iloc[order], codes[order]
+        first = np.searchsorted(codes, np.arange(len(keys)))
+        closed, wakes = self._cut(rows[_US].to_numpy(np.int64), first, np.append(first[1:], len(rows)), mark * 1000)
+        if wakes is not None:
+            self._wake(wakes)
+        if not len(closed):
+            return
+        known = unpacked([bytes(self.numbers.get()[0])]).set_index("key")["number"] if self.numbers.exists() else pd.Series([], dtype="int64")
+        before = known.reindex(keys, fill_value=0).to_numpy(np.int64)
+        after = before + np.bincount(closed["key"], minlength=len(keys))
+        now = pd.concat([known[~known.index.isin(keys)], pd.Series(after, index=keys)])
+        self.numbers.update((packed(pd.DataFrame({"key": now.index.to_numpy(object), "number": now.to_numpy(np.int64)})),))
+
+        start, size = closed["start"].to_numpy(), (closed["stop"] - closed["start"]).to_numpy()
+        batch = np.repeat(np.arange(len(closed)), size)
+        taken = np.arange(len(batch)) + (start - np.cumsum(size) + size)[batch]
+        rest = np.ones(len(rows), bool)
+        rest[taken] = False
+        self.chunks.clear()
+        if rest.any():
+            self.chunks.appendValue((packed(rows[rest]),))
+        number = before[closed["key"]] + closed["place"].to_numpy()
+        yield rows.iloc[taken][self.columns].assign(
+            batch_no=number[batch], closed_by=np.where(closed["full"], "count", "time")[batch], batch_start_us=rows[_US].to_numpy(np.int64)[start][batch]
+        )
 
 
 def _schema(stream: DataFrame, extra: str) -> StructType:
@@ -306,7 +341,7 @@ def stream_scans(lines: DataFrame, keys: list[str], order: str = "line_ord", val
 
 def stream_batches(
     records: DataFrame, keys: list[str], time: str = "time", order: str = "line_ord", seconds: float = BATCH_SECONDS,
-    max_records: int = BATCH_MAX_RECORDS, watermark: str = "10 minutes",
+    max_records: int = BATCH_MAX_RECORDS, watermark: str = "10 minutes", groups: int = STATE_GROUPS,
 ) -> DataFrame:
     """Batches of a key's records, closed by count or by time, whichever is first.
 
@@ -314,16 +349,31 @@ def stream_batches(
     it closes. Time is that of the records, and they are taken in its order: the result
     does not depend on the micro-batches, as long as no record is behind the watermark.
     Records without a time are in no batch. A key holds the records of the watermark's
-    delay and of one open batch."""
+    delay and of one open batch, and a task those of a group of keys."""
     use_rocksdb(records.sparkSession)
+    # Whole numbers without nulls: pandas would make doubles of those of a whole group.
+    whole = {
+        f.name: f"state_null_{i}" for i, f in enumerate(records.schema.fields) if isinstance(f.dataType, IntegralType) and f.nullable
+    }
+    named = F.to_json(F.array(*[F.col(k).cast("string") for k in keys]))
     # The watermark is on a column of its own, which is not passed on.
     timed = records.where(F.col(time).isNotNull()).withColumns(
-        {"state_time": F.col(time).cast("timestamp"), _US: F.unix_micros(F.col(time).cast("timestamp")), _ORDER: F.col(order).cast("bigint")}
+        {
+            "state_time": F.col(time).cast("timestamp"),
+            _US: F.unix_micros(F.col(time).cast("timestamp")),
+            _ORDER: order_of(order),
+            _KEY: named,
+            _GROUP: F.pmod(F.xxhash64(named), F.lit(groups)),
+            **{flag: F.col(c).isNull() for c, flag in whole.items()},
+            **{c: F.coalesce(F.col(c), F.lit(0).cast(records.schema[c].dataType)) for c in whole},
+        }
     )
-    batches = timed.withWatermark("state_time", watermark).groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=CountOrTime(records.columns, int(seconds * 1_000_000), max_records),
-        outputStructType=_schema(records, "batch_no BIGINT, closed_by STRING, batch_start_us BIGINT"),
+    passed = [*records.columns, *whole.values()]
+    batches = timed.withWatermark("state_time", watermark).groupBy(_GROUP).transformWithStateInPandas(
+        statefulProcessor=CountOrTime(passed, int(seconds * 1_000_000), max_records, _KEY),
+        outputStructType=_schema(timed.select(*passed), "batch_no BIGINT, closed_by STRING, batch_start_us BIGINT"),
         outputMode="Append",
         timeMode="EventTime",
     )
-    return batches.withColumn("batch_start", F.timestamp_micros("batch_start_us")).drop("batch_start_us")
+    restored = batches.withColumns({c: F.when(~F.col(flag), F.col(c)) for c, flag in whole.items()}).drop(*whole.values())
+    return restored.withColumn("batch_start", F.timestamp_micros("batch_start_us")).drop("batch_start_us")
