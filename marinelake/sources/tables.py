@@ -1,8 +1,9 @@
 """CSV files with a header each, and CNV profiles.
 
 Both join every data line to the header of its own file. The headers are one row
-per file; the join is left to the optimizer, which broadcasts them when their
-measured size allows and splits a hot file's partitions otherwise.
+per file and block of its lines, so that the lines of a large file meet theirs in many
+tasks; the join is left to the optimizer, which broadcasts the headers when their
+measured size allows.
 """
 
 from __future__ import annotations
@@ -15,16 +16,32 @@ from marinelake.functions.values import computed_once, number, strip, table_time
 from marinelake.schemas import CSV_MEASURES
 
 
+#: Lines of one block are numbered alike but for these low bits of ``line_ord``.
+BLOCK_BITS = 16
+
+
+def _block() -> Column:
+    return F.coalesce(F.shiftright(F.col("line_ord").cast("bigint"), BLOCK_BITS), F.lit(-1))
+
+
+def _with_headers(data: DataFrame, headers: DataFrame) -> DataFrame:
+    """Data lines with the header of their file; ``headers`` name the ``blocks`` of its lines."""
+    per_block = headers.withColumn("_block", F.explode("blocks")).drop("blocks")
+    return data.withColumn("_block", _block()).join(per_block, ["source_file", "_block"]).drop("_block")
+
+
 def csv_headers(lines: DataFrame) -> DataFrame:
-    """First line of each file that is neither blank nor a comment."""
+    """First line of each file that is neither blank nor a comment, and the blocks of all."""
     usable = lines.where(~F.col("value").startswith("#") & (F.length(strip(F.col("value"))) > 0))
     return usable.groupBy("source_file").agg(
         F.min("line_ord").alias("header_ord"),
         F.min_by("value", "line_ord").alias("header"),
+        F.collect_set(_block()).alias("blocks"),
     ).select(
         "source_file",
         "header_ord",
         split_quoted_cells(F.col("header")).alias("headers"),
+        "blocks",
     )
 
 
@@ -35,9 +52,8 @@ def csv_records(lines: DataFrame) -> DataFrame:
     """
     cells = F.col("_cells")
     n = F.size("headers")
-    data = lines.where(
-        ~F.col("value").startswith("#") & (F.length(strip(F.col("value"))) > 0)
-    ).join(csv_headers(lines), "source_file").where(F.col("line_ord") > F.col("header_ord"))
+    usable = lines.where(~F.col("value").startswith("#") & (F.length(strip(F.col("value"))) > 0))
+    data = _with_headers(usable, csv_headers(lines)).where(F.col("line_ord") > F.col("header_ord"))
     record = F.map_filter(
         F.map_from_arrays(F.slice("headers", 1, F.size(cells)), cells),
         lambda _, cell: F.length(cell) > 0,
@@ -83,19 +99,18 @@ def csv_points(records: DataFrame, keep_rejects: bool = False) -> DataFrame:
 
 
 def cnv_headers(lines: DataFrame) -> DataFrame:
-    """Column names of each profile, in header order."""
-    named = lines.where(F.col("value").startswith("# name") & F.contains("value", F.lit("=")))
+    """Column names of each profile that has any, in header order, and the blocks of its lines."""
+    named = F.col("value").startswith("# name") & F.contains("value", F.lit("="))
     definition = F.substr("value", F.instr("value", "=") + 1)
+    name = F.struct("line_ord", strip(F.substring_index(definition, ":", 1)).alias("name"))
     return (
-        named.select(
-            "source_file",
-            F.struct(
-                "line_ord", strip(F.substring_index(definition, ":", 1)).alias("name")
-            ).alias("_def"),
+        lines.groupBy("source_file")
+        .agg(
+            F.array_sort(F.collect_list(F.when(named, name))).alias("_defs"),
+            F.collect_set(_block()).alias("blocks"),
         )
-        .groupBy("source_file")
-        .agg(F.array_sort(F.collect_list("_def")).alias("_defs"))
-        .select("source_file", F.transform("_defs", lambda d: d["name"]).alias("columns"))
+        .where(F.size("_defs") > 0)
+        .select("source_file", F.transform("_defs", lambda d: d["name"]).alias("columns"), "blocks")
     )
 
 
@@ -110,7 +125,7 @@ def cnv_records(lines: DataFrame) -> DataFrame:
     cells = F.split(text, r"\s+")
     n = F.least(F.size(cells), F.size("columns"))
     record = F.map_from_arrays(F.slice("columns", F.lit(1), n), F.slice(cells, F.lit(1), n))
-    joined = data.join(cnv_headers(lines), "source_file")
+    joined = _with_headers(data, cnv_headers(lines))
     return computed_once(joined, {"record": record}).select("source_file", "line_ord", "record")
 
 
