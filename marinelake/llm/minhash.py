@@ -32,8 +32,12 @@ IDF_RANGE = 0.25
 #: similarity 0.8 more than 24 do in fewer than 1 of 10,000 pairs.
 SKETCH_PLANES = 4
 SKETCH_DIFFERS = 24
+#: Bits of a text's odd sketch: of each bit, whether an odd number of its shingles fall there.
+ODD_BITS = 1024
 #: Tasks that the comparisons with one leader are dealt over.
 LEADER_PARTS = 256
+#: What tells without the texts that two of them are not similar.
+_PROFILE = ["marks", "sketch", "odd", "weight"]
 _SLICE = 2 << 20
 _BLOCK = 1 << 14
 
@@ -58,6 +62,10 @@ class Sampler:
         rarity = np.log(max(documents, 2) / np.clip(frequencies, 1, max(documents, 1))) / np.log(max(documents, 2))
         self.idf = 1 + IDF_RANGE * rarity
         self.multipliers = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | np.uint64(1)
+        # Shingles at or above this weight are in odd sketches: the weight times their share is largest.
+        order = np.argsort(-self.idf, kind="stable")
+        share = np.cumsum(frequencies[order])
+        self.counted = float(self.idf[order[np.argmax(self.idf[order] * share)]])
 
     def weights(self, values: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return counts * self.idf[(values >> np.uint64(64 - COUNTERS_LOG2)).astype(np.int64)]
@@ -86,6 +94,20 @@ class Sampler:
         return out.T
 
 
+    def odd(self, values: np.ndarray, counts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """One row of ``ODD_BITS`` bits per set, as 64-bit words. Every occurrence of a
+        shingle turns one bit over, so the bits in which two sets differ are at most as
+        many as the occurrences that only one of them has."""
+        n = len(offsets) - 1
+        owner = np.repeat(np.arange(n), np.diff(offsets))
+        some = np.flatnonzero(self.weights(values, 1) >= self.counted)
+        times = counts[some]
+        nth = spread(np.zeros(len(some), np.int64), times).astype(np.uint64)
+        bit = mix(np.repeat(values[some], times) + nth * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(ODD_BITS - 1)
+        held = np.bincount(np.repeat(owner[some], times) * ODD_BITS + bit.astype(np.int64), minlength=n * ODD_BITS)
+        return np.packbits((held & 1).astype(bool)).view(np.int64).reshape(n, ODD_BITS // 64)
+
+
 def weighted_jaccards(sets, other, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Sum of the smaller over sum of the larger weights, for pairs of sets ``i`` of
     ``sets`` and ``j`` of ``other`` (each: sorted values, weights, offsets of its sets)."""
@@ -138,15 +160,19 @@ def document_frequencies(docs: DataFrame, size: int = SHINGLE) -> tuple[np.ndarr
 
 
 def _signatures(texts: DataFrame, shared, size: int) -> DataFrame:
-    """``key, bands, marks, sketch`` of each text that has a word; marks are 32 bits of
-    the bands, the sketch is the lowest bits of all samples, one word per bit."""
+    """``key, bands, marks, sketch, odd, weight`` of each text that has a word; marks are 32
+    bits of the bands, the sketch is the lowest bits of all samples, one word per bit,
+    the odd sketch is of all shingles, the weight is their sum."""
 
     def sign(batches):
         sampler = shared.value
         for batch in slices(batches, "text", most=_SLICE):
             values, counts, offsets = _sets(texts_of(batch, "text"), size)
             some = np.flatnonzero(np.diff(offsets))
-            drawn = sampler.samples(values, sampler.weights(values, counts), offsets)[some]
+            weights = sampler.weights(values, counts)
+            drawn = sampler.samples(values, weights, offsets)[some]
+            odd = sampler.odd(values, counts, offsets)[some]
+            total = np.bincount(np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)), weights, len(offsets) - 1)[some]
             bits = np.ascontiguousarray(drawn).view(np.uint64).reshape(len(some), SAMPLES)
             hashed = mix(bits)
             bands = np.zeros((len(some), BANDS), np.uint64)
@@ -156,12 +182,16 @@ def _signatures(texts: DataFrame, shared, size: int) -> DataFrame:
             planes = [((hashed >> np.uint64(p) & np.uint64(1)) << at).sum(axis=1, dtype=np.uint64) for p in range(SKETCH_PLANES)]
             lists = [
                 pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel().view(np.int64)))
-                for x in (bands, np.stack(planes, axis=1))
+                for x in (bands, np.stack(planes, axis=1), odd)
             ]
             marks = pa.ListArray.from_arrays(lists[0].offsets, pa.array(bands.ravel().astype(np.uint32).view(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(some)), lists[0], marks, lists[1]], ["key", "bands", "marks", "sketch"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key").take(pa.array(some)), lists[0], marks, *lists[1:], pa.array(total)], ["key", "bands", "marks", "sketch", "odd", "weight"]
+            )
 
-    return texts.select("key", "text").mapInArrow(sign, "key string, bands array<bigint>, marks array<int>, sketch array<bigint>")
+    return texts.select("key", "text").mapInArrow(
+        sign, "key string, bands array<bigint>, marks array<int>, sketch array<bigint>, odd array<bigint>, weight double"
+    )
 
 
 def _near(a: str, b: str) -> Column:
@@ -170,6 +200,16 @@ def _near(a: str, b: str) -> Column:
     return F.bit_count(reduce(lambda x, y: x.bitwiseOR(y), differs)) <= SKETCH_DIFFERS
 
 
+def _may_reach(a: str, b: str, counted: float, similarity: float) -> Column:
+    """Whether two texts can be as similar as that; never false for a pair that is.
+
+    What only one of them has weighs at most (1 - s) / (1 + s) of both together if their
+    similarity is s, and every bit in which the odd sketches differ is one shingle of that."""
+    differs = [F.bit_count(F.col(f"{a}odd")[p].bitwiseXOR(F.col(f"{b}odd")[p])) for p in range(ODD_BITS // 64)]
+    both = F.col(f"{a}weight") + F.col(f"{b}weight")
+    return reduce(lambda x, y: x + y, differs) * F.lit(counted) <= both * F.lit((1 - similarity) / (1 + similarity) * (1 + 1e-9))
+
+
 def _first_band(a: str, b: str) -> Column:
     """Whether no band before the one of the row is shared: of all buckets that two texts
     have in common the first one compares them."""
@@ -201,14 +241,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, shared, size: int, similarity:
 
 
 def _crowded(signed: DataFrame) -> DataFrame:
-    """``band, hash, key, marks, sketch`` of the buckets of several texts, and ``central``: how
+    """``band, hash, key`` and the profile of the text, of the buckets of several texts, and ``central``: how
     many texts the buckets of a key hold, the more, the nearer it is to the middle of
     a group of near copies."""
     bucket = ["band", "hash"]
     bands = signed.select("key", F.posexplode("bands").alias("band", "hash"))
     sizes = bands.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     own = bands.join(sizes, bucket).groupBy("key").agg(F.sum("n").alias("central"), F.collect_list(F.struct(*bucket)).alias("own"))
-    of_key = ["key", "marks", "sketch", "central"]
+    of_key = ["key", *_PROFILE, "central"]
     return own.join(signed.drop("bands"), "key").select(F.explode("own").alias("at"), *of_key).select("at.*", *of_key)
 
 
@@ -227,7 +267,8 @@ def similar_texts(texts: DataFrame, frequencies: np.ndarray, documents: int, sim
     are compared if their sketches allow the similarity. Tables of a turn are deleted
     when the next has been written."""
     spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(Sampler(frequencies, documents))
+    sampler = Sampler(frequencies, documents)
+    shared = spark.sparkContext.broadcast(sampler)
     bucket = ["band", "hash"]
     signed = kept_table(_signatures(texts, shared, size).dropDuplicates(["key"]), "signatures")
     single = {"component": F.col("key"), "size": F.lit(1).cast("bigint")}
@@ -241,10 +282,11 @@ def similar_texts(texts: DataFrame, frequencies: np.ndarray, documents: int, sim
     while not members.isEmpty():
         order = Window.partitionBy(*bucket).orderBy(*rank)
         leaders = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 4**turn)
-        leaders = leaders.select(*bucket, F.struct(*rank).alias("rank"), F.struct("key", "component", "marks", "sketch").alias("leader"))
+        leaders = leaders.select(*bucket, F.struct(*rank).alias("rank"), F.struct("key", "component", *_PROFILE).alias("leader"))
         leaders = kept_table(leaders, "leaders")
         met = members.join(leaders, bucket).where(F.struct(*rank) > F.col("rank")).where("component <> leader.component")
         met = met.where(_first_band("marks", "leader.marks")).where(_near("sketch", "leader.sketch"))
+        met = met.where(_may_reach("", "leader.", sampler.counted, similarity))
         pairs = kept_table(met.select(F.col("key").alias("a"), F.col("leader.key").alias("b")), "pairs")
         found = kept_table(_verified(pairs, texts, shared, size, similarity).select("a", "b"), "found")
         drop_kept(pairs)

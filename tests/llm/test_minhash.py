@@ -123,3 +123,47 @@ def test_odd_rows(odd, empty):
     assert left.columns == odd.columns
     assert Counter(r["doc_id"] for r in left.collect()) == Counter([1, 2, 3, None, None, 4, 5, 6, 7])
     assert near_duplicates(empty).count() == 0 and drop_near_duplicates(empty).count() == 0
+
+
+def test_odd_sketches_lose_no_link():
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in rng.integers(0, 500, 400)]
+    texts = [" ".join(f"x{i}y{j}" if rng.random() < share else w for j, w in enumerate(base)) for i, share in enumerate(rng.uniform(0, 0.2, 60))]
+    texts += ["", "a", "a a a a a a a a a b", "a " * 3000, "a " * 3100]
+    values, counts, offsets = minhash._sets(pa.array(texts), 5)
+    frequencies = rng.integers(1, 60, 1 << minhash.COUNTERS_LOG2)
+    sampler = minhash.Sampler(frequencies, 60)
+    odd = sampler.odd(values, counts, offsets).view(np.uint64)
+    weights = sampler.weights(values, counts)
+    total = [weights[a:b].sum() for a, b in zip(offsets, offsets[1:])]
+    i, j = (x.ravel() for x in np.indices((len(texts), len(texts))))
+    found = minhash.weighted_jaccards((values, weights, offsets), (values, weights, offsets), i, j)
+    near = 0
+    for a, b, s in zip(i, j, found):
+        differ = int(np.bitwise_count(odd[a] ^ odd[b]).sum()) * sampler.counted
+        assert differ <= (total[a] + total[b]) * (1 - s) / (1 + s) + 1e-6
+        near += s >= 0.8
+    assert near > len(texts)
+
+
+def test_copies_below_the_threshold_are_not_compared(spark, monkeypatch):
+    """Of a group of copies that are mostly at 0.6 to 0.75 most pairs are settled without their texts."""
+    rng = np.random.default_rng(7)
+    base = [f"w{i}" for i in range(200)]
+    docs = [(i, " ".join(f"x{i}y{j}" if rng.random() < 0.02 else w for j, w in enumerate(base))) for i in range(120)]
+    compared = []
+    verified = minhash._verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(minhash, "_verified", counted)
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    expected = brute(spark, docs)
+    got = {r["doc_id"]: r["group_id"] for r in near_duplicates(docs).collect()}
+    ids = {}
+    for r in docs.collect():
+        ids.setdefault(expected[r["text"]], []).append(r["doc_id"])
+    assert got == {i: min(own) for own in ids.values() for i in own}
+    assert sum(compared) < 120 * 119 / 2 / 4
