@@ -213,25 +213,72 @@ def _around(values: np.ndarray, place: int, width: int) -> np.ndarray:
     return values[max(place - 2 * width, 0) : place + 2 * width + 1]
 
 
+def _densest(match: np.ndarray, share: float, width: int) -> np.ndarray:
+    """Per row, the most matches beyond ``share`` of the places of a run of ``width`` or more."""
+    sums = np.zeros((match.shape[0], match.shape[1] + 1))
+    np.cumsum(match - share, axis=1, out=sums[:, 1:])
+    low = np.minimum.accumulate(sums[:, : match.shape[1] - width + 1], axis=1)
+    return (sums[:, width:] - low).max(axis=1)
+
+
+def may_share(where: np.ndarray, repeats: int, other_repeats: np.ndarray, width: int, similarity: float) -> np.ndarray:
+    """For each row of places (of the first equal shingle of the other run, or -1) whether
+    :func:`shared_runs` can find a run; never false where it does.
+
+    Any run that it takes has the length, and its matches are at least the similarity's share
+    of the distinct shingles of both sides. Either side has at least as many as match; the
+    other one's stretch is shorter at most by what the shifts of matches differ. ``repeats``
+    of both runs: places whose shingle stands at an earlier place too. Matches less than
+    ``NEAR`` apart are as long as a run, or nearly all that such a run has."""
+    n = where.shape[1]
+    if n < width:
+        return np.zeros(len(where), bool)
+    match, at = where >= 0, np.arange(n)
+    share = similarity / (1 + similarity)
+    before = np.full(where.shape, -n - NEAR)
+    before[:, 1:] = np.maximum.accumulate(np.where(match, at, -n - NEAR), axis=1)[:, :-1]
+    opens = match & (at - before > NEAR)
+    start = np.maximum.accumulate(np.where(opens, at, 0), axis=1)
+    count = np.cumsum(match, axis=1)
+    inside = count - np.take_along_axis(count, start, axis=1) + 1
+    some = (match & ((at - start + 1 >= width) | (inside >= 2 * share * width))).any(axis=1)
+    shift = where - at
+    differ = np.where(match, shift, -2 * n).max(axis=1) - np.where(match, shift, shift.max(initial=0)).min(axis=1)
+    own = _densest(match, similarity, width) >= -similarity * repeats - 1e-9
+    return some & own & (_densest(match, 2 * share, width) >= -share * (differ + repeats + other_repeats) - 1e-9)
+
+
 def near_partners(seekers: list[np.ndarray], stored: list[np.ndarray], earlier: Callable, width: int, similarity: float) -> list[tuple[int, int]]:
     """For each seeker one stored run of shingles that holds a similar passage, if any
     does: ``seeker, stored``. ``earlier(i)`` tells which stored ones it may have. The runs
-    that share most are tried first, and all that share enough for the similarity."""
-    own = [np.unique(x) for x in seekers]
-    other = [np.unique(x) for x in stored]
-    values = np.concatenate(other)
-    owner = np.repeat(np.arange(len(other)), [len(x) for x in other])
+    that share most are tried first, and all whose matches can make a run."""
+    other = [np.unique(x, return_index=True) for x in stored]
+    lengths = np.array([len(x) for x, _ in other])
+    repeats = np.array([len(x) for x in stored]) - lengths
+    values, place = (np.concatenate(x) for x in zip(*other))
+    owner = np.repeat(np.arange(len(other)), lengths)
     order = np.argsort(values, kind="stable")
-    values, owner = values[order], owner[order]
+    values, owner, place = values[order], owner[order], place[order]
     out = []
-    for i, x in enumerate(own):
+    for i, seeker in enumerate(seekers):
+        x, at = np.unique(seeker, return_inverse=True)
         lo, hi = np.searchsorted(values, x), np.searchsorted(values, x, "right")
-        shared = np.bincount(owner[spread(lo, hi - lo)], minlength=len(other))
+        found = spread(lo, hi - lo)
+        holders = owner[found]
+        shared = np.bincount(holders, minlength=len(other))
         # A run of that width has at least so many distinct shingles.
-        least = similarity * max(width - (len(seekers[i]) - len(x)), 1)
+        least = similarity * max(width - (len(seeker) - len(x)), 1)
         fits = np.flatnonzero((shared >= least) & earlier(i))
+        if len(fits):
+            row = np.full(len(other), -1)
+            row[fits] = np.arange(len(fits))
+            where = np.full((len(fits), len(x)), -1)
+            which, value = row[holders], np.repeat(np.arange(len(x)), hi - lo)
+            some = which >= 0
+            where[which[some], value[some]] = place[found[some]]
+            fits = fits[may_share(where[:, at], len(seeker) - len(x), repeats[fits], width, similarity)]
         for j in fits[np.argsort(-shared[fits], kind="stable")]:
-            if shared_runs(seekers[i], stored[j], width, similarity):
+            if shared_runs(seeker, stored[j], width, similarity):
                 out.append((i, int(j)))
                 break
     return out

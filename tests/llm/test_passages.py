@@ -149,3 +149,41 @@ def test_unlike_passages_are_left(spark):
         rows += [(2 * k, some(50) + passage + some(50)), (2 * k + 1, some(50) + changed + some(50))]
     df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")
     assert find_passages(df).count() == 0
+
+
+def test_partners_equal_all_pairs_with_few_full_comparisons(monkeypatch):
+    """Runs that share many shingles but no passage are told apart before they are aligned."""
+    from marinelake.llm import passages
+
+    rng = np.random.default_rng(4)
+    common = rng.integers(1, 1 << 62, 400).astype(np.uint64)
+    runs = []
+    for i in range(120):
+        x = rng.integers(1, 1 << 62, 185).astype(np.uint64)
+        kind = i % 6
+        if kind < 3:  # blocks too short for a passage, far apart
+            x[20:50], x[120:150] = common[:30], common[100:130]
+        elif kind == 3:  # a passage, some of it changed
+            x[60:120] = np.where(rng.random(60) < rng.uniform(0, 0.4), x[60:120], common[200:260])
+        elif kind == 4:  # repeats inside
+            x[0:60], x[90:150] = np.tile(common[300:310], 6), np.tile(common[300:305], 12)
+        else:
+            x = x[: rng.integers(5, 80)]
+            x[:40] = common[200:240][: len(x)] if len(x) >= 40 else x[:40]
+        runs.append(x)
+    calls = []
+    whole = passages.shared_runs
+
+    def counted(*args):
+        calls.append(1)
+        return whole(*args)
+
+    def earlier(i):
+        return np.arange(len(runs)) < i
+
+    expected = {i for i in range(len(runs)) for j in range(i) if whole(runs[i], runs[j], 46, 0.8)}
+    monkeypatch.setattr(passages, "shared_runs", counted)
+    found = passages.near_partners(runs, runs, earlier, 46, 0.8)
+    assert {i for i, _ in found} == expected and len(expected) > 10
+    assert all(j < i and whole(runs[i], runs[j], 46, 0.8) for i, j in found)
+    assert len(calls) < 120 * 119 / 2 / 4
