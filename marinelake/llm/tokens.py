@@ -10,6 +10,7 @@ with any other blank next to a space is one chunk, so it is encoded as a whole.
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ from marinelake.llm.common import spread
 
 #: Distinct chunks a task remembers; at more it forgets all and goes on.
 REMEMBERED = 700_000
+#: The same of an encoder that a Python worker keeps from task to task.
+KEPT = 1_000_000
 #: A space before a blank, or at the end. Blanks: White_Space and what some
 #: regular expression libraries also take for it.
 _BLANK = r"[\s\p{Z}\x{0b}\x{1c}-\x{1f}\x{85}\x{180e}\x{200b}\x{feff}]"
@@ -72,7 +75,7 @@ def _chunks(texts: pa.StringArray, irregular: str):
 class ByteLevel:
     """A byte-level BPE file of the tokenizers library."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -82,7 +85,7 @@ class ByteLevel:
         self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for piece, i in vocabulary.items():
             self.n_bytes[i] = len(piece)
-        self.inner = ChunkTable(self._encode_inner)
+        self.inner = ChunkTable(self._encode_inner, limit)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -91,7 +94,7 @@ class ByteLevel:
         """Words that follow a space, many per call; token lengths give the edges."""
         texts = ["".join(" " + w for w in words[i : i + 4096]) for i in range(0, len(words), 4096)]
         flat = np.concatenate([np.array(ids, np.uint32) for ids in self._library(texts)])
-        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        ends = np.cumsum(pc.binary_length(pa.array(words, pa.string())).to_numpy().astype(np.int64) + 1)
         edges = np.searchsorted(np.cumsum(self.n_bytes[flat]), ends) + 1
         return flat, np.diff(edges, prepend=0)
 
@@ -105,8 +108,10 @@ class ByteLevel:
         heads = [words[c] for c in codes[first]]
         head_ids = [np.array(ids, np.uint32) for ids in self._library(heads)]
         head_lengths = np.fromiter(map(len, head_ids), np.int64, len(head_ids))
-        used, inner_codes = np.unique(codes[~first], return_inverse=True)
-        places = self.inner.places([words[c] for c in used])
+        inner_codes = codes[~first]
+        used = np.flatnonzero(np.bincount(inner_codes, minlength=len(words)))
+        places = np.zeros(len(words), np.int64)
+        places[used] = self.inner.places([words[c] for c in used.tolist()])
         flat = np.concatenate([self.inner.flat, *head_ids])
         starts, lengths = np.empty(len(codes), np.int64), np.empty(len(codes), np.int64)
         starts[first] = len(self.inner.flat) + np.cumsum(head_lengths) - head_lengths
@@ -118,6 +123,12 @@ class ByteLevel:
         return flat[spread(starts, lengths)], ends[offsets]
 
 
+@lru_cache(maxsize=1)
+def kept_byte_level(path: str) -> ByteLevel:
+    """The encoder that this process keeps: the words of a task before are known to the next."""
+    return ByteLevel(path, KEPT)
+
+
 class Pieces:
     """A BPE model of the sentencepiece library."""
 
@@ -161,4 +172,4 @@ def public_tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-__all__ = ["ByteLevel", "ChunkTable", "Pieces", "public_tokenizer"]
+__all__ = ["ByteLevel", "ChunkTable", "Pieces", "kept_byte_level", "public_tokenizer"]

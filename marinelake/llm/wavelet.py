@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from marinelake.llm.common import slices, text_rows, texts_of
 from marinelake.llm.registry import query, table
-from marinelake.llm.tokens import ByteLevel, public_tokenizer
+from marinelake.llm.tokens import kept_byte_level, public_tokenizer
 from marinelake.paths import arrow_filesystem
 from marinelake.session import scratch_dir
 
@@ -189,7 +189,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, doc_id:
     def write(batches):
         filesystem, folder = arrow_filesystem(path)
         filesystem.create_dir(folder, recursive=True)
-        encoder = ByteLevel(public_tokenizer(tokenizer))
+        encoder = kept_byte_level(public_tokenizer(tokenizer))
         part, held, names, lengths, k = TaskContext.get().partitionId(), [], [], [], 0
 
         def flush():

@@ -142,3 +142,21 @@ def test_plan_is_near_best_fit_decreasing(kind):
     runs, n = plan_packing(Counter(draw.tolist()))
     assert n <= 1.005 * len(bins) + 1
     assert Counter({x: int(runs[runs[:, 0] == x][:, 2].sum()) for x in set(draw.tolist())}) == Counter(draw.tolist())
+
+
+def test_a_kept_encoder_encodes_a_word_once(bytes_model, monkeypatch):
+    """The next task of a worker does not encode again the words of the task before."""
+    import pyarrow as pa
+
+    from marinelake.llm.tokens import kept_byte_level
+
+    path = public_tokenizer("byte_bpe_50k.json")
+    texts = ["a grün  wörd", " word 日本 grün word", "", "one two two\nthree", "x " + "two " * 50 + "end"]
+    first = kept_byte_level(path).encode(pa.array(texts))
+    encoder, asked = kept_byte_level(path), []
+    inner = encoder.inner.encode
+    monkeypatch.setattr(encoder.inner, "encode", lambda words: asked.extend(words) or inner(words))
+    ids, offsets = encoder.encode(pa.array(texts + ["one unseen"]))
+    assert asked == ["unseen"]
+    assert (ids[: len(first[0])] == first[0]).all()
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [ids_of(bytes_model, t)[:-1] for t in texts + ["one unseen"]]
