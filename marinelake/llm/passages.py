@@ -91,6 +91,15 @@ def signatures(values: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.
     return np.concatenate(places), np.concatenate(found)
 
 
+def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of the first of all equal pairs, in the order of the pairs."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return order[new]
+
+
 def _chained(signature: np.ndarray, order: np.ndarray, text: np.ndarray, carried=None):
     """Pairs of texts of one signature, each text with the first one and with the one
     before it; rows sorted by signature, order, text. ``carried``: signature, first and
@@ -109,8 +118,9 @@ def _chained(signature: np.ndarray, order: np.ndarray, text: np.ndarray, carried
     later = np.concatenate([text[~new], text[~new]])
     earlier = np.concatenate([first[~new], before[~new]])
     differ = later != earlier
-    pairs = np.unique(np.stack([later[differ], earlier[differ]]), axis=1)
-    return pairs[0], pairs[1], (signature[-1], first[-1], text[-1])
+    later, earlier = later[differ], earlier[differ]
+    at = _distinct_pairs(later, earlier)
+    return later[at], earlier[at], (signature[-1], first[-1], text[-1])
 
 
 def meetings(rows: DataFrame, width: int) -> DataFrame:
@@ -159,8 +169,10 @@ def meetings(rows: DataFrame, width: int) -> DataFrame:
             row = np.searchsorted(offsets, place, "right") - 1
             tid = batch.column("tid").to_numpy()
             # A text has one row per signature, wherever it stands in it.
-            (signature, row), first = np.unique(np.stack([signature.view(np.int64), row]), axis=1, return_index=True)
-            held.append(np.stack([signature, batch.column("doc_id").fill_null(_LAST).to_numpy()[row], tid[row], place[first] - offsets[row]]))
+            signature = signature.view(np.int64)
+            first = _distinct_pairs(signature, row)
+            row = row[first]
+            held.append(np.stack([signature[first], batch.column("doc_id").fill_null(_LAST).to_numpy()[row], tid[row], place[first] - offsets[row]]))
             total += len(row)
             if total >= HELD:
                 yield from flush()
@@ -252,10 +264,10 @@ def near_partners(seekers: list[np.ndarray], stored: list[np.ndarray], earlier:
     """For each seeker one stored run of shingles that holds a similar passage, if any
     does: ``seeker, stored``. ``earlier(i)`` tells which stored ones it may have. The runs
     that share most are tried first, and all whose matches can make a run."""
-    other = [np.unique(x, return_index=True) for x in stored]
-    lengths = np.array([len(x) for x, _ in other])
+    other = [places_of(x) for x in stored]
+    lengths = np.array([len(x) for x, _, _ in other])
     repeats = np.array([len(x) for x in stored]) - lengths
-    values, place = (np.concatenate(x) for x in zip(*other))
+    values, place = (np.concatenate([x[c] for x in other]) for c in (0, 1))
     owner = np.repeat(np.arange(len(other)), lengths)
     order = np.argsort(values, kind="stable")
     values, owner, place = values[order], owner[order], place[order]
@@ -277,8 +289,9 @@ def near_partners(seekers: list[np.ndarray], stored: list[np.ndarray], earlier:
             some = which >= 0
             where[which[some], value[some]] = place[found[some]]
             fits = fits[may_share(where[:, at], len(seeker) - len(x), repeats[fits], width, similarity)]
+        own = places_of(seeker) if len(fits) else None
         for j in fits[np.argsort(-shared[fits], kind="stable")]:
-            if shared_runs(seeker, stored[j], width, similarity):
+            if shared_runs(seeker, stored[j], width, similarity, None, (own, other[j])):
                 out.append((i, int(j)))
                 break
     return out
@@ -354,8 +367,33 @@ def further_pairs(members: DataFrame, spans: DataFrame, texts: DataFrame, width:
                 b.append(tid[right[j]])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    grouped = sides.withColumn("unit", unit).select("unit", "signature", "q", "s", "seeks", "tid", "ord", "around").groupBy("unit")
-    return grouped.applyInArrow(compare, "a bigint, b bigint").distinct()
+    # Dealt out by number: a call's work is not told by its bytes, by which small partitions would be joined.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = sides.withColumn("unit", unit).select("unit", "signature", "q", "s", "seeks", "tid", "ord", "around").repartition(parts, "unit")
+    return dealt.groupBy("unit").applyInArrow(compare, "a bigint, b bigint").distinct()
+
+
+def places_of(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, sorted, the first place of each, and for every place the one
+    before it with the same value, or -1."""
+    order = np.argsort(x, kind="stable")
+    values = x[order]
+    new = np.ones(len(x), bool)
+    new[1:] = values[1:] != values[:-1]
+    before = np.full(len(x), -1)
+    again = np.flatnonzero(~new)
+    before[order[again]] = order[again - 1]
+    return values[new], order[new], before
+
+
+def _n_distinct(before: np.ndarray, lo: int, hi: int) -> int:
+    """How many different values stand at the places from ``lo`` to before ``hi``."""
+    return int(np.count_nonzero(before[lo:hi] < lo))
+
+
+def _median(x: np.ndarray) -> float:
+    x = np.sort(x)
+    return (x[(len(x) - 1) // 2] + x[len(x) // 2]) / 2
 
 
 def _widened(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, least: int, similarity: float, words) -> tuple[int, int] | None:
@@ -364,7 +402,7 @@ def _widened(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, least:
     the end of a passage leave no match there. Of several runs the one with most equal
     words beside the matches, the middle one of equals."""
     need = least - (int(i[-1] - i[0]) + 1)
-    shift = int(np.median(j - i))
+    shift = int(_median(j - i))
     start, best = int(i[0]), None
     middle = need / 2
     for left in sorted(range(need + 1), key=lambda n: abs(n - middle)):
@@ -398,13 +436,16 @@ def _similar_windows(i: np.ndarray, least: int, enough: float) -> list[tuple[int
     return [(int(i[0] + run[0]), int(i[0] + run[-1]) + least) for run in np.split(starts, cuts)]
 
 
-def shared_runs(a: np.ndarray, b: np.ndarray, least: int, similarity: float, words: tuple[np.ndarray, np.ndarray] | None = None) -> list[tuple[int, int]]:
+def shared_runs(
+    a: np.ndarray, b: np.ndarray, least: int, similarity: float, words: tuple[np.ndarray, np.ndarray] | None = None, places: tuple | None = None
+) -> list[tuple[int, int]]:
     """Runs of shingles of ``a``, at least ``least`` long, that are similar to a run of
     ``b``: shared over all distinct shingles of both runs. ``words`` of both texts, where
-    given, place the ends of a run whose first or last shingles have no match."""
+    given, place the ends of a run whose first or last shingles have no match. ``places``:
+    :func:`places_of` both, where the caller has many pairs of them."""
     # So many shingles of two runs of the least length must be shared.
     enough = 2 * similarity / (1 + similarity) * least
-    values, first = np.unique(b, return_index=True)
+    (_, _, before_a), (values, first, before_b) = places or (places_of(a), places_of(b))
     at = np.minimum(np.searchsorted(values, a), len(values) - 1)
     match = np.flatnonzero(values[at] == a)
     if len(match) < least * similarity / (1 + similarity):
@@ -421,11 +462,14 @@ def shared_runs(a: np.ndarray, b: np.ndarray, least: int, similarity: float, wor
             continue
         n = int(i[-1] - i[0]) + 1
         shift = j - i
-        aligned = np.abs(shift - np.median(shift)) <= SHIFT
+        aligned = np.abs(shift - _median(shift)) <= SHIFT
         if aligned.any():
-            e = len(np.unique(a[i[aligned]]))
-            own = len(np.unique(a[i[0] : i[-1] + 1]))
-            other = len(np.unique(b[j[aligned].min() : j[aligned].max() + 1]))
+            # Equal shingles have one place in b, the first.
+            there = j[aligned]
+            low, high = int(there.min()), int(there.max()) + 1
+            e = int(np.count_nonzero(np.bincount(there - low)))
+            own = _n_distinct(before_a, int(i[0]), int(i[-1]) + 1)
+            other = _n_distinct(before_b, low, high)
             if e >= similarity * (own + other - e):
                 found.append((int(i[0]), int(i[-1]) + 1))
                 continue
@@ -472,10 +516,11 @@ def repeated_spans(docs: DataFrame, passage_words: int = PASSAGE_WORDS, similari
                 hashes, starts, ends, words = placed_words(coded.dictionary)
                 sides.append((*shingles(hashes, words), hashes, starts, ends, words, coded.indices.to_pylist()))
             (va, oa, ha, starts, ends, words, ia), (vb, ob, hb, _, _, words_b, ib) = sides
+            own, other = ([places_of(v[lo:hi]) for lo, hi in zip(o[:-1], o[1:])] for v, o in ((va, oa), (vb, ob)))
             rows = []
             for r, (i, j) in enumerate(zip(ia, ib)):
                 both = ha[words[i] : words[i + 1]], hb[words_b[j] : words_b[j + 1]]
-                for x, y in shared_runs(va[oa[i] : oa[i + 1]], vb[ob[j] : ob[j + 1]], width, similarity, both):
+                for x, y in shared_runs(va[oa[i] : oa[i + 1]], vb[ob[j] : ob[j + 1]], width, similarity, both, (own[i], other[j])):
                     rows.append((r, int(starts[words[i] + x]), int(ends[words[i] + y + SHINGLE - 2]), x, y))
             at = pa.array([r for r, *_ in rows], pa.int64())
             spans = [pa.array([x[c] for x in rows], pa.int64()) for c in (1, 2, 3, 4)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -56,6 +58,20 @@ def word_hashes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     return _hashes(data, starts, ends), np.searchsorted(starts, offsets)
 
 
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    """The powers of ``base`` from 0 to ``n``."""
+    if n <= _BLOCK:
+        return _block_powers(base)[: n + 1]
+    out = np.full(n + 1, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+@cache
+def _block_powers(base: np.uint64) -> np.ndarray:
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(_BLOCK, base, np.uint64)]))
+
+
 def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     out = np.empty(len(starts), np.uint64)
     first = 0
@@ -63,12 +79,7 @@ def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
         last = max(first + 1, int(np.searchsorted(ends, starts[first] + _BLOCK, "right")))
         lo, hi = int(starts[first]), int(ends[last - 1])
         n = hi - lo
-        power = np.full(n + 1, _STEP, np.uint64)
-        power[0] = 1
-        power = np.cumprod(power)
-        back = np.full(n + 1, _BACK, np.uint64)
-        back[0] = 1
-        back = np.cumprod(back)
+        power, back = _powers(_STEP, n), _powers(_BACK, n)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data[lo:hi]] * power[:n])])
         a, b = starts[first:last] - lo, ends[first:last] - lo
         out[first:last] = mix((sums[b] - sums[a]) * back[a])

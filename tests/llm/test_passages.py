@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from marinelake.llm import passages
 from marinelake.llm.passages import compact_windows, cut_passages, find_passages, op4_substring_dedup, shared_runs
 from marinelake.llm.words import placed_words
 
@@ -187,3 +188,31 @@ def test_partners_equal_all_pairs_with_few_full_comparisons(monkeypatch):
     assert {i for i, _ in found} == expected and len(expected) > 10
     assert all(j < i and whole(runs[i], runs[j], 46, 0.8) for i, j in found)
     assert len(calls) < 120 * 119 / 2 / 4
+
+
+def test_places_and_distinct_pairs_agree_with_unique():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 7, 300):
+        a, b = rng.integers(0, 20, (2, n))
+        pairs, first = np.unique(np.stack([a, b]), axis=1, return_index=True)
+        at = passages._distinct_pairs(a, b)
+        assert at.tolist() == first.tolist() and np.stack([a[at], b[at]]).tolist() == pairs.tolist()
+        values, first, before = passages.places_of(a)
+        assert [x.tolist() for x in (values, first)] == [x.tolist() for x in np.unique(a, return_index=True)]
+        for lo, hi in ((0, n), (n // 3, n), (n // 2, n // 2)):
+            assert passages._n_distinct(before, lo, hi) == len(set(a[lo:hi].tolist()))
+        if n:
+            assert passages._median(a) == np.median(a)
+
+
+def test_runs_are_found_without_sorting_each_one(monkeypatch):
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 1 << 62, 600).astype(np.uint64)
+    b = a.copy()
+    b[::90] = 1
+    b[300:400] = rng.integers(0, 1 << 62, 100)
+    wanted = passages.shared_runs(a, b, 46, 0.8)
+    assert wanted
+    places = passages.places_of(a), passages.places_of(b)
+    monkeypatch.setattr(np, "unique", None)
+    assert passages.shared_runs(a, b, 46, 0.8, places=places) == wanted
