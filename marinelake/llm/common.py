@@ -14,6 +14,8 @@ from marinelake.session import remove_dir, scratch_dir
 
 #: Text that a task holds at once, in bytes; a longer text is held alone.
 SLICE_BYTES = 8 << 20
+#: Rows that one task writes where a table is known to be small.
+ROWS_A_TASK = 2000
 
 
 def slices(batches: Iterable[pa.RecordBatch], *texts: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -62,10 +64,13 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return name
 
 
-def kept_table(df: DataFrame, name: str) -> DataFrame:
+def kept_table(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """The rows written to the shared folder and read back: lineage is cut, and a
-    lost executor costs no second run of what is behind."""
+    lost executor costs no second run of what is behind. ``rows``: about how many the
+    last step handles, where that is known; few are written by few tasks."""
     spark: SparkSession = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(spark.sparkContext.defaultParallelism, min(rows // ROWS_A_TASK, 1 << 20)))
     path = scratch_dir(spark, name)
     df.write.parquet(path)
     kept = spark.read.schema(df.schema).parquet(path)

@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 from marinelake.llm.common import drop_kept, kept_table
 
 
-def forest(batches, kind):
-    """Links of a task contracted to stars around the smallest node of each tree."""
+#: So many links one task contracts at once; more are contracted in rounds of joins.
+LINKS_A_TASK = 100_000
+
+
+def forest(batches, kind, roots=False):
+    """Links of a task contracted to stars around the smallest node of each tree;
+    ``roots``: with a link of each such node to itself."""
     parent: dict = {}
 
     def root(x):
@@ -26,7 +31,7 @@ def forest(batches, kind):
             a, b = root(a), root(b)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-    nodes = [x for x in parent if root(x) != x]
+    nodes = [x for x in parent if roots or root(x) != x]
     for i in range(0, len(nodes), 50_000):
         part = nodes[i : i + 50_000]
         yield pa.RecordBatch.from_arrays([pa.array(part, kind), pa.array([root(x) for x in part], kind)], ["a", "b"])
@@ -38,16 +43,23 @@ def components(links: DataFrame) -> DataFrame:
 
     Each task first contracts its own links; then large and small stars alternate
     until nothing changes, each round written to the shared folder in place of the one
-    before; the last table stays, and ``drop_kept`` of the result deletes it."""
+    before; the last table stays, and ``drop_kept`` of the result deletes it. As soon as
+    at most ``LINKS_A_TASK`` are left, one task contracts them: no round is needed."""
     text = links.schema["a"].dataType.simpleString()
     kind = pa.string() if text == "string" else pa.int64()
     # a is the larger node, b the smaller.
     links = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    links = kept_table(links.mapInArrow(lambda batches: forest(batches, kind), links.schema).distinct(), "links")
+    links = kept_table(links.mapInArrow(lambda batches: forest(batches, kind), links.schema), "links")
     seen = None
     while True:
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(state) == seen or not state[0]:
+        if state[0] <= LINKS_A_TASK:
+            stars = kept_table(links.coalesce(1).mapInArrow(lambda batches: forest(batches, kind, True), links.schema), "links")
+            drop_kept(links)
+            found = stars.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            found.kept_path = stars.kept_path
+            return found
+        if tuple(state) == seen:
             break
         seen = tuple(state)
         both = links.union(links.select("b", "a"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marinelake.llm.common import drop_kept, free_name, kept_table, slices, spread, text_rows, texts_of
+from marinelake.llm.common import ROWS_A_TASK, drop_kept, free_name, kept_table, slices, spread, text_rows, texts_of
 from marinelake.llm.components import components
 from marinelake.llm.registry import query, table
 from marinelake.llm.words import SHINGLE, distinct, mix, shingles, word_hashes
@@ -36,6 +36,8 @@ SKETCH_DIFFERS = 24
 ODD_BITS = 1024
 #: Tasks that the comparisons with one leader are dealt over.
 LEADER_PARTS = 256
+#: Pairs that one task compares where they are few.
+PAIRS_A_TASK = 500
 #: What tells without the texts that two of them are not similar.
 _PROFILE = ["marks", "sketch", "odd", "weight"]
 _SLICE = 2 << 20
@@ -265,7 +267,8 @@ def similar_texts(texts: DataFrame, frequencies: np.ndarray, documents: int, sim
     has four times as many leaders, so that turns are few; a bucket whose members are
     all unlike ends when all have led. Two texts meet in one of their buckets only, and
     are compared if their sketches allow the similarity. Tables of a turn are deleted
-    when the next has been written."""
+    when the next has been written; tables of few rows are written by few tasks, as a
+    late turn has little to do."""
     spark = texts.sparkSession
     sampler = Sampler(frequencies, documents)
     shared = spark.sparkContext.broadcast(sampler)
@@ -279,27 +282,29 @@ def similar_texts(texts: DataFrame, frequencies: np.ndarray, documents: int, sim
     linked = kept_table(spark.createDataFrame([], "node string, component string, size bigint"), "linked")
     rank = ["size", -F.col("central"), "key"]
     turn = 0
-    while not members.isEmpty():
+    while n := members.count():
         order = Window.partitionBy(*bucket).orderBy(*rank)
         leaders = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 4**turn)
         leaders = leaders.select(*bucket, F.struct(*rank).alias("rank"), F.struct("key", "component", *_PROFILE).alias("leader"))
-        leaders = kept_table(leaders, "leaders")
+        leaders = kept_table(leaders, "leaders", rows=n)
         met = members.join(leaders, bucket).where(F.struct(*rank) > F.col("rank")).where("component <> leader.component")
         met = met.where(_first_band("marks", "leader.marks")).where(_near("sketch", "leader.sketch"))
         met = met.where(_may_reach("", "leader.", sampler.counted, similarity))
-        pairs = kept_table(met.select(F.col("key").alias("a"), F.col("leader.key").alias("b")), "pairs")
-        found = kept_table(_verified(pairs, texts, shared, size, similarity).select("a", "b"), "found")
+        pairs = kept_table(met.select(F.col("key").alias("a"), F.col("leader.key").alias("b")), "pairs", rows=n * 4**turn)
+        compared = pairs.count() * ROWS_A_TASK // PAIRS_A_TASK
+        found = kept_table(_verified(pairs, texts, shared, size, similarity).select("a", "b"), "found", rows=compared)
         drop_kept(pairs)
         if not found.isEmpty():
             classes = components(found.union(linked.select("node", "component")))
             sizes = classes.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-            before, linked = linked, kept_table(classes.join(sizes, "component").select("node", "component", "size"), "linked")
+            sized = classes.join(sizes, "component").select("node", "component", "size")
+            before, linked = linked, kept_table(sized, "linked", rows=classes.count())
             drop_kept(before, classes)
         left = members.join(leaders.select(*bucket, F.col("leader.key").alias("key")), [*bucket, "key"], "left_anti").drop("component", "size")
         left = left.join(linked.withColumnRenamed("node", "key"), "key", "left").withColumns({c: F.coalesce(c, single[c]) for c in single})
-        left = kept_table(left, "left")
+        left = kept_table(left, "left", rows=n)
         several = left.groupBy(*bucket).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        before, members = members, kept_table(left.join(several.select(*bucket), bucket, "left_semi"), "buckets")
+        before, members = members, kept_table(left.join(several.select(*bucket), bucket, "left_semi"), "buckets", rows=n)
         drop_kept(before, leaders, found, left)
         turn += 1
     drop_kept(members, texts)

@@ -167,3 +167,25 @@ def test_copies_below_the_threshold_are_not_compared(spark, monkeypatch):
         ids.setdefault(expected[r["text"]], []).append(r["doc_id"])
     assert got == {i: min(own) for own in ids.values() for i in own}
     assert sum(compared) < 120 * 119 / 2 / 4
+
+
+@pytest.mark.parametrize("most", [0, 60, 100_000])
+def test_few_links_need_no_rounds(spark, monkeypatch, most):
+    from marinelake.llm import components as module
+
+    monkeypatch.setattr(module, "LINKS_A_TASK", most)
+    written = []
+    whole = module.kept_table
+    monkeypatch.setattr(module, "kept_table", lambda df, name, **options: written.append(name) or whole(df, name, **options))
+    rng = np.random.default_rng(6)
+    links = [(int(a), int(b)) for a, b in rng.integers(0, 200, (150, 2))] + [(i, i + 1) for i in range(300, 340)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint").repartition(7)).collect()}
+    assert got == classes({n for e in links for n in e if e[0] != e[1]}, links)
+    assert most < 1000 or len(written) == 2
+
+
+def test_a_small_table_is_written_by_few_tasks(spark, tmp_path):
+    from marinelake.llm.common import kept_table
+
+    few = kept_table(spark.range(900).repartition(150, "id"), "few", rows=900)
+    assert few.count() == 900 and len(few.inputFiles()) <= max(spark.sparkContext.defaultParallelism, 1)
