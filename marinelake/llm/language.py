@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marinelake.llm.common import crc32_of, slices, small_batches, text_rows, texts_of
+from marinelake.llm.common import crc32_of, lean, slices, small_batches, text_rows, texts_of
 from marinelake.llm.registry import query, table
 
 #: Labelled documents of a language that are learned from, about: a bound on the
@@ -29,6 +29,8 @@ SCORE_WORDS = 20
 UNDETERMINED = "und"
 _LETTERS = r"[\p{L}\p{M}]+"
 _REMEMBERED = 300_000
+#: Text scored at once: every word of it has a row of scores.
+_SLICE = 2 << 20
 
 
 class LanguageModel:
@@ -148,7 +150,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text: str = "text",
     def predict(batches):
         model = shared.value
         scored = _scored(model) if model.languages else None
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, most=_SLICE):
             names, values = [UNDETERMINED] * batch.num_rows, np.zeros(batch.num_rows)
             if scored:
                 best, found, letters = scored(texts_of(batch, text))
@@ -156,7 +158,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text: str = "text",
                 values = np.where(letters, found, 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(values)], [*batch.schema.names, lang_pred, score])
 
-    return docs.mapInArrow(predict, schema)
+    return docs.mapInArrow(lean(predict), schema)
 
 
 def identify_languages(docs: DataFrame, held_out: int = 2, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marinelake.llm.common import ROWS_A_TASK, drop_kept, free_name, kept_table, slices, spread, text_rows, texts_of
+from marinelake.llm.common import ROWS_A_TASK, drop_kept, free_name, kept_table, lean, slices, spread, text_rows, texts_of
 from marinelake.llm.components import components
 from marinelake.llm.registry import query, table
 from marinelake.llm.words import SHINGLE, distinct, mix, shingles, word_hashes
@@ -154,7 +154,7 @@ def document_frequencies(docs: DataFrame, size: int = SHINGLE) -> tuple[np.ndarr
         at = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(totals[at], rows))], ["counter", "n"])
 
-    found = docs.select("text").mapInArrow(count, "counter bigint, n bigint").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    found = docs.select("text").mapInArrow(lean(count), "counter bigint, n bigint").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
     counter, n = found.column("counter").to_numpy(), found.column("n").to_numpy()
     frequencies = np.zeros(counters, np.int64)
     frequencies[counter[counter >= 0]] = n[counter >= 0]
@@ -192,7 +192,7 @@ def _signatures(texts: DataFrame, shared, size: int) -> DataFrame:
             )
 
     return texts.select("key", "text").mapInArrow(
-        sign, "key string, bands array<bigint>, marks array<int>, sketch array<bigint>, odd array<bigint>, weight double"
+        lean(sign), "key string, bands array<bigint>, marks array<int>, sketch array<bigint>, odd array<bigint>, weight double"
     )
 
 
@@ -239,7 +239,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, shared, size: int, similarity:
     pairs = pairs.withColumn("part", F.pmod(F.xxhash64("a"), F.lit(LEADER_PARTS)))
     leaders = pairs.select("b", "part").distinct().join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
     sides = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(leaders, ["b", "part"])
-    return sides.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a string, b string, similarity double")
+    return sides.select("a", "b", "text_a", "text_b").mapInArrow(lean(verify), "a string, b string, similarity double")
 
 
 def _crowded(signed: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marinelake.llm.common import kept_table, slices, text_rows, texts_of
+from marinelake.llm.common import kept_table, lean, slices, text_rows, texts_of
 from marinelake.llm.registry import query, table
 from marinelake.llm.tokens import ByteLevel, public_tokenizer
 
@@ -210,7 +210,7 @@ def cut_documents(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = C
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"])
 
     return text_rows(docs, doc_id, text).mapInArrow(
-        cut, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
+        lean(cut), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
     )
 
 
@@ -243,7 +243,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             offset = run[:, 5] + inside % run[:, 4] * length
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(sequence), pa.array(offset)], [*kept, "sequence_id", "offset"])
 
-    return pieces.join(base, ["part", "length"]).select(*kept, "nth", "base").mapInArrow(place, schema)
+    return pieces.join(base, ["part", "length"]).select(*kept, "nth", "base").mapInArrow(lean(place), schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY) -> DataFrame:

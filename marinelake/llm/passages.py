@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marinelake.llm.common import free_name, kept_table, slices, spread, text_rows, texts_of
+from marinelake.llm.common import free_name, kept_table, lean, slices, spread, text_rows, texts_of
 from marinelake.llm.registry import query, table
 from marinelake.llm.words import SHINGLE, mix, placed_words, shingles
 
@@ -214,11 +214,11 @@ def meetings(rows: DataFrame, width: int) -> DataFrame:
                 ["a", "b", "signature", "place"],
             )
 
-    windows = rows.mapInArrow(combine, "kind tinyint, signature bigint, ord bigint, a bigint, b bigint, place bigint")
+    windows = rows.mapInArrow(lean(combine), "kind tinyint, signature bigint, ord bigint, a bigint, b bigint, place bigint")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.when(F.col("kind") == _FURTHER, F.col("a")).otherwise(0)
     ordered = windows.repartition(parts, F.col("signature"), salt).sortWithinPartitions("signature", "ord", "a")
-    return ordered.mapInArrow(chain, "a bigint, b bigint, signature bigint, place bigint").distinct()
+    return ordered.mapInArrow(lean(chain), "a bigint, b bigint, signature bigint, place bigint").distinct()
 
 
 def _around(values: np.ndarray, place: int, width: int) -> np.ndarray:
@@ -337,7 +337,7 @@ def further_pairs(members: DataFrame, spans: DataFrame, texts: DataFrame, width:
             )
 
     placed = listed.join(texts.select("tid", "text"), "tid").mapInArrow(
-        runs, "signature bigint, open boolean, stored int, seeking int, tid bigint, ord bigint, around binary"
+        lean(runs), "signature bigint, open boolean, stored int, seeking int, tid bigint, ord bigint, around binary"
     )
     placed = kept_table(placed, "passage-windows")
     calls = max(1, placed.count() // TOGETHER)
@@ -537,7 +537,7 @@ def repeated_spans(docs: DataFrame, passage_words: int = PASSAGE_WORDS, similari
         turned = order("a") < order("b")
         pairs = both.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b")).distinct()
         joined = pairs.join(side("a"), "a").join(side("b"), "b").select(F.md5("text_a").alias("key"), "a", "text_a", "text_b", "doc_b")
-        return kept_table(joined.mapInArrow(verify, "text_key string, start bigint, end bigint, first_doc_id bigint, a bigint, from bigint, to bigint"), name)
+        return kept_table(joined.mapInArrow(lean(verify), "text_key string, start bigint, end bigint, first_doc_id bigint, a bigint, from bigint, to bigint"), name)
 
     spans = verified(pairs, "passage-spans")
     more = kept_table(further_pairs(members, spans, texts, width, similarity), "passage-further")
@@ -605,7 +605,7 @@ def find_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS, similarit
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "span", "start", "end", "n_words", "first_doc_id"])
 
     some = rows.where("ranges is not null or copied is not null")
-    return some.mapInArrow(places, "doc_id bigint, span int, start bigint, end bigint, n_words bigint, first_doc_id bigint")
+    return some.mapInArrow(lean(places), "doc_id bigint, span int, start bigint, end bigint, n_words bigint, first_doc_id bigint")
 
 
 def cut_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS, similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -628,7 +628,7 @@ def cut_passages(docs: DataFrame, passage_words: int = PASSAGE_WORDS, similarity
             new = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([new if c == text else batch.column(c) for c in order], order)
 
-    return rows.where(~found).select(*order).union(rows.where(found).mapInArrow(cut, docs.schema))
+    return rows.where(~found).select(*order).union(rows.where(found).mapInArrow(lean(cut), docs.schema))
 
 
 @query("op4_substring_dedup")
