@@ -27,7 +27,7 @@ from marinelake.sources.casts import parse_calibration, parse_header
 from marinelake.sources.tables import csv_points
 from marinelake.streaming.commits import Commits, published_table
 from marinelake.streaming.lines import numbered_lines
-from marinelake.streaming.sequences import MAX_HELD, stream_with_headers
+from marinelake.streaming.sequences import stream_with_headers
 
 Writer = Callable[[DataFrame, int], None]
 
@@ -97,11 +97,13 @@ def sentence_batches(out: str, options: JobOptions, source: str = "stream", day:
     return write
 
 
-def csv_stream(lines: DataFrame, header: Column | None = None, max_held: int = MAX_HELD) -> DataFrame:
+def csv_stream(lines: DataFrame, header: Column | None = None, max_held: int | None = None) -> DataFrame:
     """Typed points of CSV lines against the header in force in their stream.
 
-    By default a line is a header if one of its cells is ``time``. A line without a header
-    is rejected as ``no_header``, one with another number of cells as ``cell_count``."""
+    By default a line is a header if one of its cells is ``time``. Lines before the first
+    header of their stream wait for it, however many they are; only with ``max_held`` are
+    they rejected as ``no_header`` once more than that wait. A line with another number of
+    cells is rejected as ``cell_count``."""
     names = F.transform(split_cells(F.col("value")), F.lower)
     marked = F.array_contains(names, "time") if header is None else header
     found = stream_with_headers(lines, ["source_file"], marked, most=max_held)

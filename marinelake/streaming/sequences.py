@@ -26,10 +26,6 @@ from marinelake.streaming.state import Pieces, order_of, use_rocksdb
 # Helper columns. Names with a leading underscore do not reach the state operator.
 _ORDER, _MARK, _US, _KEY, _GROUP = "state_order", "state_mark", "state_time_us", "state_key", "state_group"
 
-#: Lines of a stream that wait for their header, at most; with more, all of them go on
-#: without a header, to be rejected, so that none is lost and the state stays bounded.
-MAX_HELD = 100_000
-
 #: Groups that the keys of count-or-time batches are dealt to by hash: the state, and the
 #: calls to it, are per group. It goes with the checkpoint and may not change under it.
 STATE_GROUPS = 512
@@ -68,14 +64,44 @@ class _Chunks(StatefulProcessor):
 
 
 class HeaderInForce(_Chunks):
-    """Gives every line the header before it; lines before the first header wait for it."""
+    """Gives every line the header before it; lines before the first header wait for it.
+
+    However many they are, all wait, as chunks of a map state: an entry per piece, found by
+    the number of lines before it, since a list state is one value of the store and is read
+    whole. Only with ``most`` do they wait in the list state; more lines than that all go
+    on without a header."""
 
-    def __init__(self, value: str, columns: list[str], most: int):
+    def __init__(self, value: str, columns: list[str], most: int | None = None):
         self.value, self.columns, self.most = value, columns, most
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.state = handle.getValueState("header", "header STRING, held BIGINT")
+        if self.most is None:
+            self.parts = handle.getMapState("waiting", "before BIGINT", "rows BINARY")
+
+    def _wait(self, lines: pd.DataFrame, before: int) -> None:
+        chunk = (packed(lines),)
+        if self.most is None:
+            self.parts.updateValue((before,), chunk)
+        else:
+            self.chunks.appendValue(chunk)
+
+    def _waited(self, count: int) -> Iterator[pd.DataFrame]:
+        """The lines that wait, chunk by chunk; they wait no longer. Those of the list state
+        come first: also without a limit, if a checkpoint is from a time with one."""
+        done = 0
+        if count and self.chunks.exists():
+            for chunk in self.chunks.get():
+                lines = unpacked([bytes(chunk[0])])
+                done += len(lines)
+                yield lines
+            self.chunks.clear()
+        while done < count:
+            lines = unpacked([bytes(self.parts.getValue((done,))[0])])
+            self.parts.removeKey((done,))
+            done += len(lines)
+            yield lines
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         pieces, found, count = Pieces(), [], 0
@@ -90,17 +116,16 @@ class HeaderInForce(_Chunks):
         heads = _in_order(pd.concat(found, ignore_index=True))
         places, values = heads[_ORDER].to_numpy(np.int64), heads[self.value].to_numpy(object)
         last = values[-1] if len(values) else header
-        if last is None and waiting + count <= self.most:
+        if last is None and (self.most is None or waiting + count <= self.most):
             for lines in pieces:
-                self.chunks.appendValue((packed(lines[self.columns]),))
-            self.state.update((None, waiting + count))
+                self._wait(lines[self.columns], waiting)
+                waiting += len(lines)
+            self.state.update((None, waiting))
             return
         # Lines before the first header of all take that one.
         before = header if header is not None or not len(values) else values[0]
-        if waiting:
-            earlier = self.held()[0]
-            self.chunks.clear()
-            yield earlier.assign(header=before)
+        for lines in self._waited(waiting):
+            yield lines.assign(header=before)
         self.state.update((last, 0))
         in_force = np.array([before, *values], object)
         for lines in pieces:
@@ -303,13 +328,14 @@ def _schema(stream: DataFrame, extra: str) -> StructType:
     return StructType([*stream.schema.fields, *StructType.fromDDL(extra).fields])
 
 
-def stream_with_headers(lines: DataFrame, keys: list[str], header: Column, order: str = "line_ord", value: str = "value", most: int = MAX_HELD) -> DataFrame:
+def stream_with_headers(lines: DataFrame, keys: list[str], header: Column, order: str = "line_ord", value: str = "value", most: int | None = None) -> DataFrame:
     """Every line of a stream with the ``header`` line in force, across micro-batches.
 
     ``header`` says which lines are headers; they themselves, blank lines and comments
     are not passed on. A new header holds from its place on. Lines that come before the
-    first header of their key wait for it; once more than ``most`` wait, they are passed
-    on with a null header."""
+    first header of their key all wait for it, in the state store. With ``most``, once more
+    than that wait, they are passed on with a null header; a checkpoint that began without
+    it goes on without it."""
     use_rocksdb(lines.sparkSession)
     usable = ~is_blank(F.col(value)) & ~F.ltrim(value).startswith("#")
     marked = lines.where(usable).withColumns({_ORDER: order_of(order), _MARK: F.coalesce(header, F.lit(False))})
